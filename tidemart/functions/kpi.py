@@ -17,6 +17,15 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def rnd(x, digits: int = 2) -> Column:
+    """round(x, digits) half away from zero on the value's decimal form.
+
+    The double is first fixed to 8 decimals, so the last-bit noise of a double
+    sum or quotient (which differs with summation order) never decides a tie;
+    the result is a DOUBLE."""
+    return F.round(_c(x).cast("decimal(38,8)"), digits).cast("double")
+
+
 def money(x) -> Column:
     """A 2-decimal amount held as DECIMAL(18,2)."""
     return _c(x).cast(MONEY)
@@ -43,13 +52,13 @@ def safe_div(num, den, default=0.0) -> Column:
 
 def ratio_pct(num, den, digits: int = 2) -> Column:
     """if(den > 0, round(num / den * 100, digits), 0)."""
-    return F.when(_c(den) > 0, F.round(dbl(num) / dbl(den) * 100, digits)) \
+    return F.when(_c(den) > 0, rnd(dbl(num) / dbl(den) * 100, digits)) \
         .otherwise(F.lit(0.0))
 
 
 def ratio(num, den, digits: int = 2, default: float = 0.0) -> Column:
     """if(den > 0, round(num / den, digits), default)."""
-    return F.when(_c(den) > 0, F.round(dbl(num) / dbl(den), digits)) \
+    return F.when(_c(den) > 0, rnd(dbl(num) / dbl(den), digits)) \
         .otherwise(F.lit(float(default)))
 
 

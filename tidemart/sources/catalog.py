@@ -18,8 +18,18 @@ class RawTable:
     ts_col: str          # incremental extract column (strict ts > watermark)
     ddl: str             # column contract, without loaded_at
 
+    @property
+    def columns(self) -> list[tuple[str, str]]:
+        """(name, type) pairs of the contract (flat DDL, no nested types)."""
+        return [tuple(part.strip().split(None, 1)) for part in self.ddl.split(",")]
+
+    @property
+    def column_names(self) -> list[str]:
+        return [n for n, _ in self.columns]
+
     @property
     def schema(self) -> T.StructType:
+        """Contract as a StructType (needs an active Spark session)."""
         return T.StructType.fromDDL(self.ddl)
 
 

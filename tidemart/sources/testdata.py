@@ -27,6 +27,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemart.functions.kpi import rnd
 from tidemart.sources.catalog import TRAFFIC_SOURCES
 
 FIXED_TS = "2024-01-01 00:00:00"
@@ -105,7 +106,7 @@ class TestData:
             F.when(m < 25, m + 100).otherwise(m - 24).cast("int").alias("category_id"),
             F.col("p_name").alias("name"),
             F.col("p_retailprice").alias("price"),
-            F.round(F.col("p_retailprice") * 0.6, 2).alias("cost_price"),
+            rnd(F.col("p_retailprice") * 0.6, 2).alias("cost_price"),
             F.when(F.col("p_size") % 10 == 0, 0).otherwise(1).alias("is_active"),
             _ts(FIXED_TS).alias("created_at"),
             _ts(FIXED_TS).alias("loaded_at"))
@@ -171,7 +172,7 @@ class TestData:
             (eid % 3 + 1).cast("int").alias("quantity"),
             price.alias("price_at_time"),
             F.when(eid % 4 == 0, F.lit(None)).when(eid % 4 == 1, F.lit(0.0))
-             .otherwise(F.round(price * 0.6, 2)).alias("cost_price"),
+             .otherwise(rnd(price * 0.6, 2)).alias("cost_price"),
             F.col("ts").alias("created_at"),
             F.col("ts").alias("loaded_at"))
 
@@ -265,7 +266,7 @@ class TestData:
             F.col("p_partkey").alias("id"), F.col("p_partkey").alias("web_product_id"),
             F.concat(F.lit("SKU-"), F.upper(F.substring("p_type", 1, 3)), F.lit("-"),
                      F.format_string("%04d", F.col("p_partkey"))).alias("sku"),
-            F.round(F.col("p_retailprice") * 0.6, 2).alias("unit_cost"),
+            rnd(F.col("p_retailprice") * 0.6, 2).alias("unit_cost"),
             _ts(FIXED_TS).alias("created_at"), _ts(FIXED_TS).alias("loaded_at"))
 
     def raw_wms_inventory(self) -> DataFrame:
