@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.operators.snapshot import latest
-from tidemart.plans import marts
+from tidemart.plans import hourly, marts
 from tidemart.plans.staging import STAGING_SPECS
 from tidemart.plans.warehouse import Warehouse
 from tidemart.session import apply_sql_conf
@@ -81,6 +81,9 @@ QUERIES: dict[str, QueryFn] = {
     "mart_marketing_last_touch": _mart(marts.mart_marketing, dedupe="last_touch"),
     "mart_inventory": _mart(marts.mart_inventory),
     "inventory_turns": _mart(marts.inventory_turns),
+    "hourly_sales": _mart(hourly.hourly_sales),
+    "hourly_marketing": _mart(hourly.hourly_marketing),
+    "hourly_inventory": _mart(hourly.hourly_inventory),
 }
 
 

@@ -88,6 +88,12 @@ RAW_TABLES = [
              ("campaign_id", "stat_date"), "created_at",
              f"id long, campaign_id int, stat_date date, impressions long, clicks long, "
              f"spend double, conversions long, created_at {_TS}"),
+    # Extension: hourly grain of the same ad statistics, feeding the hourly
+    # marketing snapshot (the reference only has daily statistics).
+    RawTable("raw_marketing_ad_campaign_hourly_stats", "marketing", "ad_campaign_hourly_stats",
+             ("campaign_id", "stat_hour"), "created_at",
+             f"id long, campaign_id int, stat_hour {_TS}, impressions long, clicks long, "
+             f"spend double, conversions long, created_at {_TS}"),
     RawTable("raw_marketing_visits", "marketing", "visits", ("id",), "visited_at",
              f"id long, user_id long, source_id int, utm_campaign string, duration_sec int, "
              f"page_views int, is_bounce int, visited_at {_TS}"),

@@ -346,6 +346,24 @@ class TestData:
             "spend", F.col("n_purchase").alias("conversions"),
             F.col("t0").alias("created_at"), F.col("t1").alias("loaded_at"))
 
+    def raw_marketing_ad_campaign_hourly_stats(self) -> DataFrame:
+        e = self._campaign_events.withColumn("stat_hour", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
+        g = e.groupBy("campaign_id", "stat_hour").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count_if(F.col("event_type") == "click").alias("n_click"),
+            F.count_if(F.col("event_type") == "purchase").alias("n_purchase"),
+            F.sum(F.when(F.col("event_type") == "view", F.col("value").cast("decimal(18,2)"))
+                  .otherwise(F.lit(0).cast("decimal(18,2)"))).cast("double").alias("spend"),
+            F.min("ts").alias("t0"), F.max("ts").alias("t1"))
+        hours = F.floor((F.unix_seconds(F.col("stat_hour").cast("timestamp")) -
+                         F.unix_seconds(F.lit(SESSION_DAY0).cast("timestamp"))) / 3600).cast("long")
+        return g.select(
+            (F.col("campaign_id").cast("long") * 1000000 + hours).alias("id"),
+            "campaign_id", "stat_hour",
+            (F.col("n") * 1000).alias("impressions"), (F.col("n_click") * 10).alias("clicks"),
+            "spend", F.col("n_purchase").alias("conversions"),
+            F.col("t0").alias("created_at"), F.col("t1").alias("loaded_at"))
+
     def raw_marketing_visits(self) -> DataFrame:
         e = self._events.where(F.col("event_type") == "view")
         eid = F.col("event_id")
