@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.operators.snapshot import latest
-from tidemart.plans import hourly, marts
+from tidemart.plans import checks, hourly, marts
 from tidemart.plans.staging import STAGING_SPECS
 from tidemart.plans.warehouse import Warehouse
 from tidemart.session import apply_sql_conf
@@ -84,6 +84,11 @@ QUERIES: dict[str, QueryFn] = {
     "hourly_sales": _mart(hourly.hourly_sales),
     "hourly_marketing": _mart(hourly.hourly_marketing),
     "hourly_inventory": _mart(hourly.hourly_inventory),
+    "dq_model_tests": lambda spark, d: checks.dq_model_tests(warehouse(spark, d), q_dim_date(spark, d)),
+    "dq_ranges": _mart(checks.dq_ranges),
+    "dq_orphans": _mart(checks.dq_orphans),
+    "dq_invariants": _mart(checks.dq_invariants),
+    "dq_rate_bands": _mart(checks.dq_rate_bands),
 }
 
 
