@@ -42,6 +42,27 @@ def running_min_flag(df: DataFrame, partition: str, order_ts: str, value: str,
               .drop("__run_min"))
 
 
+def running_min_members(df: DataFrame, partition: str, order_ts: str, value: str) -> DataFrame:
+    """The distinct ``value``s that equal the running minimum of ``value`` at
+    their own (partition, order_ts), i.e. the rows ``running_min_flag`` marks.
+
+    Only the minimum of each (partition, order_ts) group can qualify, so the
+    result is a one-column DataFrame of at most one value per group. Joining
+    it back on ``value`` avoids re-shuffling the input by (partition, order_ts)."""
+    per_ts = (df.groupBy(partition, F.to_date(order_ts).alias("__day"), order_ts)
+                .agg(F.min(value).alias("__m")))
+    per_day = per_ts.groupBy(partition, "__day").agg(F.min("__m").alias("__dm"))
+    w_days = (Window.partitionBy(partition).orderBy("__day")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    carry = per_day.select(partition, "__day", F.min("__dm").over(w_days).alias("__carry"))
+    w_in_day = (Window.partitionBy(partition, "__day").orderBy(order_ts)
+                .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    run = (per_ts.withColumn("__pm", F.min("__m").over(w_in_day))
+                 .join(carry, [partition, "__day"], "left")
+                 .where(F.col("__m") == F.least("__pm", "__carry")))
+    return run.select(F.col("__m").alias(value))
+
+
 def running_sum(df: DataFrame, partition: str, order_col: str, value: str,
                 out: str) -> DataFrame:
     """Cumulative sum of ``value`` per ``partition`` ordered by ``order_col``

@@ -20,7 +20,7 @@ from tidemart.functions.dates import (date_sk, day_of_week_mon1, hours_crossed,
                                       seconds_between, week_of_year_sunday)
 from tidemart.functions.kpi import MONEY, flag
 from tidemart.operators.joins import left_join_defaults, or_join
-from tidemart.operators.running import running_min_flag
+from tidemart.operators.running import running_min_members
 from tidemart.operators.snapshot import latest
 from tidemart.plans.staging import STAGING_SPECS, stage
 
@@ -157,9 +157,13 @@ class Warehouse:
                   .where(~c("status").isin(*EXCLUDED_ORDER_STATUSES))
                   .select(c("id").alias("order_id"), c("user_id"), c("created_at").alias("order_ts"),
                           c("status").alias("order_status")))
-        with_lines = orders.join(items.select("order_id"), "order_id", "left_semi")
-        flagged = running_min_flag(with_lines, "user_id", "order_ts", "order_id", "is_first_order")
-        j = items.join(flagged, "order_id", "inner")
+        joined = items.join(orders, "order_id", "inner")
+        # Orders that survived the filter and the inner join are exactly the
+        # orders in ``joined``; the window runs over them.
+        first = (running_min_members(joined.select("order_id", "user_id", "order_ts"),
+                                     "user_id", "order_ts", "order_id")
+                 .withColumn("is_first_order", F.lit(1)))
+        j = joined.join(first, "order_id", "left")
         revenue = (c("quantity") * c("unit_price")).cast(MONEY)
         cogs = (c("quantity") * c("unit_cost")).cast(MONEY)
         return j.select(
@@ -168,7 +172,8 @@ class Warehouse:
             c("user_id").alias("customer_sk"), c("product_id").alias("product_sk"),
             "quantity", "unit_price", "unit_cost",
             revenue.alias("revenue"), cogs.alias("cogs"), (revenue - cogs).alias("gross_profit"),
-            "order_status", "is_first_order", "order_ts")
+            "order_status", F.coalesce(c("is_first_order"), F.lit(0)).alias("is_first_order"),
+            "order_ts")
 
     @cached_property
     def fact_sessions(self) -> DataFrame:
