@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.operators.snapshot import latest
-from tidemart.plans import checks, hourly, marts
+from tidemart.plans import checks, hourly, marts, operations
 from tidemart.plans.staging import STAGING_SPECS
 from tidemart.plans.warehouse import Warehouse
 from tidemart.session import apply_sql_conf
@@ -89,6 +89,19 @@ QUERIES: dict[str, QueryFn] = {
     "dq_orphans": _mart(checks.dq_orphans),
     "dq_invariants": _mart(checks.dq_invariants),
     "dq_rate_bands": _mart(checks.dq_rate_bands),
+    "incremental_extract": _mart(operations.incremental_extract),
+    "watermark_next": _mart(operations.watermark_next),
+    "upsert_merge": lambda spark, d: operations.upsert_merge(warehouse(spark, d), TestData(spark, d)),
+    "get_or_create_ids": lambda spark, d: operations.get_or_create_category_ids(
+        warehouse(spark, d), TestData(spark, d)),
+    "cost_backfill": _mart(operations.cost_backfill),
+    "coerce_datetime_strings": lambda spark, d: operations.coerce_datetimes(TestData(spark, d)),
+    "orders_from_carts": _mart(operations.orders_from_carts),
+    "latest_ids_topk": _mart(operations.latest_ids_topk),
+    "partitioned_sink_roundtrip": lambda spark, d: operations.partitioned_sink_roundtrip(
+        spark, warehouse(spark, d), q_fact_order_items(spark, d)),
+    "batch_layout_fallback": lambda spark, d: operations.batch_layout_fallback(spark, warehouse(spark, d)),
+    "stream_hourly_kpis": lambda spark, d: operations.stream_hourly_kpis(spark, TestData(spark, d)),
 }
 
 
