@@ -48,8 +48,8 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
 
 
 def dense_index(df: DataFrame, order_cols: Sequence[str], start: int = 0,
-                num_partitions: int | None = None) -> DataFrame:
-    """Adds ``__idx`` = start + 0-based rank of each row in ``order_cols``
+                num_partitions: int | None = None, out: str = "row_index") -> DataFrame:
+    """Adds ``out`` = start + 0-based rank of each row in ``order_cols``
     order (a distributed zipWithIndex): range-partition on the order, count
     rows per partition, prefix-sum the counts (one row per partition), then
     number rows inside each partition. ``order_cols`` should be unique."""
@@ -61,7 +61,7 @@ def dense_index(df: DataFrame, order_cols: Sequence[str], start: int = 0,
         Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1))).alias("__off"))
     local = F.row_number().over(Window.partitionBy("__pid").orderBy(*order_cols))
     return (r.withColumn("__local", local).join(offs, "__pid", "left")
-             .withColumn("__idx", F.lit(start) + F.coalesce("__off", F.lit(0)) + F.col("__local") - 1)
+             .withColumn(out, F.lit(start) + F.coalesce("__off", F.lit(0)) + F.col("__local") - 1)
              .drop("__pid", "__local", "__off"))
 
 
@@ -74,7 +74,7 @@ def get_or_create_ids(values: DataFrame, value_col: str, target: DataFrame, targ
     distinct = values.select(F.col(value_col).alias("__v")).where(F.col("__v").isNotNull()).distinct()
     new = distinct.join(existing, "__v", "left_anti")
     top = target.agg(F.coalesce(F.max(target_id), F.lit(0)).alias("m")).first()["m"]
-    created = dense_index(new, ["__v"], start=int(top) + 1).select("__v", F.col("__idx").alias("id"))
+    created = dense_index(new, ["__v"], start=int(top) + 1, out="id")
     mapping = existing.unionByName(created.select("__v", F.col("id").cast(existing.schema["id"].dataType)))
     return values.join(mapping.withColumnRenamed("__v", value_col), value_col, "left")
 

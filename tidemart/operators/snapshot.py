@@ -24,8 +24,14 @@ def latest(df: DataFrame, keys: Sequence[str], version: str = "loaded_at",
     keys = list(keys)
     cols = df.columns
     if tiebreak is None:
-        tiebreak = [c for c in cols if c not in keys and c != version]
-    order = F.struct(*[F.col(c) for c in [version, *tiebreak]])
-    payload = F.struct(*[F.col(c) for c in cols if c not in keys])
-    agg = df.groupBy(*keys).agg(F.max_by(payload, order).alias("__row"))
+        # Ordering over (version, every other column) is the row itself with
+        # the version first: max(struct) carries one struct through the
+        # shuffle instead of a payload plus an ordering key.
+        others = [c for c in cols if c not in keys and c != version]
+        row = F.struct(*[F.col(c) for c in [version, *others]])
+        agg = df.groupBy(*keys).agg(F.max(row).alias("__row"))
+    else:
+        order = F.struct(*[F.col(c) for c in [version, *tiebreak]])
+        payload = F.struct(*[F.col(c) for c in cols if c not in keys])
+        agg = df.groupBy(*keys).agg(F.max_by(payload, order).alias("__row"))
     return agg.select(*keys, "__row.*").select(*cols)
