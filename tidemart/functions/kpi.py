@@ -65,3 +65,12 @@ def ratio(num, den, digits: int = 2, default: float = 0.0) -> Column:
 def flag(cond: Column) -> Column:
     """Boolean predicate as a 0/1 INT flag (the models average these)."""
     return F.when(cond, F.lit(1)).otherwise(F.lit(0))
+
+
+def sku(category, index, width: int = 4):
+    """'SKU-' + first three letters of the category, upper-cased + '-' +
+    zero-padded index, e.g. SKU-ELE-0001."""
+    cat = F.col(category) if isinstance(category, str) else category
+    idx = F.col(index) if isinstance(index, str) else index
+    return F.concat(F.lit("SKU-"), F.upper(F.substring(cat, 1, 3)), F.lit("-"),
+                    F.format_string(f"%0{width}d", idx))

@@ -93,3 +93,19 @@ def backfill_cost(items: DataFrame, products: DataFrame, cost_col: str = "cost_p
              .otherwise(F.col(cost_col))
     step2 = F.when(bad(step1), F.col(price_col) * fallback_ratio).otherwise(step1)
     return j.select(*[step2.alias(c) if c == cost_col else F.col(c) for c in items.columns])
+
+
+def add_column(df: DataFrame, name: str, expr, not_null: bool = False,
+               check: str | None = None) -> DataFrame:
+    """DML2: ADD COLUMN (+ optional SET NOT NULL / CHECK), enforced on the
+    data in one aggregate pass before the DataFrame is returned."""
+    from tidemart.operators.quality import enforce, expect
+    from tidemart.operators.quality import not_null as nn
+    out = df.withColumn(name, expr)
+    checks = ([nn(name)] if not_null else []) + ([expect(f"{name}_check", check)] if check else [])
+    return enforce(out, checks) if checks else out
+
+
+def take_any(df: DataFrame, n: int) -> DataFrame:
+    """LIM1: n rows without an order (which rows is unspecified)."""
+    return df.limit(n)

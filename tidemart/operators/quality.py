@@ -115,6 +115,20 @@ def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
     return out.select("pos", "check_name", "column_name", "violations", "total")
 
 
+class CheckFailed(AssertionError):
+    pass
+
+
+def enforce(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """DML2 (SET NOT NULL / ADD CONSTRAINT CHECK): evaluate ``checks`` in one
+    pass and raise if any is violated; returns ``df`` unchanged otherwise."""
+    bad = [r for r in run_checks(df, checks).collect() if r["violations"]]
+    if bad:
+        raise CheckFailed("; ".join(f"{r['check_name']}({r['column_name']}): {r['violations']}"
+                                    for r in bad))
+    return df
+
+
 def schema_contract(df: DataFrame, expected: T.StructType, table: str) -> list[tuple]:
     """DQ10: compare ``df``'s columns and types with a contract (driver-side
     metadata only). Returns (table, column, expected, actual, status) rows."""

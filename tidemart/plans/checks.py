@@ -189,7 +189,7 @@ def model_frames(wh: Warehouse, dim_date: DataFrame) -> dict[str, DataFrame]:
         elif m == "dim_date":
             out[m] = dim_date
         elif m.startswith("mart_"):
-            out[m] = getattr(marts, m)(wh)
+            out[m] = wh.mart(m) if hasattr(wh, "mart") else getattr(marts, m)(wh)
         else:
             out[m] = getattr(wh, m)
     return out

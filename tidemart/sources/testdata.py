@@ -27,7 +27,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.functions.kpi import rnd
+from tidemart.functions.kpi import rnd, sku
 from tidemart.sources.catalog import TRAFFIC_SOURCES
 
 FIXED_TS = "2024-01-01 00:00:00"
@@ -264,8 +264,7 @@ class TestData:
         p = self.table("part", ["p_partkey", "p_type", "p_retailprice"])
         return p.select(
             F.col("p_partkey").alias("id"), F.col("p_partkey").alias("web_product_id"),
-            F.concat(F.lit("SKU-"), F.upper(F.substring("p_type", 1, 3)), F.lit("-"),
-                     F.format_string("%04d", F.col("p_partkey"))).alias("sku"),
+            sku("p_type", "p_partkey").alias("sku"),
             rnd(F.col("p_retailprice") * 0.6, 2).alias("unit_cost"),
             _ts(FIXED_TS).alias("created_at"), _ts(FIXED_TS).alias("loaded_at"))
 
