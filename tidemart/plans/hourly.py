@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tidemart.functions.dates import hour_start
 from tidemart.functions.kpi import MONEY, mean, ratio, ratio_pct, rnd
 from tidemart.operators.running import running_sum
-from tidemart.plans.marts import session_channels_per_customer_day
+from tidemart.plans.marts import order_customer_rollup, session_channels_per_customer_day
 from tidemart.plans.warehouse import Warehouse
 
 c = F.col
@@ -35,13 +35,7 @@ def hourly_sales(wh: Warehouse, ltv_orders: float = 10.0) -> DataFrame:
     p = wh.dim_product.select("product_sk", "category_name", "product_name")
     f = wh.fact_order_items.withColumn("snapshot_hour", hour_start("order_ts"))
     keys = ["snapshot_hour", "category_name", "product_name"]
-    sales = f.join(p, "product_sk", "inner").groupBy(*keys).agg(
-        F.sum("revenue").alias("rev"), F.sum("cogs").alias("cogs"),
-        F.sum("gross_profit").alias("gp"),
-        F.countDistinct("order_id").alias("total_orders"),
-        F.sum("quantity").cast("long").alias("total_units"),
-        F.countDistinct("customer_sk").alias("unique_customers"),
-        F.countDistinct(F.when(c("is_first_order") == 1, c("customer_sk"))).alias("new_customers"))
+    sales = order_customer_rollup(f.join(p, "product_sk", "inner"), keys, extra_first=True)
     pe = wh.final("raw_marketing_page_events").select(
         hour_start("event_at").alias("snapshot_hour"), "visit_id", "event_type",
         F.regexp_extract("page_url", r"^/p/(\d+)$", 1).alias("pid"))

@@ -302,10 +302,12 @@ class TestData:
 
     # ------------------------------------------------------------ marketing
     def raw_marketing_traffic_sources(self) -> DataFrame:
-        rows = [(i, n, t) for i, n, t in TRAFFIC_SOURCES]
-        df = self.spark.createDataFrame(rows, "id int, name string, channel_type string")
-        return (df.withColumn("created_at", _ts(FIXED_TS))
-                  .withColumn("loaded_at", _ts(FIXED_TS)))
+        # An inline JVM-side table: no Python worker is involved.
+        rows = F.array(*[F.struct(F.lit(i).cast("int").alias("id"), F.lit(n).alias("name"),
+                                  F.lit(t).alias("channel_type")) for i, n, t in TRAFFIC_SOURCES])
+        return (self.spark.range(1).select(F.inline(rows))
+                .withColumn("created_at", _ts(FIXED_TS))
+                .withColumn("loaded_at", _ts(FIXED_TS)))
 
     @cached_property
     def _campaign_events(self) -> DataFrame:
