@@ -165,3 +165,19 @@ def stream_hourly_kpis(spark: SparkSession, td: TestData) -> DataFrame:
     replay_files(td.table("events"), f"{root}/source")
     return run_hourly_stream(spark, f"{root}/source", f"{root}/sink", f"{root}/checkpoint",
                              ["event_type"], mode="complete")
+
+
+def stream_raw_load(spark: SparkSession, wh: Warehouse) -> DataFrame:
+    """SRC8/SRC9/INC3 as a stream: the incremental extract of web orders laid
+    out as daily batches, loaded by a file stream into the raw table, read
+    back with the latest-version rule."""
+    from tidemart.streaming.ingest import read_latest, stream_load
+    root = scratch(spark, "stream_load")
+    batch = (incremental_extract(wh).drop("loaded_at")
+             .withColumn("ds", F.date_format("created_at", "yyyy-MM-dd")))
+    write_batch(batch, root, "web", "orders")
+    schema = ("id long, user_id long, cart_id long, total_amount double, status string, "
+              "created_at timestamp_ntz, ds string")
+    stream_load(spark, batch_path(root, "web", "orders"), schema, f"{root}/raw_web_orders",
+                f"{root}/checkpoint")
+    return read_latest(spark, f"{root}/raw_web_orders", ["id"])

@@ -79,6 +79,7 @@ QUERIES: dict[str, QueryFn] = {
     "mart_sales": _mart(marts.mart_sales),
     "mart_marketing": _mart(marts.mart_marketing),
     "mart_marketing_last_touch": _mart(marts.mart_marketing, dedupe="last_touch"),
+    "mart_marketing_all_channels": _mart(marts.mart_marketing, base="all"),
     "mart_inventory": _mart(marts.mart_inventory),
     "inventory_turns": _mart(marts.inventory_turns),
     "hourly_sales": _mart(hourly.hourly_sales),
@@ -102,6 +103,7 @@ QUERIES: dict[str, QueryFn] = {
         spark, warehouse(spark, d), q_fact_order_items(spark, d)),
     "batch_layout_fallback": lambda spark, d: operations.batch_layout_fallback(spark, warehouse(spark, d)),
     "stream_hourly_kpis": lambda spark, d: operations.stream_hourly_kpis(spark, TestData(spark, d)),
+    "stream_raw_load": lambda spark, d: operations.stream_raw_load(spark, warehouse(spark, d)),
 }
 
 
