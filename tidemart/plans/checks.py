@@ -134,6 +134,16 @@ RANGE_CHECKS = [
     ("raw_marketing_page_events", _in("event_type", PAGE_EVENT_TYPES)),
 ]
 
+# Source UNIQUE constraints (table, columns), read at the latest version.
+UNIQUE_KEYS = [
+    ("raw_web_users", ("email",)),
+    ("raw_wms_products", ("sku",)),
+    ("raw_wms_inventory", ("wms_product_id",)),
+    ("raw_marketing_traffic_sources", ("name",)),
+    ("raw_marketing_ad_campaign_daily_stats", ("campaign_id", "stat_date")),
+    ("raw_marketing_ad_campaign_daily_stats", ("id",)),
+]
+
 # Foreign keys (table, column, referenced table, referenced column).
 FOREIGN_KEYS = [
     ("raw_web_products", "category_id", "raw_web_categories", "id"),
@@ -230,6 +240,11 @@ def dq_ranges(wh: Warehouse) -> DataFrame:
     return _per_table(wh, RANGE_CHECKS, lambda w, r: expect(r[1], r[1]))
 
 
+def dq_unique_keys(wh: Warehouse) -> DataFrame:
+    """DQ2/DQ6: single and composite uniqueness, one grouped pass each."""
+    return _per_table(wh, UNIQUE_KEYS, lambda w, r: unique(*r[1]))
+
+
 def dq_orphans(wh: Warehouse) -> DataFrame:
     return _per_table(wh, FOREIGN_KEYS, lambda w, r: orphans(r[1], _final(w, r[2]), r[3]))
 

@@ -88,6 +88,7 @@ QUERIES: dict[str, QueryFn] = {
     "dq_model_tests": lambda spark, d: checks.dq_model_tests(warehouse(spark, d), q_dim_date(spark, d)),
     "dq_ranges": _mart(checks.dq_ranges),
     "dq_orphans": _mart(checks.dq_orphans),
+    "dq_unique_keys": _mart(checks.dq_unique_keys),
     "dq_invariants": _mart(checks.dq_invariants),
     "dq_rate_bands": _mart(checks.dq_rate_bands),
     "incremental_extract": _mart(operations.incremental_extract),
