@@ -71,6 +71,7 @@ QUERIES: dict[str, QueryFn] = {
     "dim_customer": _model("dim_customer"),
     "dim_product": _model("dim_product"),
     "dim_campaign": _model("dim_campaign"),
+    "dim_product_join_defaults": lambda spark, d: warehouse(spark, d, null_mode="defaults").dim_product,
     "fact_order_items": q_fact_order_items,
     "fact_sessions": q_fact_sessions,
     "fact_fulfillment": q_fact_fulfillment,
