@@ -1,7 +1,6 @@
 import datetime as dt
 
 import duckdb
-from pyspark.sql import functions as F
 
 from tidemart.functions.dates import (day_of_week_mon1, hours_crossed, seconds_between,
                                       week_of_year_sunday)

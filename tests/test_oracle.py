@@ -3,7 +3,6 @@
 import datetime as dt
 import decimal
 import math
-import os
 
 import duckdb
 import pytest
