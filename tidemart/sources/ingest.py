@@ -66,7 +66,9 @@ class Watermarks:
     def table(self) -> DataFrame:
         from tidemart.sources.batch_io import path_exists
         if not path_exists(self.spark, self.path):
-            return self.spark.createDataFrame([], CONTROL_SCHEMA)
+            return self.spark.range(0).select(
+                F.lit(None).cast("string").alias("table_name"), F.lit(None).cast("date").alias("max_date"),
+                F.lit(None).cast("timestamp_ntz").alias("updated_at"))
         return self.spark.read.schema(CONTROL_SCHEMA).parquet(self.path)
 
     def get(self, table_name: str, init_date: str = DEFAULT_INIT_DATE) -> str:
@@ -78,9 +80,9 @@ class Watermarks:
 
     def update(self, table_name: str, new_date: str) -> None:
         """Upsert (table_name -> max_date, updated_at = now)."""
-        row = self.spark.createDataFrame([(table_name, new_date)], "table_name string, d string")
-        out = row.select("table_name", F.col("d").cast("date").alias("max_date"),
-                         F.current_timestamp().cast("timestamp_ntz").alias("updated_at"))
+        out = self.spark.range(1).select(
+            F.lit(table_name).alias("table_name"), F.lit(new_date).cast("date").alias("max_date"),
+            F.current_timestamp().cast("timestamp_ntz").alias("updated_at"))
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("table_name").parquet(self.path))
 
@@ -97,10 +99,12 @@ def extract_source(spark: SparkSession, source: str, read_table, base: str,
     for t in tables or [t for t in RAW_TABLES if t.source == source]:
         wm = marks.get(f"{t.source}.{t.table}", init_date)
         batch = extract_incremental(read_table(t), t.ts_col, wm, lookback_days)
-        nxt = next_watermark(batch, t.ts_col, wm).first()["max_date"]
-        if nxt == wm:          # empty batch: nothing newer than the watermark
+        stats = batch.agg(F.count(F.lit(1)).alias("n"),
+                          F.date_format(F.max(t.ts_col), "yyyy-MM-dd").alias("max_date")).first()
+        if stats["n"] == 0:    # nothing newer than the watermark: no object, mark unchanged
             out[t.name] = 0
             continue
+        nxt = stats["max_date"]
         out[t.name] = write_batch(batch.withColumn("ds", F.lit(nxt)), base, t.source, t.table)
         marks.update(f"{t.source}.{t.table}", nxt)
     return out

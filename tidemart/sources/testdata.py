@@ -48,6 +48,8 @@ class TestData:
     DataFrames are memoised per instance so one query plan that uses the same
     raw table twice shares the subtree (Spark then reuses the exchange)."""
 
+    __test__ = False  # not a pytest test class
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
