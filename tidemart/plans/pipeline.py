@@ -57,7 +57,8 @@ def build_all(spark: SparkSession, wh: Warehouse, out_dir: str,
     written = []
     for name, key in DIM_ORDER.items():
         df = getattr(wh, name)
-        df.repartition(key).sortWithinPartitions(key).write.mode("overwrite").parquet(f"{out}/core/{name}")
+        df.hint("rebalance", key).sortWithinPartitions(key).write.mode("overwrite").parquet(
+            f"{out}/core/{name}")
         wh.use(name, spark.read.parquet(f"{out}/core/{name}"))
         written.append(name)
     for name, (date_col, order) in FACT_LAYOUT.items():

@@ -59,10 +59,12 @@ def stamp_loaded_at(df: DataFrame) -> DataFrame:
     return df.withColumn("loaded_at", F.current_timestamp().cast("timestamp_ntz"))
 
 
-def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> int:
-    """SRC8 / MERGE3: append a batch; returns rows written (observed)."""
+def append(df: DataFrame, path: str, partition_by: list[str] | None = None,
+           truncate: bool = False) -> int:
+    """SRC8 / MERGE3: append a batch (or replace the table when ``truncate``);
+    returns rows written, observed during the write."""
     obs = Observation("rows_appended")
-    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append")
+    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite" if truncate else "append")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -73,12 +75,14 @@ def write_partitioned_sorted(df: DataFrame, path: str, date_col: str, sort_cols:
                              grain: str = "month") -> None:
     """SRC11 + SORT1: partition a model by toYYYYMM(date) (or by day) and sort
     each file by the model's order key, so parquet min/max statistics prune
-    row groups on the sort key. Rows of one partition value are clustered
-    into the same write tasks; AQE splits oversized partitions."""
+    row groups on the sort key. The rebalance clusters rows of one partition
+    value into few write tasks but lets AQE split a large month into
+    advisory-sized tasks (a plain repartition on the month would send a whole
+    month to one task)."""
     key = "yyyymm" if grain == "month" else "yyyymmdd"
     part = yyyymm(date_col) if grain == "month" else F.date_format(date_col, "yyyyMMdd").cast("int")
     out = df.withColumn(key, part)
-    (out.repartition(key).sortWithinPartitions(key, *sort_cols)
+    (out.hint("rebalance", key).sortWithinPartitions(key, *sort_cols)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(key).parquet(path))
 

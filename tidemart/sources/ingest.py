@@ -110,7 +110,8 @@ def extract_source(spark: SparkSession, source: str, read_table, base: str,
     return out
 
 
-def load_raw(batch: DataFrame, raw_path: str) -> int:
-    """Load step: type repair, loaded_at stamp, append to the raw table."""
+def load_raw(batch: DataFrame, raw_path: str, truncate: bool = False) -> int:
+    """Load step: type repair, loaded_at stamp, append to the raw table
+    (``truncate`` replaces it, for full reloads)."""
     from tidemart.functions.coerce import coerce_datetime_strings
-    return append(stamp_loaded_at(coerce_datetime_strings(batch)), raw_path)
+    return append(stamp_loaded_at(coerce_datetime_strings(batch)), raw_path, truncate=truncate)

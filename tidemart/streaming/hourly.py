@@ -31,8 +31,8 @@ EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type s
 def replay_files(events: DataFrame, path: str) -> None:
     """INC5: lay a table out as day-partitioned parquet files for a file
     stream to replay (one directory per day, files in event order)."""
-    (events.withColumn("day", F.to_date("ts")).repartition("day")
-           .sortWithinPartitions("ts").write.mode("overwrite").partitionBy("day").parquet(path))
+    (events.withColumn("day", F.to_date("ts")).hint("rebalance", "day")
+           .sortWithinPartitions("day", "ts").write.mode("overwrite").partitionBy("day").parquet(path))
 
 
 def hourly_windows(stream: DataFrame, ts_col: str, keys: list[str], value_col: str,
