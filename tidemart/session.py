@@ -51,10 +51,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Only when it is unset (local tests) do we create one of our own."""
     cur = spark.conf.get("spark.checkpoint.dir", None)
-    if not cur:
-        cur = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = _spark_context(spark)
+    if not cur and sc is not None:
+        cur = sc.getConf().get("spark.checkpoint.dir", None)
     if not cur:
         cur = tempfile.mkdtemp(prefix="tidemart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", cur)
-    spark.sparkContext.setCheckpointDir(cur)
+    if sc is not None:
+        sc.setCheckpointDir(cur)
     return cur
+
+
+def _spark_context(spark: SparkSession):
+    """The SparkContext of a classic session; None for a Spark Connect client."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no SparkContext
+        return None

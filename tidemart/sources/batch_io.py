@@ -22,9 +22,17 @@ def batch_path(base: str, source: str, table: str, ds: str | None = None) -> str
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence test through the Hadoop FileSystem of the path (driver-side
-    metadata call, no data is read)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    metadata call, no data is read). Without JVM access (Spark Connect) it
+    falls back to resolving the path as a data source."""
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark._jsparkSession.sessionState().newHadoopConf()
+    except Exception:  # noqa: BLE001 - Connect client
+        try:
+            spark.read.format("binaryFile").load(path).limit(0).collect()
+            return True
+        except Exception:  # noqa: BLE001 - path not found
+            return False
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(conf).exists(p)
 
