@@ -30,6 +30,25 @@ from pyspark.sql import functions as F
 from tidemart.functions.kpi import rnd, sku
 from tidemart.sources.catalog import TRAFFIC_SOURCES
 
+# Column contracts of the driver's test tables (as stored in
+# their parquet footers). Declaring them skips schema inference at read time.
+TABLE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double, props string",
+}
+
 FIXED_TS = "2024-01-01 00:00:00"
 SESSION_DAY0 = "2000-01-01"
 
@@ -53,9 +72,17 @@ class TestData:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str, cols: list[str] | None = None) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """One scan per table per instance (column pruning still reaches it:
+        each caller's select becomes the scan's ReadSchema)."""
+        if name not in self._tables:
+            reader = self.spark.read
+            if name in TABLE_SCHEMAS:
+                reader = reader.schema(TABLE_SCHEMAS[name])
+            self._tables[name] = reader.parquet(f"{self.sf_dir}/{name}.parquet")
+        df = self._tables[name]
         return df.select(*cols) if cols else df
 
     # ------------------------------------------------------------ lineitem
