@@ -23,6 +23,7 @@ from tidemart.operators.joins import left_join_defaults, or_join
 from tidemart.operators.running import running_min_members
 from tidemart.operators.snapshot import latest
 from tidemart.plans.staging import STAGING_SPECS, stage
+from tidemart.sources.catalog import BY_NAME
 
 c = F.col
 
@@ -89,9 +90,12 @@ class Warehouse:
             self._stg_cache[name] = stage(self.raw(raw_name), raw_name, proj())
         return self._stg_cache[name]
 
-    def final(self, raw_name: str, keys=("id",)) -> DataFrame:
-        """A raw table read with latest-version semantics (FINAL)."""
-        key = f"final:{raw_name}"
+    def final(self, raw_name: str, keys=None) -> DataFrame:
+        """A raw table read with latest-version semantics (FINAL), on the
+        identity key of the catalogue unless ``keys`` is given."""
+        if keys is None:
+            keys = BY_NAME[raw_name].keys if raw_name in BY_NAME else ("id",)
+        key = f"final:{raw_name}:{','.join(keys)}"
         if key not in self._stg_cache:
             self._stg_cache[key] = latest(self.raw(raw_name), keys, "loaded_at")
         return self._stg_cache[key]
