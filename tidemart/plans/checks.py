@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from tidemart.operators.quality import (accepted_values, band, expect, not_null, orphans,
                                         run_checks, unique)
-from tidemart.plans import marts
 from tidemart.plans.warehouse import Warehouse
 from tidemart.sources.catalog import (CART_STATUSES, CHANNEL_TYPES, MOVEMENT_TYPES,
                                       OMS_ORDER_STATUSES, ORDER_STATUSES, PAGE_EVENT_TYPES,
@@ -199,7 +198,7 @@ def model_frames(wh: Warehouse, dim_date: DataFrame) -> dict[str, DataFrame]:
         elif m == "dim_date":
             out[m] = dim_date
         elif m.startswith("mart_"):
-            out[m] = wh.mart(m) if hasattr(wh, "mart") else getattr(marts, m)(wh)
+            out[m] = wh.mart(m)
         else:
             out[m] = getattr(wh, m)
     return out
@@ -209,6 +208,12 @@ def _tag(df: DataFrame, name: str, col: str = "model") -> DataFrame:
     return df.select(F.lit(name).alias(col), *df.columns)
 
 
+def _stack(parts: list[DataFrame]) -> DataFrame:
+    """Positional UNION ALL of parts built with one column order and type
+    (cheaper to analyse than resolving names part by part)."""
+    return reduce(DataFrame.union, parts)
+
+
 def dq_model_tests(wh: Warehouse, dim_date: DataFrame) -> DataFrame:
     frames = model_frames(wh, dim_date)
     parts = []
@@ -220,7 +225,7 @@ def dq_model_tests(wh: Warehouse, dim_date: DataFrame) -> DataFrame:
             checks.append({"not_null": lambda: not_null(col), "unique": lambda: unique(col),
                            "accepted_values": lambda: accepted_values(col, vals)}[test]())
         parts.append(_tag(run_checks(frames[model], checks), model))
-    return reduce(DataFrame.unionByName, parts)
+    return _stack(parts)
 
 
 def _per_table(wh: Warehouse, spec, make) -> DataFrame:
@@ -228,7 +233,7 @@ def _per_table(wh: Warehouse, spec, make) -> DataFrame:
     for table in dict.fromkeys(t for t, *_ in spec):
         checks = [make(wh, row) for row in spec if row[0] == table]
         parts.append(_tag(run_checks(_final(wh, table), checks), table, "table_name"))
-    return reduce(DataFrame.unionByName, parts)
+    return _stack(parts)
 
 
 def _final(wh: Warehouse, table: str) -> DataFrame:
@@ -263,4 +268,4 @@ def dq_rate_bands(wh: Warehouse) -> DataFrame:
             for i, (m, _, e, lo, hi) in enumerate(rows)])
         parts.append(agg.select(F.explode(F.array(*[F.col(f"b{i}") for i in range(len(rows))]))
                              .alias("b")).select("b.*"))
-    return reduce(DataFrame.unionByName, parts)
+    return _stack(parts)

@@ -2,10 +2,16 @@
 
 Each query reads the driver's tables in ``sf_dir`` through the raw-table
 adapters and runs over whole tables. Column names match the DuckDB oracle
-statements in ``tidemart.oracle``."""
+statements in ``tidemart.oracle``.
+
+The model graph of one (session, folder) is built once and shared by the
+queries of that session: every model is a lazy, memoised DataFrame, so a
+second query (or a repeated one) reuses the analysed plans instead of
+rebuilding them on the driver; each execution still reads the tables anew."""
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,46 +28,70 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
 def warehouse(spark: SparkSession, sf_dir: str, null_mode: str = "ansi") -> Warehouse:
+    """A fresh model graph (callers may replace models with tables via ``use``)."""
     apply_sql_conf(spark)
     return Warehouse(TestData(spark, sf_dir).raw, null_mode=null_mode)
 
 
+# session -> {(folder, null_mode) | folder: shared Warehouse | TestData}
+_SHARED: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
+def _shared(spark: SparkSession, key, make):
+    per_session = _SHARED.setdefault(spark, {})
+    if key not in per_session:
+        per_session[key] = make()
+    return per_session[key]
+
+
+def _data(spark: SparkSession, sf_dir: str) -> TestData:
+    apply_sql_conf(spark)
+    d = sf_dir.rstrip("/")
+    return _shared(spark, ("data", d), lambda: TestData(spark, d))
+
+
+def _wh(spark: SparkSession, sf_dir: str, null_mode: str = "ansi") -> Warehouse:
+    """The session's shared model graph over ``sf_dir`` (never mutated)."""
+    d = sf_dir.rstrip("/")
+    return _shared(spark, ("warehouse", d, null_mode),
+                   lambda: Warehouse(_data(spark, d).raw, null_mode=null_mode))
+
+
 def _stg(name: str) -> QueryFn:
-    return lambda spark, d: warehouse(spark, d).stg(name)
+    return lambda spark, d: _wh(spark, d).stg(name)
 
 
 def q_latest_version_dedupe(spark, d):
-    apply_sql_conf(spark)
-    return latest(TestData(spark, d).raw_web_order_items(), ["id"], "loaded_at")
+    return latest(_wh(spark, d).raw("raw_web_order_items"), ["id"], "loaded_at")
 
 
 def q_dim_date(spark, d):
-    wh = warehouse(spark, d)
+    wh = _wh(spark, d)
     bounds = wh.raw("raw_web_orders").agg(F.min(F.to_date("created_at")).alias("lo"),
                                           F.max(F.to_date("created_at")).alias("hi"))
     return Warehouse.dim_date_from_bounds(bounds)
 
 
 def q_fact_order_items(spark, d):
-    f = warehouse(spark, d).fact_order_items
+    f = _wh(spark, d).fact_order_items
     return f.select(*[F.col(c).cast("double").alias(c) if c in ("revenue", "cogs", "gross_profit")
                       else F.col(c) for c in f.columns if c != "order_ts"])
 
 
 def q_fact_sessions(spark, d):
-    return warehouse(spark, d).fact_sessions.drop("session_start")
+    return _wh(spark, d).fact_sessions.drop("session_start")
 
 
 def q_fact_fulfillment(spark, d):
-    return warehouse(spark, d).fact_fulfillment.drop("shipment_ts")
+    return _wh(spark, d).fact_fulfillment.drop("shipment_ts")
 
 
 def _model(attr: str) -> QueryFn:
-    return lambda spark, d: getattr(warehouse(spark, d), attr)
+    return lambda spark, d: getattr(_wh(spark, d), attr)
 
 
 def _mart(fn, **kw) -> QueryFn:
-    return lambda spark, d: fn(warehouse(spark, d), **kw)
+    return lambda spark, d: _wh(spark, d).model(fn, **kw)
 
 
 QUERIES: dict[str, QueryFn] = {
@@ -71,7 +101,7 @@ QUERIES: dict[str, QueryFn] = {
     "dim_customer": _model("dim_customer"),
     "dim_product": _model("dim_product"),
     "dim_campaign": _model("dim_campaign"),
-    "dim_product_join_defaults": lambda spark, d: warehouse(spark, d, null_mode="defaults").dim_product,
+    "dim_product_join_defaults": lambda spark, d: _wh(spark, d, null_mode="defaults").dim_product,
     "fact_order_items": q_fact_order_items,
     "fact_sessions": q_fact_sessions,
     "fact_fulfillment": q_fact_fulfillment,
@@ -86,7 +116,7 @@ QUERIES: dict[str, QueryFn] = {
     "hourly_sales": _mart(hourly.hourly_sales),
     "hourly_marketing": _mart(hourly.hourly_marketing),
     "hourly_inventory": _mart(hourly.hourly_inventory),
-    "dq_model_tests": lambda spark, d: checks.dq_model_tests(warehouse(spark, d), q_dim_date(spark, d)),
+    "dq_model_tests": lambda spark, d: checks.dq_model_tests(_wh(spark, d), q_dim_date(spark, d)),
     "dq_ranges": _mart(checks.dq_ranges),
     "dq_orphans": _mart(checks.dq_orphans),
     "dq_unique_keys": _mart(checks.dq_unique_keys),
@@ -94,18 +124,18 @@ QUERIES: dict[str, QueryFn] = {
     "dq_rate_bands": _mart(checks.dq_rate_bands),
     "incremental_extract": _mart(operations.incremental_extract),
     "watermark_next": _mart(operations.watermark_next),
-    "upsert_merge": lambda spark, d: operations.upsert_merge(warehouse(spark, d), TestData(spark, d)),
+    "upsert_merge": lambda spark, d: operations.upsert_merge(_wh(spark, d), _data(spark, d)),
     "get_or_create_ids": lambda spark, d: operations.get_or_create_category_ids(
-        warehouse(spark, d), TestData(spark, d)),
+        _wh(spark, d), _data(spark, d)),
     "cost_backfill": _mart(operations.cost_backfill),
-    "coerce_datetime_strings": lambda spark, d: operations.coerce_datetimes(TestData(spark, d)),
+    "coerce_datetime_strings": lambda spark, d: operations.coerce_datetimes(_data(spark, d)),
     "orders_from_carts": _mart(operations.orders_from_carts),
     "latest_ids_topk": _mart(operations.latest_ids_topk),
     "partitioned_sink_roundtrip": lambda spark, d: operations.partitioned_sink_roundtrip(
-        spark, warehouse(spark, d), q_fact_order_items(spark, d)),
-    "batch_layout_fallback": lambda spark, d: operations.batch_layout_fallback(spark, warehouse(spark, d)),
-    "stream_hourly_kpis": lambda spark, d: operations.stream_hourly_kpis(spark, TestData(spark, d)),
-    "stream_raw_load": lambda spark, d: operations.stream_raw_load(spark, warehouse(spark, d)),
+        spark, _wh(spark, d), q_fact_order_items(spark, d)),
+    "batch_layout_fallback": lambda spark, d: operations.batch_layout_fallback(spark, _wh(spark, d)),
+    "stream_hourly_kpis": lambda spark, d: operations.stream_hourly_kpis(spark, _data(spark, d)),
+    "stream_raw_load": lambda spark, d: operations.stream_raw_load(spark, _wh(spark, d)),
 }
 
 
