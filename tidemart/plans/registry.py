@@ -38,7 +38,10 @@ _SHARED: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 
 
 def _shared(spark: SparkSession, key, make):
-    per_session = _SHARED.setdefault(spark, {})
+    try:
+        per_session = _SHARED.setdefault(spark, {})
+    except TypeError:  # a session type that cannot be a weak key: no sharing
+        return make()
     if key not in per_session:
         per_session[key] = make()
     return per_session[key]
