@@ -91,7 +91,7 @@ def hourly_marketing(wh: Warehouse, chat_min_pages: int = 5) -> DataFrame:
              .groupBy("customer_sk", c("order_date").alias("day"),
                       hour_start("order_ts").alias("snapshot_hour"))
              .agg(F.sum("revenue").alias("rev"), F.count_if(c("is_first_order") == 1).alias("nf")))
-    sess = session_channels_per_customer_day(wh, "none")
+    sess = wh.model(session_channels_per_customer_day, dedupe="none")
     w = F.coalesce(c("n"), F.lit(1))
     rev = (lines.join(sess, ["customer_sk", "day"], "left")
            .groupBy("snapshot_hour", F.coalesce(c("channel_name"), F.lit("")).alias("channel_name"))
