@@ -62,11 +62,18 @@ def rows_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
 
 
-def keep_rows(docs: DataFrame, decided: DataFrame, how: str, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` left-semi or left-anti joined to the ids in ``decided.doc_id``
-    (null-safe); all columns of ``docs`` are kept."""
-    ids = decided.select(F.col("doc_id").alias("__decided_doc_id"))
-    return docs.join(ids, docs[id_col].eqNullSafe(ids["__decided_doc_id"]), how)
+def once_each(docs: DataFrame, kept: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of ``docs`` whose ``keys`` are in ``kept`` (null-safe), one for each
+    key: rows repeated under one key are reduced, in a further shuffle that is
+    only planned when a key of ``kept`` occurs more than once."""
+    kept = stored(kept.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+                  .select(*(F.col(k).alias(f"__kept{i}") for i, k in enumerate(keys)), "__n"), "kept")
+    same = None
+    for i, k in enumerate(keys):
+        one = docs[k].eqNullSafe(kept[f"__kept{i}"])
+        same = one if same is None else same & one
+    out = docs.join(kept, same, "left_semi")
+    return out if kept.where("__n > 1").isEmpty() else out.dropDuplicates(keys)
 
 
 def utf8_rows(column) -> Iterable[bytes]:

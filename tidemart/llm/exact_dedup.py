@@ -26,7 +26,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import ascii_lower, prepare, rows_of, scratch, stored, table
+from tidemart.llm.common import ascii_lower, once_each, prepare, rows_of, scratch, stored, table, text_or_empty
 
 SALTS = 64      # parts of one group of copies
 BUCKETS = 64    # buckets of the index; thousands for a corpus of 100 TB
@@ -62,7 +62,7 @@ class DigestIndex:
         """Deduplicates a batch against the index and itself, appends what is new
         and returns one row per row of ``docs``: doc_id, keep_id, group_size (rows
         of this text in the batch and, for an older text, in the batch that brought
-        it), kept, digest."""
+        it), kept, digest, new (the batch brought the text)."""
         batch = uuid.uuid4().hex
         # one row per (text, doc_id); copies of a row are counted, not kept apart
         rows = stored(rows_of(docs).select("doc_id", digest(F.col("text")).alias("digest"))
@@ -85,7 +85,7 @@ class DigestIndex:
                         F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("copy"))
                 .select("doc_id", "keep_id", "group_size",
                         (F.col("new") & F.col("doc_id").eqNullSafe(F.col("keep_id"))
-                         & (F.col("copy") == 1)).alias("kept"), "digest"))
+                         & (F.col("copy") == 1)).alias("kept"), "digest", "new"))
 
 
 def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
@@ -97,14 +97,11 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
 
 def drop_copies(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     """``docs`` without the rows that lose; all columns kept."""
-    kept = stored(exact_dedup(docs, index).where("kept").select(
-        F.col("doc_id").alias("__kept_id"), F.col("digest").alias("__kept_digest"),
-        F.col("group_size").alias("__kept_size")), "kept")
-    mine = docs.withColumn("__digest", digest(F.coalesce(F.col("text"), F.lit(""))))
-    out = mine.join(kept, (mine["__digest"] == kept["__kept_digest"])
-                    & mine["doc_id"].eqNullSafe(kept["__kept_id"]), "left_semi")
-    # rows repeated as a whole pass the join together: one of each stays
-    return out.dropDuplicates(["__digest", "doc_id"]).drop("__digest")
+    decided = exact_dedup(docs, index)
+    stays = decided.where("new").where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    mine = docs.withColumn("__digest", digest(text_or_empty()))
+    return once_each(mine, stays.select("doc_id", F.col("digest").alias("__digest")),
+                     ["doc_id", "__digest"]).drop("__digest")
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemart.llm import exact_dedup, sharding
+from tidemart.llm import exact_dedup, sharding, simhash
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op5_sharding": sharding.op5_sharding,
+    "op6_simhash": simhash.op6_simhash,
 }
 
 SQL: dict[str, str] = {
