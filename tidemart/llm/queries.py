@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemart.llm import exact_dedup, sharding, simhash
+from tidemart.llm import byte_bpe, exact_dedup, sharding, simhash, simple8b
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {
+    "op2_simple8b": simple8b.op2_simple8b,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+    "op4_byte_bpe": byte_bpe.op4_byte_bpe,
     "op5_sharding": sharding.op5_sharding,
     "op6_simhash": simhash.op6_simhash,
 }
