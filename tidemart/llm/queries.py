@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemart.llm import byte_bpe, exact_dedup, sharding, simhash, simple8b
+from tidemart.llm import byte_bpe, decontam, exact_dedup, sharding, simhash, simple8b
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {
+    "op1_decontamination": decontam.op1_decontamination,
     "op2_simple8b": simple8b.op2_simple8b,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_byte_bpe": byte_bpe.op4_byte_bpe,
@@ -19,5 +20,6 @@ QUERIES: dict[str, QueryFn] = {
 }
 
 SQL: dict[str, str] = {
+    "op1_decontamination": decontam.OP1_SQL,
     "op3_exact_dedup": exact_dedup.OP3_SQL,
 }
