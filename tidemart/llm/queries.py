@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemart.llm import byte_bpe, decontam, exact_dedup, sharding, simhash, simple8b
+from tidemart.llm import byte_bpe, decontam, exact_dedup, secrets, sharding, simhash, simple8b
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,7 @@ QUERIES: dict[str, QueryFn] = {
     "op4_byte_bpe": byte_bpe.op4_byte_bpe,
     "op5_sharding": sharding.op5_sharding,
     "op6_simhash": simhash.op6_simhash,
+    "op7_secrets": secrets.op7_secrets,
 }
 
 SQL: dict[str, str] = {
