@@ -82,3 +82,20 @@ def utf8_rows(column) -> Iterable[bytes]:
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
     for v in column.cast(kind).to_pylist():
         yield v if v is not None else b""
+
+
+SAMPLE_TEXT = 1 << 16   # bytes; longer texts are not fitted on (they are scored like any other)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, where: Column | None = None) -> list:
+    """At most ``rows`` labelled documents (doc_id, text, quality, toxic) to fit on,
+    in the order of a hash of doc_id, so they are spread evenly over the corpus.
+    The documents are read once and joined to the ``rows`` picked labels."""
+    picked = (labels.select("doc_id", "quality", "toxic").dropna().dropDuplicates(["doc_id"])
+              .withColumn("h", F.xxhash64("doc_id")))
+    if where is not None:
+        picked = picked.where(where)
+    picked = F.broadcast(picked.orderBy("h", "doc_id").limit(rows))     # ``rows`` rows whatever the data
+    found = (rows_of(docs).where(F.octet_length("text") <= SAMPLE_TEXT).join(picked, "doc_id")
+             .orderBy("h", "doc_id", "text").limit(rows))
+    return found.select("doc_id", "text", "quality", "toxic").collect()

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemart.llm import byte_bpe, decontam, exact_dedup, secrets, sharding, simhash, simple8b
+from tidemart.llm import byte_bpe, decontam, exact_dedup, secrets, sharding, simhash, simple8b, toxicity
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +18,7 @@ QUERIES: dict[str, QueryFn] = {
     "op5_sharding": sharding.op5_sharding,
     "op6_simhash": simhash.op6_simhash,
     "op7_secrets": secrets.op7_secrets,
+    "op8_toxicity": toxicity.op8_toxicity,
 }
 
 SQL: dict[str, str] = {
