@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tidemart.llm.common import rows_of, table, utf8_rows
 
-MEMO = 1 << 17      # pre-tokens in one generation of the memo
+MEMO = 1 << 18      # pre-tokens in one generation of the memo
 PIECE = 1 << 18     # characters whose pre-tokens are looked up together
 
 
@@ -83,40 +83,44 @@ class PerfectHash:
         return out
 
 
-def merge_bytes(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+def merge_bytes(piece: bytes, ranks: dict[bytes, int], of_two: list[int]) -> list[int]:
     """The ids of ``piece``: of all neighbours the pair of lowest rank is merged,
-    leftmost first, until no pair is in the vocabulary."""
+    leftmost first, until no pair is in the vocabulary. ``of_two`` has the rank of
+    every two bytes (-1: none) at 256 times the first plus the second.
+
+    A part is known by the place of its first byte. The heap holds rank and place
+    as one number; an entry counts while the part's pair still has that rank."""
     n = len(piece)
-    after = list(range(1, n + 1))       # start of the next part
-    before = list(range(-1, n))         # start of the part before
-    end = list(range(1, n + 2))         # end of the part that starts here, 0 once merged away
-    heap = []
-    for i in range(n - 1):
-        r = ranks.get(piece[i:i + 2])
-        if r is not None:
-            heap.append((r, i, i + 2))
+    want = [of_two[a << 8 | b] for a, b in zip(piece, piece[1:], strict=False)]     # rank with the next part
+    want.append(-1)
+    heap = [r << 32 | i for i, r in enumerate(want) if r >= 0]
     heapq.heapify(heap)
+    after = list(range(1, n + 1))
+    before = list(range(-1, n))
+    rank, pop, push = ranks.get, heapq.heappop, heapq.heappush
     while heap:
-        r, i, stop = heapq.heappop(heap)
+        x = pop(heap)
+        i = x & 0xFFFFFFFF
+        if want[i] != x >> 32:
+            continue
         j = after[i]
-        if not end[i] or end[i] != j or j >= n or end[j] != stop:
-            continue                    # one of the two parts has changed since
-        end[i], end[j] = stop, 0
-        after[i] = stop
-        if stop < n:
-            before[stop] = i
-            r = ranks.get(piece[i:end[stop]])
-            if r is not None:
-                heapq.heappush(heap, (r, i, end[stop]))
+        stop = after[i] = after[j]
+        want[j] = -1
+        before[stop] = i
+        r = rank(piece[i:after[stop]], -1) if stop < n else -1
+        want[i] = r
+        if r >= 0:
+            push(heap, r << 32 | i)
         k = before[i]
         if k >= 0:
-            r = ranks.get(piece[k:stop])
-            if r is not None:
-                heapq.heappush(heap, (r, k, stop))
+            r = want[k] = rank(piece[k:stop], -1)
+            if r >= 0:
+                push(heap, r << 32 | k)
     out, i = [], 0
     while i < n:
-        out.append(ranks[piece[i:end[i]]])
-        i = end[i]
+        j = after[i]
+        out.append(ranks[piece[i:j]])
+        i = j
     return out
 
 
@@ -136,6 +140,7 @@ class ByteBPE:
         for t, p in zip(tokens, self.hash.places(tokens).tolist(), strict=True):
             self.slots[p] = t
         self.slot_ids = np.array([self.ranks[t] for t in self.slots], np.int64)
+        self.of_two = [self.ranks.get(bytes((a, b)), -1) for a in range(256) for b in range(256)]
         self.split = regex.compile(pattern).findall
         self.memo: dict[str, tuple[int, ...]] = {}
         self.old: dict[str, tuple[int, ...]] = {}
@@ -158,7 +163,7 @@ class ByteBPE:
             if at >= 0 and self.slots[at] == b:
                 self.memo[p] = (int(self.slot_ids[at]),)
             else:
-                self.memo[p] = tuple(merge_bytes(b, self.ranks))
+                self.memo[p] = tuple(merge_bytes(b, self.ranks, self.of_two))
 
     def encode_many(self, texts: list[str]) -> list[list[int]]:
         cut = [self.split(t) for t in texts]
