@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemart.llm import byte_bpe, decontam, exact_dedup, secrets, sharding, simhash, simple8b, toxicity
+from tidemart.llm import byte_bpe, decontam, exact_dedup, quality, secrets, sharding, simhash, simple8b, toxicity
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,7 @@ QUERIES: dict[str, QueryFn] = {
     "op6_simhash": simhash.op6_simhash,
     "op7_secrets": secrets.op7_secrets,
     "op8_toxicity": toxicity.op8_toxicity,
+    "op9_quality": quality.op9_quality,
 }
 
 SQL: dict[str, str] = {
