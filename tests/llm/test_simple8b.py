@@ -48,14 +48,14 @@ def test_file_round_trip_and_random_access():
     assert S.TokenFile(S.to_file([], [], np.zeros(0, np.uint32))).ids().size == 0
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.text(max_size=50) | st.text(alphabet="Ab 's\n\r\t\x1c\x85\xa0́　éİK1２!", max_size=50))
-def test_chunks_encode_like_whole_texts(text):
+@settings(max_examples=500, deadline=None)
+@given(st.text(max_size=50) | st.text(alphabet=st.characters(min_codepoint=1, max_codepoint=0x530), max_size=30) | st.text(alphabet="Ab 's\n\r\t\x1c\x85\xa0́　éİK1２!", max_size=50))
+def test_encodes_like_the_library(text):
     text = text.encode("utf-8", "ignore").decode()
-    assert _enc.encode([text], 1)[0].tolist() == [*_whole.encode(text, add_special_tokens=False).ids, 1]
+    assert _enc.encode([text, "a " + text])[0].tolist() == [*_whole.encode(text, add_special_tokens=False).ids, 1]
 
 
-_enc = S.ChunkEncoder(PATH)
+_enc = S.TextEncoder(PATH)
 _whole = Tokenizer.from_file(PATH)
 _whole.encode_special_tokens = True
 

@@ -25,8 +25,10 @@ table gives no files and no rows; extra columns are not looked at."""
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
+from array import array
 from itertools import chain
 
 from pyspark import TaskContext
@@ -42,7 +44,12 @@ BLOCK = 1024
 LISTED = 4096           # most ids that a file lists
 FILE_IDS = 1 << 21
 END_ID = 1
-MEMO = 1 << 17          # chunks in one generation of the memo
+STORE = 1 << 18         # pre-tokens held by an encoder
+_END = "\n"             # stands for the end id; no pre-token has white space
+_CUT = "'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{digit}]|[^\\s{letter}{digit}]+"      # the tokenizer's own pattern
+_CUT_ASCII = re.compile(_CUT.format(letter="a-z", digit="0-9")).findall
+_ODD_ASCII = re.compile("[^\t\n\r -~]").search
+_ODD = re.compile("[^\t\n\r -~\u00a1-\u02ff\u0388-\u0482\u048a-\u052f]").search
 _ROW = BLOCK + COUNTS[0]
 
 
@@ -117,8 +124,13 @@ def unpack(words, first, n: int):
 def to_file(doc_ids: list[int | None], lengths: list[int], ids) -> bytes:
     """The bytes of one file; ``ids`` (uint32) are those of all documents in turn."""
     import numpy as np
-    known, at, times = np.unique(ids, return_inverse=True, return_counts=True)
+    if len(ids) and ids.max() < 1 << 22:                # a count for every id that may occur
+        at, times = ids, np.bincount(ids)
+        known = np.arange(len(times))
+    else:
+        known, at, times = np.unique(ids, return_inverse=True, return_counts=True)
     order = np.lexsort((known, -times))[:LISTED]        # most frequent first
+    order = order[times[order] > 0]
     code = known.astype(np.uint64) + np.uint64(len(order))
     code[order] = np.arange(len(order), dtype=np.uint64)
     words, first = pack(code[at] if len(ids) else np.zeros(0, np.uint64))
@@ -167,37 +179,69 @@ class TokenFile:
         return out[start - a * BLOCK:stop - a * BLOCK]
 
 
-class ChunkEncoder:
-    """The ids of texts by the tokenizers library. Its pre-tokens never span white
-    space, so texts are cut at blanks and line ends, each chunk is encoded once,
-    and a memo of two generations of fixed size holds the results."""
+class TextEncoder:
+    """The ids of texts by the tokenizers library, its model applied once to each
+    pre-token that recurs.
 
-    def __init__(self, path: str):
+    Texts of printable ASCII, line ends and the composed letters of Latin, Greek
+    and Cyrillic are lower-cased and cut into pre-tokens here (their normal form
+    is what they are); any other text goes through the library whole. Ids are
+    kept in one flat array, a pre-token being a number that leads into it, so a
+    group of texts is put together by numpy. The store is emptied when full."""
+
+    def __init__(self, path: str, end_id: int = END_ID):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a worker for each core
+        import regex
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True     # their strings in a text are ordinary text
-        self.memo: dict[str, tuple[int, ...]] = {}
-        self.old: dict[str, tuple[int, ...]] = {}
-
-    def encode(self, texts: list[str], end_id: int) -> list:
-        """An array of ids for each text, with ``end_id`` after its own."""
-        import numpy as np
-        cut = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        if len(self.memo) > MEMO:
-            self.old, self.memo = self.memo, {}
-        new = []
-        for c in set(chain.from_iterable(cut)).difference(self.memo):
-            known = self.old.get(c)
-            if known is None:
-                new.append(c)
+        self.cut_any = regex.compile(_CUT.format(letter=r"\p{L}", digit=r"\p{N}")).findall
+        self.end_id = end_id
+        self._empty()
+
+    def _empty(self) -> None:
+        self.number = {_END: 0}                         # pre-token -> its number
+        self.flat, self.start = array("I", [self.end_id]), array("q", [0, 1])
+
+    def _learn(self, pieces: set[str]) -> None:
+        if len(self.number) > STORE:
+            self._empty()
+        tokenize = self.tokenizer.model.tokenize
+        for p in pieces.difference(self.number):
+            if p.isascii():
+                ids = [t.id for t in tokenize(p)]
             else:
-                self.memo[c] = known
-        for c, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            self.memo[c] = tuple(e.ids)
-        known = self.memo.__getitem__
-        return [np.fromiter(chain(chain.from_iterable(map(known, chunks)), (end_id,)), np.uint32) for chunks in cut]
+                ids = [t.id for q, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(p) for t in tokenize(q)]
+            self.number[p] = len(self.number)
+            self.flat.extend(ids)
+            self.start.append(len(self.flat))
+
+    def _pieces(self, text: str) -> list[str] | None:
+        if text.isascii():
+            return None if _ODD_ASCII(text) else _CUT_ASCII(text.lower())
+        return None if _ODD(text) else self.cut_any(text.replace("\u03a3", "\u03c3").lower())
+
+    def encode(self, texts: list[str]) -> list:
+        """An array of ids for each text, the end id after its own."""
+        import numpy as np
+        cut = [self._pieces(t) for t in texts]
+        known = [p if p is not None else [] for p in cut]
+        for p in known:
+            p.append(_END)
+        self._learn(set(chain.from_iterable(known)))
+        counts = np.array([len(p) for p in known])
+        number = np.fromiter(map(self.number.__getitem__, chain.from_iterable(known)), np.int64, int(counts.sum()))
+        start = np.array(self.start, np.int64)
+        n = (start[1:] - start[:-1])[number]
+        stop = np.cumsum(n)
+        ids = np.array(self.flat, np.uint32)[np.arange(int(n.sum())) + np.repeat(start[number] - (stop - n), n)]
+        out = np.split(ids, stop[np.cumsum(counts) - 1][:-1])
+        for k, p in enumerate(cut):
+            if p is None:
+                whole = self.tokenizer.encode(texts[k], add_special_tokens=False).ids
+                out[k] = np.array([*whole, self.end_id], np.uint32)
+        return out
 
 
 def _put(folder: str, name: str, data: bytes) -> None:
@@ -233,7 +277,7 @@ def write_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int =
     def batches(it):
         import numpy as np
         import pyarrow as pa
-        encoder = ChunkEncoder(tokenizer_path)
+        encoder = TextEncoder(tokenizer_path, end_id)
         part, made = TaskContext.get().partitionId(), 0
         doc_ids, ids, held = [], [], 0
 
@@ -251,8 +295,8 @@ def write_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int =
         for b in it:
             keys = b.column(0).to_pylist()
             texts = [t.decode() for t in utf8_rows(b.column(1))]
-            for k in range(0, len(texts), 64):
-                for i, x in zip(keys[k:k + 64], encoder.encode(texts[k:k + 64], end_id), strict=True):
+            for k in range(0, len(texts), 256):
+                for i, x in zip(keys[k:k + 256], encoder.encode(texts[k:k + 256]), strict=True):
                     doc_ids.append(i)
                     ids.append(x)
                     held += len(x)
@@ -290,7 +334,7 @@ def read_files(files: DataFrame, folder: str) -> DataFrame:
                          pa.array(stop - begin),
                          pa.array([ids[a:z].tobytes() for a, z in zip(begin, stop, strict=True)], pa.binary())],
                         names=["doc_id", "start", "n_tokens", "ids"])
-    spread = files.select("name", "start").repartition("name")
+    spread = files.select("name", "start").repartition(max(1, files.count()))   # a task for each file
     return spread.mapInArrow(batches, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
 
 
