@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemart.llm import byte_bpe, decontam, exact_dedup, quality, secrets, sharding, simhash, simple8b, toxicity
+from tidemart.llm import byte_bpe, decontam, exact_dedup, licences, quality, secrets, sharding, simhash, simple8b, toxicity
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,7 @@ QUERIES: dict[str, QueryFn] = {
     "op7_secrets": secrets.op7_secrets,
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_quality": quality.op9_quality,
+    "op10_licences": licences.op10_licences,
 }
 
 SQL: dict[str, str] = {
