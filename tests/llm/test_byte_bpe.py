@@ -52,13 +52,22 @@ def test_long_and_odd_texts(reference, bpe):
         assert bpe.decode(bpe.encode(t)) == t.encode()
 
 
-def test_memo_generations(reference, bpe, monkeypatch):
-    monkeypatch.setattr(B, "MEMO", 5)
+def test_store_is_emptied(reference, bpe, monkeypatch):
+    monkeypatch.setattr(B, "STORE", 5)
     for k in range(40):
         t = f"word{k % 7} and number {k} again word{k % 3}"
         assert bpe.encode(t) == reference.encode_ordinary(t)
 
 
+def test_decodes_sliced_lists(bpe):
+    import pyarrow as pa
+    texts = ["one two", "", "é!", "three"]
+    lists = pa.array([bpe.encode(t) for t in texts], pa.list_(pa.int32()))
+    assert [x.as_py() for x in bpe.decode_many(lists.slice(1, 3))] == [t.encode() for t in texts[1:]]
+    assert len(bpe.decode_many(lists.slice(0, 0))) == 0
+    assert bpe.decode_many(lists.slice(1, 1))[0].as_py() == b""
+
+
 def test_query_columns(spark, reference):
     rows = [(1, "Hello world, hello"), (2, None), (3, ""), (4, "x" * 400_000), (1, "Hello world, hello"), (None, "é è")]
     got = sorted((tuple(r) for r in B.round_trip(odd_columns(docs(spark, rows))).drop("ids").collect()), key=repr)

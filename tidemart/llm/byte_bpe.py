@@ -6,8 +6,9 @@ arrays, the place of a key being the rank of its bit) resolves the pre-tokens
 that are whole vocabulary entries; the entry found is compared with the
 pre-token, since the hash maps strangers somewhere too. Tier two: the rest is
 merged from single bytes over a linked list, with a heap that yields the
-lowest rank, leftmost first. Results are kept in a memo of two generations of
-fixed size, so memory does not grow with the corpus.
+lowest rank, leftmost first. Results are kept in a store of fixed size (emptied
+when full), so memory does not grow with the corpus; a pre-token is a number
+that leads into the store, and texts are put together by numpy.
 
 Defined cases: null text counts as empty; an empty text has no ids, and
 decodes to no bytes; special tokens are ordinary text; repeated rows give
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from collections.abc import Iterable
 from functools import lru_cache
 from itertools import chain
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tidemart.llm.common import rows_of, table, utf8_rows
 
-MEMO = 1 << 18      # pre-tokens in one generation of the memo
+STORE = 1 << 19      # pre-tokens an encoder holds
 PIECE = 1 << 18     # characters whose pre-tokens are looked up together
 
 
@@ -83,45 +85,63 @@ class PerfectHash:
         return out
 
 
-def merge_bytes(piece: bytes, ranks: dict[bytes, int], of_two: list[int]) -> list[int]:
-    """The ids of ``piece``: of all neighbours the pair of lowest rank is merged,
-    leftmost first, until no pair is in the vocabulary. ``of_two`` has the rank of
-    every two bytes (-1: none) at 256 times the first plus the second.
-
-    A part is known by the place of its first byte. The heap holds rank and place
-    as one number; an entry counts while the part's pair still has that rank."""
-    n = len(piece)
-    want = [of_two[a << 8 | b] for a, b in zip(piece, piece[1:], strict=False)]     # rank with the next part
-    want.append(-1)
-    heap = [r << 32 | i for i, r in enumerate(want) if r >= 0]
-    heapq.heapify(heap)
-    after = list(range(1, n + 1))
-    before = list(range(-1, n))
-    rank, pop, push = ranks.get, heapq.heappop, heapq.heappush
-    while heap:
-        x = pop(heap)
-        i = x & 0xFFFFFFFF
-        if want[i] != x >> 32:
-            continue
-        j = after[i]
-        stop = after[i] = after[j]
-        want[j] = -1
-        before[stop] = i
-        r = rank(piece[i:after[stop]], -1) if stop < n else -1
-        want[i] = r
-        if r >= 0:
-            push(heap, r << 32 | i)
-        k = before[i]
-        if k >= 0:
-            r = want[k] = rank(piece[k:stop], -1)
-            if r >= 0:
-                push(heap, r << 32 | k)
-    out, i = [], 0
-    while i < n:
-        j = after[i]
-        out.append(ranks[piece[i:j]])
-        i = j
-    return out
+_NONE = 1 << 62         # no such pair; above every rank
+_PLACE = (1 << 32) - 1
+
+
+class Merger:
+    """Merges of single bytes: of all neighbours the pair of lowest rank, leftmost
+    first, until no pair is in the vocabulary."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.byte = [ranks[bytes((a,))] for a in range(256)]
+        self.rank = {t: r << 32 for t, r in ranks.items()}
+        self.of_two = [self.rank.get(bytes((a, b)), _NONE) for a in range(256) for b in range(256)]
+
+    def __call__(self, piece: bytes) -> list[int]:
+        """The ids of ``piece``. A part is known by the place of its first byte; the
+        heap holds rank (upper bits) and place as one number, and an entry counts
+        while it is what ``want`` has for its place."""
+        n = len(piece)
+        of_two = self.of_two
+        want = [of_two[a << 8 | b] | i for i, (a, b) in enumerate(zip(piece, piece[1:], strict=False))]
+        heap = [x for x in want if x < _NONE]
+        if not heap:
+            return [self.byte[a] for a in piece]
+        heapq.heapify(heap)
+        want.append(_NONE)
+        token = [self.byte[a] for a in piece]
+        after = list(range(1, n + 1))
+        before = list(range(-1, n))
+        rank, pop, push = self.rank.get, heapq.heappop, heapq.heappush
+        while heap:
+            x = pop(heap)
+            i = x & _PLACE
+            if want[i] != x:
+                continue
+            j = after[i]
+            stop = after[i] = after[j]
+            token[i] = x >> 32
+            want[j] = want[i] = _NONE
+            before[stop] = i
+            if stop < n:
+                r = rank(piece[i:after[stop]])
+                if r is not None:
+                    want[i] = r = r | i
+                    push(heap, r)
+            k = before[i]
+            if k >= 0:
+                r = rank(piece[k:stop])
+                if r is None:
+                    want[k] = _NONE
+                else:
+                    want[k] = r = r | k
+                    push(heap, r)
+        out, i = [], 0
+        while i < n:
+            out.append(token[i])
+            i = after[i]
+        return out
 
 
 class ByteBPE:
@@ -129,53 +149,75 @@ class ByteBPE:
 
     def __init__(self, path: str, pattern: str):
         import numpy as np
+        import pyarrow as pa
         import regex
         with open(path, "rb") as f:
             lines = [x.split() for x in f if x.strip()]
         self.ranks = {base64.b64decode(t): int(r) for t, r in lines}
         tokens = list(self.ranks)
-        self.bytes_of = {r: t for t, r in self.ranks.items()}
         self.hash = PerfectHash(tokens)
         self.slots: list[bytes] = [b""] * len(tokens)
         for t, p in zip(tokens, self.hash.places(tokens).tolist(), strict=True):
             self.slots[p] = t
         self.slot_ids = np.array([self.ranks[t] for t in self.slots], np.int64)
-        self.of_two = [self.ranks.get(bytes((a, b)), -1) for a in range(256) for b in range(256)]
+        by_id = [b""] * (max(self.ranks.values()) + 1)
+        for t, r in self.ranks.items():
+            by_id[r] = t
+        self.tokens = pa.array(by_id, pa.large_binary())
+        self.merge = Merger(self.ranks)
         self.split = regex.compile(pattern).findall
-        self.memo: dict[str, tuple[int, ...]] = {}
-        self.old: dict[str, tuple[int, ...]] = {}
+        self._empty()
+
+    def _empty(self) -> None:
+        self.number: dict[str, int] = {}                # pre-token -> its number
+        self.flat, self.start = array("i"), array("q", [0])
 
     def _learn(self, pieces: set[str]) -> None:
-        if len(self.memo) > MEMO:
-            self.old, self.memo = self.memo, {}
-        new = []
-        for p in pieces.difference(self.memo):
-            known = self.old.get(p)
-            if known is None:
-                new.append(p)
-            else:
-                self.memo[p] = known
-        if not new:
-            return
+        if len(self.number) > STORE:
+            self._empty()
+        new = list(pieces.difference(self.number))
         raw = [p.encode() for p in new]
-        places = self.hash.places(raw).tolist()
-        for p, b, at in zip(new, raw, places, strict=True):
+        number, flat, start, merge = self.number, self.flat, self.start, self.merge
+        for p, b, at in zip(new, raw, self.hash.places(raw).tolist(), strict=True):
             if at >= 0 and self.slots[at] == b:
-                self.memo[p] = (int(self.slot_ids[at]),)
+                flat.append(int(self.slot_ids[at]))
             else:
-                self.memo[p] = tuple(merge_bytes(b, self.ranks, self.of_two))
+                flat.extend(merge(b))
+            number[p] = len(number)
+            start.append(len(flat))
 
-    def encode_many(self, texts: list[str]) -> list[list[int]]:
+    def encode_many(self, texts: list[str]):
+        """(ids of all texts in turn, number of ids of each text)."""
+        import numpy as np
         cut = [self.split(t) for t in texts]
         self._learn(set(chain.from_iterable(cut)))
-        known = self.memo.__getitem__
-        return [list(chain.from_iterable(map(known, pieces))) for pieces in cut]
+        counts = np.array([len(c) for c in cut], np.int64)
+        number = np.fromiter(map(self.number.__getitem__, chain.from_iterable(cut)), np.int64, int(counts.sum()))
+        start = np.array(self.start, np.int64)
+        n = (start[1:] - start[:-1])[number]
+        stop = np.cumsum(n)
+        ids = np.array(self.flat, np.int32)[np.arange(int(n.sum())) + np.repeat(start[number] - (stop - n), n)]
+        ends = np.concatenate([np.zeros(1, np.int64), stop])[np.cumsum(counts)]
+        return ids, np.diff(ends, prepend=0)
 
     def encode(self, text: str) -> list[int]:
-        return self.encode_many([text])[0]
+        return self.encode_many([text])[0].tolist()
+
+    def decode_many(self, lists):
+        """The bytes of every list of ids (Arrow lists of int32): tokens are taken from
+        the vocabulary in turn, so a document's bytes stand next to each other."""
+        import numpy as np
+        import pyarrow as pa
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        taken = self.tokens.take(lists.values.slice(offsets[0], offsets[-1] - offsets[0]))
+        ends = np.frombuffer(taken.buffers()[1], np.int64, len(taken) + 1, 0) if len(taken) else np.zeros(1, np.int64)
+        at = ends[offsets - offsets[0]]
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lists),
+                                                [None, pa.py_buffer(at.tobytes()), taken.buffers()[2]])
 
     def decode(self, ids: Iterable[int]) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+        import pyarrow as pa
+        return self.decode_many(pa.array([list(ids)], pa.list_(pa.int32())))[0].as_py()
 
 
 @lru_cache(2)
@@ -206,12 +248,11 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         for b in it:
             at = 0
             for group in _pieces(utf8_rows(b.column(1))):
-                ids = bpe.encode_many(group)
-                offsets = np.concatenate([np.zeros(1, np.int64), np.cumsum([len(x) for x in ids], dtype=np.int64)])
-                flat = np.fromiter(chain.from_iterable(ids), np.int32, int(offsets[-1]))
+                flat, n = bpe.encode_many(group)
+                offsets = np.concatenate([np.zeros(1, np.int32), np.cumsum(n, dtype=np.int32)])
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(at, len(group)),
-                     pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat))],
+                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
                     names=["doc_id", "ids"])
                 at += len(group)
     return rows_of(docs).mapInArrow(batches, "doc_id bigint, ids array<int>")
@@ -223,8 +264,8 @@ def decode(coded: DataFrame, path: str, pattern: str) -> DataFrame:
         import pyarrow as pa
         bpe = tokenizer(path, pattern)
         for b in it:
-            decoded = [bpe.decode(x.values.to_pylist()) if x.is_valid else None for x in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(decoded, pa.binary())],
+            lists = b.column(1).fill_null([]) if b.column(1).null_count else b.column(1)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), bpe.decode_many(lists).cast(pa.binary())],
                                              names=["doc_id", "ids", "decoded"])
     return coded.select("doc_id", "ids").mapInArrow(batches, "doc_id bigint, ids array<int>, decoded binary")
 
