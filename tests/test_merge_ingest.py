@@ -16,16 +16,17 @@ def test_upsert_semantics(spark):
                                    "id int, email string, city string, country string")
     upd = spark.createDataFrame([(2, "b2@x", None, "XX"), (3, "c@x", "Pisa", "IT")],
                                 "id int, email string, city string, country string")
-    got = sorted(tuple(r) for r in upsert(target, upd, ["id"], ["email", "city"]).collect())
+    upd = upd.withColumn("seq", F.lit(1))
+    got = sorted(tuple(r) for r in upsert(target, upd, ["id"], ["email", "city"], "seq").collect())
     assert got == [(1, "a@x", "Oslo", "NO"), (2, "b2@x", None, "IT"), (3, "c@x", "Pisa", "IT")]
 
 
 def test_upsert_batch_duplicates_latest_wins(spark):
-    target = spark.createDataFrame([(1, "old")], "id int, v string")
-    upd = spark.createDataFrame([(1, "first", 1), (1, "second", 2)], "id int, v string, seq int")
-    got = [tuple(r) for r in upsert(target, upd.drop("seq").withColumn("seq", F.col("v")), ["id"], ["v"],
-                                    order_col="seq").collect()]
-    assert got == [(1, "second")]
+    target = spark.createDataFrame([(1, "a")], "id int, v string")
+    upd = spark.createDataFrame([(1, "z", 1), (1, "b", 2), (2, "e", 2), (2, "d", 3), (3, "x", 1), (3, "y", 1)],
+                                "id int, v string, seq int")
+    got = sorted(tuple(r) for r in upsert(target, upd, ["id"], ["v"], "seq").collect())
+    assert got == [(1, "b"), (2, "d"), (3, "y")]      # one row a key; equal order: the greatest row
 
 
 def test_dense_index_and_get_or_create_ids(spark):
@@ -34,8 +35,14 @@ def test_dense_index_and_get_or_create_ids(spark):
     assert [i for _, i in idx] == list(range(10, 67))
     target = spark.createDataFrame([(4, "b"), (9, "a")], "id int, name string")
     vals = spark.createDataFrame([(1, "c"), (2, "a"), (3, "d"), (4, "c"), (5, None)], "pos int, name string")
-    got = {r.pos: (r.name, r.id) for r in get_or_create_ids(vals, "name", target, "name", "id").collect()}
-    assert got == {1: ("c", 10), 2: ("a", 9), 3: ("d", 11), 4: ("c", 10), 5: (None, None)}
+    found = get_or_create_ids(vals, "name", target, "name", "id")
+    want = {1: ("c", 10), 2: ("a", 9), 3: ("d", 11), 4: ("c", 10), 5: (None, None)}
+    assert {r.pos: (r.name, r.id) for r in found.values.collect()} == want
+    assert sorted(tuple(r) for r in found.created.collect()) == [(10, "c"), (11, "d")]
+    # with the created rows inserted, a second call creates none and finds the same ids
+    again = get_or_create_ids(vals, "name", target.unionByName(found.created), "name", "id")
+    assert again.created.count() == 0
+    assert {r.pos: (r.name, r.id) for r in again.values.collect()} == want
 
 
 def test_backfill_cost(spark):
@@ -86,9 +93,10 @@ def test_incremental_extract_is_strict_and_day_grained(spark):
 
 def test_batch_layout_write_read_and_fallback(spark, tmp_dir):
     assert batch_path("s3a://b", "web", "orders", "2024-06-01") == "s3a://b/web/orders/ds=2024-06-01"
-    df = spark.createDataFrame([(1, "2024-06-01"), (2, "2024-06-02")], "id int, ds string")
-    assert write_batch(df, tmp_dir, "web", "orders") == 2
-    assert write_batch(df.where("id = 1"), tmp_dir, "web", "orders") == 1   # same-day re-run overwrites
+    df = spark.createDataFrame([(1,), (2,)], "id int")
+    assert write_batch(df, tmp_dir, "web", "orders", "2024-06-01", "a").rows == 2
+    assert write_batch(df.where("id = 1"), tmp_dir, "web", "orders", "2024-06-01", "a").rows == 1  # repeated run
+    assert write_batch(df.where("id = 2"), tmp_dir, "web", "orders", "2024-06-02", "b").rows == 1
     assert path_exists(spark, batch_path(tmp_dir, "web", "orders", "2024-06-01"))
     one = read_batch(spark, tmp_dir, "web", "orders", "2024-06-02")
     assert [r.id for r in one.collect()] == [2]
@@ -131,7 +139,7 @@ def test_schema_contract(spark):
     from tidemart.sources.testdata import TestData
     td = TestData(spark, "/root/testdata/sf0.001")
     for name, t in BY_NAME.items():
-        rows = schema_contract(td.raw(name).drop("loaded_at"), t.schema, name)
+        rows = schema_contract(td.raw(name).drop("loaded_at", "load_seq"), t.schema, name)
         assert all(r[4] == "ok" for r in rows), rows
 
 

@@ -3,11 +3,11 @@ import datetime as dt
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from tidemart.plans.operations import orders_from_carts
 from tidemart.plans.warehouse import Warehouse
 from tidemart.sources.batch_io import append, batch_path, write_batch
+from tidemart.sources.catalog import RawTable
 from tidemart.sources.ingest import load_raw
 
 T0 = dt.datetime(2024, 6, 1, 12, 0)
@@ -23,25 +23,26 @@ def test_batch_key_layout():
     ("order_id int, unit_price double, quantity int", [(7, 19.99, 3)]),
 ])
 def test_parquet_round_trip(spark, tmp_dir, schema, rows):
-    df = spark.createDataFrame(rows, schema).withColumn("ds", F.lit("2024-06-01"))
-    assert write_batch(df, tmp_dir, "web", "t") == len(rows)
-    back = spark.read.parquet(batch_path(tmp_dir, "web", "t")).drop("ds")
+    df = spark.createDataFrame(rows, schema)
+    assert write_batch(df, tmp_dir, "web", "t", "2024-06-01", "a").rows == len(rows)
+    back = spark.read.parquet(batch_path(tmp_dir, "web", "t")).drop("ds", "run")
     assert sorted(tuple(r) for r in back.collect()) == sorted(rows)
 
 
 def test_empty_batch_writes_nothing(spark, tmp_dir):
-    empty = spark.createDataFrame([], "id int, val string").withColumn("ds", F.lit("2024-06-01"))
-    assert write_batch(empty, tmp_dir, "web", "empty") == 0
+    empty = spark.createDataFrame([], "id int, val string")
+    assert write_batch(empty, tmp_dir, "web", "empty", "2024-06-01", "a").rows == 0
     assert not os.path.exists(batch_path(tmp_dir, "web", "empty", "2024-06-01"))
 
 
 def test_load_append_and_truncate(spark, tmp_dir):
     path = os.path.join(tmp_dir, "raw_t")
     df = spark.createDataFrame([(1, "2024-06-01 12:00:00")], "id int, created_at string")
-    assert load_raw(df, path) == 1
-    assert load_raw(df, path) == 1
+    t = RawTable("raw_t", "web", "t", ("id",), "created_at", "id int, created_at timestamp_ntz")
+    assert load_raw(df, path, t) == 1
+    assert load_raw(df, path, t) == 1
     assert spark.read.parquet(path).count() == 2
-    assert load_raw(df, path, truncate=True) == 1
+    assert load_raw(df, path, t, truncate=True) == 1
     back = spark.read.parquet(path)
     assert back.count() == 1 and dict(back.dtypes)["created_at"] == "timestamp_ntz"
     assert "loaded_at" in back.columns

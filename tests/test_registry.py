@@ -1,19 +1,25 @@
-"""The registry shares one model graph per (session, folder); the public
-warehouse() helper stays fresh, and replacing a model drops memoised marts."""
+"""Registered queries read the files that are there when they are called."""
+import os
+import shutil
+
 from tidemart.plans import marts
-from tidemart.plans.registry import _wh, queries, warehouse
+from tidemart.plans.registry import queries, warehouse
 
 SF = "/root/testdata/sf0.001"
 
 
-def test_registry_shares_models_per_session(spark):
-    qs = queries()
-    assert qs["fact_sessions"](spark, SF) is not None
-    assert _wh(spark, SF) is _wh(spark, SF + "/")
-    assert _wh(spark, SF).fact_order_items is _wh(spark, SF).fact_order_items
-    assert qs["mart_sales"](spark, SF) is qs["mart_sales"](spark, SF)
-    assert _wh(spark, SF, null_mode="defaults") is not _wh(spark, SF)
-    assert warehouse(spark, SF) is not warehouse(spark, SF)
+def test_queries_see_files_added_between_calls(spark, tmp_dir):
+    for name in os.listdir(SF):
+        if name != "orders.parquet":
+            os.symlink(f"{SF}/{name}", f"{tmp_dir}/{name}")
+    os.mkdir(f"{tmp_dir}/orders.parquet")
+    shutil.copyfile(f"{SF}/orders.parquet", f"{tmp_dir}/orders.parquet/part-0.parquet")
+    query = queries()["stg_web_orders"]
+    before = query(spark, tmp_dir).count()
+    more = spark.read.parquet(f"{SF}/orders.parquet").selectExpr(
+        "o_orderkey + 1000000 as o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    more.coalesce(1).write.mode("append").parquet(f"{tmp_dir}/orders.parquet")
+    assert query(spark, tmp_dir).count() == before + more.count()
 
 
 def test_use_drops_memoised_marts(spark):

@@ -1,6 +1,10 @@
 """Load-time type repair.
 
-A string column becomes a timestamp when every non-blank value parses as
+The load repairs by contract (``coerce_to_contract``): the columns the catalogue
+types as timestamp or date get that type, whatever the batch holds, so every
+batch of a raw table has one schema.
+
+``coerce_datetime_strings`` is the form without a contract. A string column becomes a timestamp when every non-blank value parses as
 one; blanks ('', 'nan', 'none', '<na>', 'nat' after trim + lower-case) become
 NULL. Otherwise the column is left unchanged. The decision for all string
 columns is made in one aggregate pass; the conversion is one projection."""
@@ -46,6 +50,25 @@ def coerce_datetime_strings(df: DataFrame) -> DataFrame:
         for f in df.schema.fields])
 
 
+def coerce_to_contract(df: DataFrame, contract: T.StructType) -> DataFrame:
+    """``df`` with every timestamp or date column of ``contract`` in its type: text is
+    trimmed, blanks become NULL, and text that is no date fails the load (ANSI
+    cast). Other columns are left as they are."""
+    want = {f.name: f.dataType for f in contract.fields
+            if isinstance(f.dataType, T.TimestampNTZType | T.TimestampType | T.DateType)}
+    cols = []
+    for f in df.schema.fields:
+        c = F.col(f.name)
+        kind = want.get(f.name)
+        if kind is None or f.dataType == kind:
+            cols.append(c)
+        elif isinstance(f.dataType, T.StringType):
+            cols.append(F.when(~_is_blank(c), F.trim(c)).cast(kind).alias(f.name))
+        else:
+            cols.append(c.cast(kind).alias(f.name))
+    return df.select(*cols)
+
+
 def strip_timezone(c) -> Column:
     """tz-aware -> UTC -> naive: with the session time zone at UTC a TIMESTAMP
     cast to TIMESTAMP_NTZ keeps the UTC wall clock."""

@@ -56,8 +56,3 @@ def hours_crossed(a, b) -> Column:
 def hour_start(ts) -> Column:
     """Start of the hour as TIMESTAMP_NTZ (snapshot_hour)."""
     return F.date_trunc("hour", _c(ts)).cast("timestamp_ntz")
-
-
-def iso_day(ts) -> Column:
-    """First 10 chars of a timestamp: 'YYYY-MM-DD' (batch date, F21)."""
-    return F.date_format(_c(ts), "yyyy-MM-dd")

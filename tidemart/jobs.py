@@ -1,16 +1,17 @@
 """The three scheduled jobs of the warehouse, as Spark jobs.
 
   extract  for every catalogued source table: watermark -> rows newer than it
-           -> batch under {base}/{source}/{table}/ds=<day of max ts> -> advance
+           -> batch under {base}/{source}/{table}/ds=<run day>/run=<id> -> advance
            the watermark (data first, then the mark).
-  load     every table's batch for the run day, or all of its batches when
-           that day has none -> type repair -> loaded_at -> append to the raw
-           table. Re-loaded rows become extra versions resolved at read time.
+  load     every table's batches of the run day, or all of its batches when
+           that day has none -> type repair by contract -> loaded_at -> append
+           to the raw table. Re-loaded rows become extra versions resolved at
+           read time. A source table without any batch is left alone.
   build    raw tables -> staging -> dimensions/facts (written) -> marts
            (written) -> model tests.
 
 usage:
-  python -m tidemart.jobs extract --sf-dir DIR --base DIR --control DIR [--init-date D]
+  python -m tidemart.jobs extract --sf-dir DIR --base DIR --control DIR [--init-date D] [--ds D]
   python -m tidemart.jobs load    --base DIR --raw DIR [--ds YYYY-MM-DD]
   python -m tidemart.jobs build   --raw DIR --out DIR
 The extract job reads the source tables through the test-data adapters
@@ -29,35 +30,37 @@ from pyspark.sql import functions as F
 from tidemart.plans.pipeline import BuildResult, build_all
 from tidemart.plans.warehouse import Warehouse
 from tidemart.sources.batch_io import batch_path, path_exists, read_batch
-from tidemart.sources.catalog import RAW_TABLES, RawTable
-from tidemart.sources.ingest import Watermarks, extract_source, load_raw
+from tidemart.sources.catalog import BY_NAME, RAW_TABLES, RawTable
+from tidemart.sources.ingest import Watermarks, extract_source, load_raw, new_run_id, read_raw
 
 SOURCES = ["web", "oms", "wms", "marketing"]
 
 
 def extract_job(spark: SparkSession, read_table: Callable[[RawTable], DataFrame], base: str,
-                control: str, init_date: str, lookback_days: int = 0) -> dict:
+                control: str, init_date: str, lookback_days: int = 0,
+                ds: str | None = None) -> dict:
     marks = Watermarks(spark, control)
+    run = new_run_id()
     out = {}
     for source in SOURCES:
         out.update(extract_source(spark, source, read_table, base, marks, init_date,
-                                  lookback_days=lookback_days))
+                                  lookback_days=lookback_days, run_date=ds, run=run))
     return out
 
 
-def load_job(spark: SparkSession, base: str, raw_dir: str, ds: str) -> dict:
+def load_job(spark: SparkSession, base: str, raw_dir: str, ds: str, skip_unreadable: bool = False) -> dict:
     out = {}
     for t in RAW_TABLES:
         if not path_exists(spark, batch_path(base, t.source, t.table)):
             out[t.name] = 0
             continue
-        batch = read_batch(spark, base, t.source, t.table, ds).drop("ds")
-        out[t.name] = load_raw(batch.select(*t.column_names), f"{raw_dir}/{t.name}")
+        batch = read_batch(spark, base, t.source, t.table, ds, skip_unreadable=skip_unreadable)
+        out[t.name] = load_raw(batch.select(*t.column_names), f"{raw_dir}/{t.name}", t)
     return out
 
 
 def raw_reader(spark: SparkSession, raw_dir: str) -> Callable[[str], DataFrame]:
-    return lambda name: spark.read.parquet(f"{raw_dir}/{name}")
+    return lambda name: read_raw(spark, raw_dir, BY_NAME[name])
 
 
 def build_job(spark: SparkSession, raw_dir: str, out_dir: str) -> BuildResult:
@@ -67,7 +70,7 @@ def build_job(spark: SparkSession, raw_dir: str, out_dir: str) -> BuildResult:
 def _testdata_reader(spark: SparkSession, sf_dir: str):
     from tidemart.sources.testdata import TestData
     td = TestData(spark, sf_dir)
-    return lambda t: td.raw(t.name).drop("loaded_at")
+    return lambda t: td.raw(t.name).drop("loaded_at", "load_seq")
 
 
 def main(argv=None) -> None:
@@ -85,7 +88,7 @@ def main(argv=None) -> None:
     from tidemart.session import build_session
     spark = build_session(a.master)
     if a.job == "extract":
-        print(extract_job(spark, _testdata_reader(spark, a.sf_dir), a.base, a.control, a.init_date))
+        print(extract_job(spark, _testdata_reader(spark, a.sf_dir), a.base, a.control, a.init_date, ds=a.ds))
     elif a.job == "load":
         print(load_job(spark, a.base, a.raw, a.ds))
     else:

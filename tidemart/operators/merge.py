@@ -8,29 +8,32 @@ a file store."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemart.session import written_once
+
 
 def _key_match(keys: Sequence[str], a: str, b: str):
     return reduce(lambda x, y: x & y, [F.col(f"{a}.{k}") == F.col(f"{b}.{k}") for k in keys])
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
-           update_cols: Sequence[str], order_col: str | None = None) -> DataFrame:
+           update_cols: Sequence[str], order_col: str) -> DataFrame:
     """INSERT ... ON CONFLICT (keys) DO UPDATE SET c = EXCLUDED.c for c in
     update_cols. Matched rows take ``update_cols`` from ``updates`` (NULLs
     included) and keep every other column; new keys are inserted whole;
-    untouched target rows pass through. Several updates of one key in the
-    batch: the one with the greatest ``order_col`` (or any, if None) wins."""
+    untouched target rows pass through. The batch is always reduced to one
+    update of a key, the last by ``order_col`` (of equal ones, the greatest
+    row), as if its rows were applied one by one."""
     keys, update_cols = list(keys), list(update_cols)
-    if order_col is not None:
-        others = [c for c in updates.columns if c not in keys]
-        updates = (updates.groupBy(*keys)
-                   .agg(F.max_by(F.struct(*others), F.col(order_col)).alias("__u"))
-                   .select(*keys, "__u.*"))
+    others = [c for c in updates.columns if c not in keys]
+    updates = (updates.groupBy(*keys)
+               .agg(F.max(F.struct(F.col(order_col).alias("__order"), *[F.col(c) for c in others])).alias("__u"))
+               .select(*keys, *[F.col(f"__u.{c}").alias(c) for c in others]))
     t = target.alias("t").withColumn("__t", F.lit(True))
     u = updates.alias("u").withColumn("__u", F.lit(True))
     j = t.join(u, _key_match(keys, "t", "u"), "full_outer")
@@ -50,33 +53,49 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
 def dense_index(df: DataFrame, order_cols: Sequence[str], start: int = 0,
                 num_partitions: int | None = None, out: str = "row_index") -> DataFrame:
     """Adds ``out`` = start + 0-based rank of each row in ``order_cols``
-    order (a distributed zipWithIndex): range-partition on the order, count
-    rows per partition, prefix-sum the counts (one row per partition), then
-    number rows inside each partition. ``order_cols`` should be unique."""
+    order (a distributed zipWithIndex): range-partition and sort on the order,
+    number the rows within each partition, and add the counts of the partitions
+    before (one row per partition). The ranged rows are written once to the
+    shared folder and everything is derived from that: a second evaluation of
+    the sampled ranges could number rows differently. ``order_cols`` should be
+    unique."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    r = df.repartitionByRange(n, *order_cols).withColumn("__pid", F.spark_partition_id())
+    # the id holds the partition above bit 33 and the row's place within it below
+    ranged = written_once(df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+                          .withColumn("__at", F.monotonically_increasing_id()), "dense-index")
+    r = ranged.withColumn("__pid", F.shiftright("__at", 33))
     counts = r.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     offs = counts.select("__pid", (F.sum("__n").over(
         Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1))).alias("__off"))
-    local = F.row_number().over(Window.partitionBy("__pid").orderBy(*order_cols))
-    return (r.withColumn("__local", local).join(offs, "__pid", "left")
-             .withColumn(out, F.lit(start) + F.coalesce("__off", F.lit(0)) + F.col("__local") - 1)
-             .drop("__pid", "__local", "__off"))
+    place = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    return (r.join(offs, "__pid", "left")
+             .withColumn(out, F.lit(start) + F.coalesce("__off", F.lit(0)) + place)
+             .drop("__pid", "__at", "__off"))
+
+
+@dataclass(frozen=True)
+class IdMapping:
+    """``values``: the input rows with their ``id``; ``created``: the rows to insert into
+    the target, so that a later call finds the same ids."""
+
+    values: DataFrame
+    created: DataFrame
 
 
 def get_or_create_ids(values: DataFrame, value_col: str, target: DataFrame, target_value: str,
-                      target_id: str) -> DataFrame:
+                      target_id: str) -> IdMapping:
     """MERGE2: map each input row's ``value_col`` to an id from ``target``;
-    values missing there get new ids max(id)+1, max(id)+2, ... in value order.
-    Returns ``values`` with an ``id`` column (input rows and order kept)."""
+    values missing there get new ids max(id)+1, max(id)+2, ... in value order."""
     existing = target.groupBy(F.col(target_value).alias("__v")).agg(F.min(target_id).alias("id"))
     distinct = values.select(F.col(value_col).alias("__v")).where(F.col("__v").isNotNull()).distinct()
     new = distinct.join(existing, "__v", "left_anti")
     top = target.agg(F.coalesce(F.max(target_id), F.lit(0)).alias("m")).first()["m"]
-    created = dense_index(new, ["__v"], start=int(top) + 1, out="id")
-    mapping = existing.unionByName(created.select("__v", F.col("id").cast(existing.schema["id"].dataType)))
-    return values.join(mapping.withColumnRenamed("__v", value_col), value_col, "left")
+    created = (dense_index(new, ["__v"], start=int(top) + 1, out="id")
+               .select("__v", F.col("id").cast(existing.schema["id"].dataType)))
+    mapping = existing.unionByName(created)
+    return IdMapping(values.join(mapping.withColumnRenamed("__v", value_col), value_col, "left"),
+                     created.select(F.col("id").alias(target_id), F.col("__v").alias(target_value)))
 
 
 def backfill_cost(items: DataFrame, products: DataFrame, cost_col: str = "cost_price",

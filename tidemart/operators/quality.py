@@ -1,10 +1,9 @@
 """Data-quality assertions.
 
 ``run_checks(df, checks)`` returns one row per check:
-(pos, check_name, column_name, violations, total). All row-level checks of one table
-(not_null, accepted_values, expect) are evaluated in a single aggregate
-pass; each uniqueness or orphan check adds one grouped pass. Counting
-follows the usual model-test conventions:
+(pos, check_name, column_name, violations, total). The checks of one table share
+its passes (see ``run_checks``). Counting follows the usual model-test
+conventions:
   not_null         rows where the column is NULL
   unique           distinct non-NULL key values that occur more than once
   accepted_values  distinct non-NULL values outside the list
@@ -77,40 +76,56 @@ def _row_level_expr(ch: Check) -> Column:
     raise ValueError(ch.kind)
 
 
+def _nonnull(columns) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in columns])
+
+
+def _rows(one: DataFrame, found: list[tuple]) -> DataFrame:
+    """Result rows of the checks in ``found``: (pos, check, violations, total) of columns of ``one``."""
+    stacked = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("pos"), F.lit(ch.label).alias("check_name"), F.lit(ch.column).alias("column_name"),
+                 F.col(v).cast("long").alias("violations"), F.coalesce(F.col(t), F.lit(0)).cast("long").alias("total"))
+        for i, ch, v, t in found]))
+    return one.select(stacked.alias("r")).select("r.pos", "r.check_name", "r.column_name", "r.violations", "r.total")
+
+
 def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """Evaluate ``checks`` on ``df``; one result row per check, in order."""
+    """Evaluate ``checks`` on ``df``; one result row per check, in order.
+
+    The first uniqueness check and all not_null and expect checks share one
+    pass: rows are reduced to their key with a counter for each check (map-side
+    first), and the keys to one row. Accepted values are distinct counts of a
+    few columns, a pass of their own. Orphan checks reduce the child rows to
+    one per foreign key before they meet the parent's keys."""
     parts: list[DataFrame] = []
-    row_checks = [(i, ch) for i, ch in enumerate(checks)
-                  if ch.kind in ("not_null", "accepted_values", "expect")]
-    if row_checks:
-        aggs = [_row_level_expr(ch).alias(f"v{i}") for i, ch in row_checks]
-        one = df.agg(F.count(F.lit(1)).alias("total"), *aggs)
-        stacked = F.explode(F.array(*[
-            F.struct(F.lit(i).alias("pos"), F.lit(ch.label).alias("check_name"),
-                     F.lit(ch.column).alias("column_name"), F.col(f"v{i}").cast("long").alias("violations"))
-            for i, ch in row_checks]))
-        parts.append(one.select(stacked.alias("r"), "total")
-                        .select("r.pos", "r.check_name", "r.column_name", "r.violations", "total"))
-    for i, ch in enumerate(checks):
-        if ch.kind == "unique":
-            keys = [F.col(c) for c in ch.columns]
-            nonnull = reduce(lambda a, b: a & b, [k.isNotNull() for k in keys])
-            g = df.where(nonnull).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-            parts.append(g.agg(F.count_if(F.col("n") > 1).cast("long").alias("violations"),
-                               F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("total"))
-                         .select(F.lit(i).alias("pos"), F.lit(ch.label).alias("check_name"),
-                                 F.lit(ch.column).alias("column_name"), "violations", "total"))
-        elif ch.kind == "orphans":
+    numbered = list(enumerate(checks))
+    counted = [(i, ch) for i, ch in numbered if ch.kind in ("not_null", "expect")]
+    accepted = [(i, ch) for i, ch in numbered if ch.kind == "accepted_values"]
+    uniques = [(i, ch) for i, ch in numbered if ch.kind == "unique"]
+    if counted and not uniques or accepted:
+        mine = accepted if uniques else counted + accepted
+        one = df.agg(F.count(F.lit(1)).alias("total"), *[_row_level_expr(ch).alias(f"v{i}") for i, ch in mine])
+        parts.append(_rows(one, [(i, ch, f"v{i}", "total") for i, ch in mine]))
+    for k, (u, check) in enumerate(uniques):
+        mine = counted if k == 0 else []
+        keyed = df.groupBy(*check.columns).agg(F.count(F.lit(1)).alias("__n"),
+                                               *[_row_level_expr(ch).alias(f"v{i}") for i, ch in mine])
+        has_key = _nonnull(check.columns)
+        one = keyed.agg(F.sum("__n").alias("total"), F.count_if(has_key & (F.col("__n") > 1)).alias(f"v{u}"),
+                        F.sum(F.when(has_key, F.col("__n"))).alias("keyed"),
+                        *[F.coalesce(F.sum(f"v{i}"), F.lit(0)).alias(f"v{i}") for i, _ in mine])
+        parts.append(_rows(one, [(u, check, f"v{u}", "keyed"), *((i, ch, f"v{i}", "total") for i, ch in mine)]))
+    for i, ch in numbered:
+        if ch.kind == "orphans":
             ref = ch.ref.select(*[F.col(r).alias(f"__ref{j}") for j, r in enumerate(ch.ref_columns)]) \
                 .distinct().withColumn("__hit", F.lit(True))
             cond = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"__ref{j}")
                                                for j, c in enumerate(ch.columns)])
-            nonnull = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in ch.columns])
-            j = df.select(*ch.columns).join(ref, cond, "left")
-            parts.append(j.agg(F.count_if(nonnull & F.col("__hit").isNull()).cast("long")
-                               .alias("violations"), F.count(F.lit(1)).alias("total"))
-                          .select(F.lit(i).alias("pos"), F.lit(ch.label).alias("check_name"),
-                                  F.lit(ch.column).alias("column_name"), "violations", "total"))
+            child = df.groupBy(*ch.columns).agg(F.count(F.lit(1)).alias("__n"))
+            lost = _nonnull(ch.columns) & F.col("__hit").isNull()
+            one = child.join(ref, cond, "left").agg(
+                F.coalesce(F.sum(F.when(lost, F.col("__n"))), F.lit(0)).alias("lost"), F.sum("__n").alias("total"))
+            parts.append(_rows(one, [(i, ch, "lost", "total")]))
     # every part selects (pos, check_name, column_name, violations, total)
     # with the same types, so a positional UNION ALL is exact
     return reduce(DataFrame.union, parts)

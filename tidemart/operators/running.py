@@ -14,37 +14,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def running_min_flag(df: DataFrame, partition: str, order_ts: str, value: str,
-                     out: str = "is_first") -> DataFrame:
-    """Adds ``out`` = 1 where ``value`` equals the running minimum of ``value``
-    over rows of the same ``partition`` with ``order_ts`` <= this row's
-    (SQL default frame RANGE UNBOUNDED PRECEDING .. CURRENT ROW, so rows with
-    equal timestamps are peers and see each other), else 0.
-
-    Equal to ``value == min(value) OVER (PARTITION BY partition ORDER BY order_ts)``.
-    ``order_ts`` should be at second resolution (staging guarantees it)."""
-    per_ts = (df.groupBy(partition, order_ts)
-                .agg(F.min(value).alias("__m"))
-                .withColumn("__day", F.to_date(order_ts)))
-    per_day = per_ts.groupBy(partition, "__day").agg(F.min("__m").alias("__dm"))
-    w_days = (Window.partitionBy(partition).orderBy("__day")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    carry = per_day.select(partition, "__day",
-                           F.min("__dm").over(w_days).alias("__carry"))
-    w_in_day = (Window.partitionBy(partition, "__day").orderBy(order_ts)
-                .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    prefix = (per_ts.withColumn("__pm", F.min("__m").over(w_in_day))
-                    .join(carry, [partition, "__day"], "left")
-                    .select(partition, order_ts,
-                            F.least("__pm", "__carry").alias("__run_min")))
-    return (df.join(prefix, [partition, order_ts], "left")
-              .withColumn(out, F.when(F.col(value) == F.col("__run_min"), 1).otherwise(0))
-              .drop("__run_min"))
-
-
 def running_min_members(df: DataFrame, partition: str, order_ts: str, value: str) -> DataFrame:
     """The distinct ``value``s that equal the running minimum of ``value`` at
-    their own (partition, order_ts), i.e. the rows ``running_min_flag`` marks.
+    their own (partition, order_ts): ``value == min(value) OVER (PARTITION BY
+    partition ORDER BY order_ts)`` with SQL's default frame, in which rows of
+    equal timestamps are peers. ``order_ts`` should be at second resolution.
 
     Only the minimum of each (partition, order_ts) group can qualify, so the
     result is a one-column DataFrame of at most one value per group. Joining

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from tidemart.functions.dates import hour_start
 from tidemart.functions.kpi import MONEY, mean, ratio, ratio_pct, rnd
 from tidemart.operators.running import running_sum
+from tidemart.operators.snapshot import latest
 from tidemart.plans.marts import order_customer_rollup, session_channels_per_customer_day
 from tidemart.plans.warehouse import Warehouse
 
@@ -30,25 +31,43 @@ c = F.col
 CONTENT_CHANNEL_TYPES = ["organic", "email"]
 
 
+def _all_keys(keys: list[str], *parts: DataFrame) -> DataFrame:
+    """The parts side by side on every key that any of them has (null keys too):
+    each part has one row per key, so stacking them and taking the one value there
+    is joins them in a single shuffle."""
+    stacked = parts[0]
+    for p in parts[1:]:
+        stacked = stacked.unionByName(p, allowMissingColumns=True)
+    return stacked.groupBy(*keys).agg(*[F.max(x).alias(x) for x in stacked.columns if x not in keys])
+
+
+def _zero(name: str):
+    return F.coalesce(c(name), F.lit(0))
+
+
 def hourly_sales(wh: Warehouse, ltv_orders: float = 10.0) -> DataFrame:
-    """HR1: per (hour, category, product)."""
+    """HR1: per (hour, category, product) with a sale, a product view or a cart add."""
     p = wh.dim_product.select("product_sk", "category_name", "product_name")
     f = wh.fact_order_items.withColumn("snapshot_hour", hour_start("order_ts"))
     keys = ["snapshot_hour", "category_name", "product_name"]
     sales = order_customer_rollup(f.join(p, "product_sk", "inner"), keys, extra_first=True)
-    pe = wh.final("raw_marketing_page_events").select(
-        hour_start("event_at").alias("snapshot_hour"), "visit_id", "event_type",
-        F.regexp_extract("page_url", r"^/p/(\d+)$", 1).alias("pid"))
-    pe = pe.where(c("pid") != "").withColumn("product_sk", c("pid").try_cast("long"))
+    # events are reduced to (hour, product, visit) before they meet the product
+    pe = (wh.final("raw_marketing_page_events", columns=["event_at", "visit_id", "event_type", "page_url"])
+          .select(hour_start("event_at").alias("snapshot_hour"), "visit_id", "event_type",
+                  F.regexp_extract("page_url", r"^/p/(\d+)$", 1).alias("pid"))
+          .where(c("pid") != "").withColumn("product_sk", c("pid").try_cast("long"))
+          .groupBy("snapshot_hour", "product_sk", "visit_id")
+          .agg(F.max(F.when(c("event_type") == "add_to_cart", 1).otherwise(0)).alias("added"),
+               F.max(F.when(c("event_type") == "purchase", 1).otherwise(0)).alias("bought")))
     per_visit = pe.join(p, "product_sk", "inner").groupBy(*keys, "visit_id").agg(
-        F.max(F.when(c("event_type") == "add_to_cart", 1).otherwise(0)).alias("added"),
-        F.max(F.when(c("event_type") == "purchase", 1).otherwise(0)).alias("bought"))
+        F.max("added").alias("added"), F.max("bought").alias("bought"))
     funnel = per_visit.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total_sessions"), F.sum("added").cast("long").alias("cart_adds"),
         F.sum("bought").cast("long").alias("converted_sessions"))
-    j = sales.join(funnel, keys, "left")
-    sess = F.coalesce(c("total_sessions"), F.lit(0))
-    adds = F.coalesce(c("cart_adds"), F.lit(0))
+    j = _all_keys(keys, sales, funnel)
+    j = j.select(*keys, *[F.coalesce(c(k), F.lit(0).cast(MONEY)).alias(k) for k in ("rev", "cogs", "gp")],
+                 *[_zero(k).alias(k) for k in ("total_orders", "total_units", "unique_customers", "new_customers",
+                                               "total_sessions", "cart_adds", "converted_sessions")])
     aov = ratio("rev", "total_orders")
     return j.select(
         *keys,
@@ -56,23 +75,22 @@ def hourly_sales(wh: Warehouse, ltv_orders: float = 10.0) -> DataFrame:
         c("gp").cast("double").alias("gross_profit"), ratio_pct("gp", "rev").alias("gross_margin_pct"),
         "total_orders", "total_units", aov.alias("aov"),
         ratio("total_units", "total_orders").alias("avg_items_per_order"),
-        sess.alias("total_sessions"), adds.alias("cart_adds"),
-        F.coalesce(c("converted_sessions"), F.lit(0)).alias("converted_sessions"),
-        ratio_pct("total_orders", sess).alias("conversion_rate"),
-        ratio_pct(adds - c("total_orders"), adds).alias("cart_abandon_rate"),
+        "total_sessions", "cart_adds", "converted_sessions",
+        ratio_pct("total_orders", "total_sessions").alias("conversion_rate"),
+        ratio_pct(c("cart_adds") - c("total_orders"), "cart_adds").alias("cart_abandon_rate"),
         "unique_customers", "new_customers",
         (c("unique_customers") - c("new_customers")).alias("repeat_customers"),
         F.when(aov > 0, rnd(aov * float(ltv_orders), 2)).otherwise(0.0).alias("estimated_ltv"))
 
 
 def hourly_marketing(wh: Warehouse, chat_min_pages: int = 5) -> DataFrame:
-    """HR2: per (hour, channel)."""
+    """HR2: per (hour, channel) with visits, ad statistics or attributed revenue."""
     ch = wh.dim_channel.select("channel_sk", "channel_name", "channel_type")
+    keys = ["snapshot_hour", "channel_name"]
     s = (wh.fact_sessions.join(ch, "channel_sk", "left")
          .withColumn("snapshot_hour", hour_start("session_start"))
-         .withColumn("channel_name", F.coalesce(c("channel_name"), F.lit("")))
-         .withColumn("channel_type", F.coalesce(c("channel_type"), F.lit(""))))
-    visits = s.groupBy("snapshot_hour", "channel_name", "channel_type").agg(
+         .withColumn("channel_name", F.coalesce(c("channel_name"), F.lit(""))))
+    visits = s.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("site_traffic"),
         F.countDistinct("customer_sk").alias("unique_visitors"),
         mean("duration_sec").alias("avg_dur"),
@@ -81,7 +99,8 @@ def hourly_marketing(wh: Warehouse, chat_min_pages: int = 5) -> DataFrame:
         F.count_if(c("channel_type").isin(*CONTENT_CHANNEL_TYPES)).alias("blog_sessions"),
         F.count_if(c("page_views") >= chat_min_pages).alias("chat_sessions_initiated"))
     camp = wh.dim_campaign.select(c("campaign_sk").alias("campaign_id"), c("source_id").alias("channel_sk"))
-    hs = wh.final("raw_marketing_ad_campaign_hourly_stats", ("campaign_id", "stat_hour"))
+    hs = wh.final("raw_marketing_ad_campaign_hourly_stats", ("campaign_id", "stat_hour"),
+                  ["impressions", "clicks", "spend"])
     ads = (hs.join(camp, "campaign_id", "left").join(ch.drop("channel_type"), "channel_sk", "left")
            .groupBy(hour_start("stat_hour").alias("snapshot_hour"),
                     F.coalesce(c("channel_name"), F.lit("")).alias("channel_name"))
@@ -96,46 +115,69 @@ def hourly_marketing(wh: Warehouse, chat_min_pages: int = 5) -> DataFrame:
     rev = (lines.join(sess, ["customer_sk", "day"], "left")
            .groupBy("snapshot_hour", F.coalesce(c("channel_name"), F.lit("")).alias("channel_name"))
            .agg(F.sum(c("rev") * w).alias("rev_d"), F.sum(c("nf") * w).alias("new_customers")))
-    j = (visits.join(ads, ["snapshot_hour", "channel_name"], "left")
-               .join(rev, ["snapshot_hour", "channel_name"], "left"))
-    spend = F.coalesce(c("spend_d").cast("double"), F.lit(0.0))
-    revenue = F.coalesce(c("rev_d").cast("double"), F.lit(0.0))
-    newc = F.coalesce(c("new_customers"), F.lit(0)).cast("long")
-    clicks = F.coalesce(c("clicks"), F.lit(0))
-    impressions = F.coalesce(c("impressions"), F.lit(0))
+    types = wh.dim_channel.groupBy("channel_name").agg(F.min("channel_type").alias("channel_type"))
+    j = _all_keys(keys, visits, ads, rev).join(types, "channel_name", "left")
+    counts = ("site_traffic", "unique_visitors", "conversions", "blog_sessions", "chat_sessions_initiated",
+              "impressions", "clicks", "new_customers")
+    j = j.select(*keys, F.coalesce(c("channel_type"), F.lit("")).alias("channel_type"),
+                 *[_zero(k).cast("long").alias(k) for k in counts],
+                 *[F.coalesce(c(k).cast("double"), F.lit(0.0)).alias(k)
+                   for k in ("avg_dur", "bounce_rate", "spend_d", "rev_d")])
+    spend, revenue, newc = c("spend_d"), c("rev_d"), c("new_customers")
     return j.select(
         "snapshot_hour", "channel_name", "channel_type", "site_traffic", "unique_visitors",
         rnd("avg_dur", 1).alias("avg_session_duration_sec"),
         rnd(c("avg_dur") / 60.0, 2).alias("avg_time_on_site_min"),
         "bounce_rate", ratio("site_traffic", "unique_visitors").alias("visit_frequency_avg"),
-        "conversions", impressions.alias("impressions"), clicks.alias("clicks"),
-        ratio_pct(clicks, impressions).alias("ctr"), ratio(spend, clicks).alias("cpc"),
+        "conversions", "impressions", "clicks",
+        ratio_pct("clicks", "impressions").alias("ctr"), ratio(spend, "clicks").alias("cpc"),
         rnd(spend, 2).alias("total_spend"), ratio(spend, "conversions").alias("cpa"),
         revenue.alias("attributed_revenue"), ratio(revenue, spend).alias("roas"),
         F.when(spend > 0, rnd((revenue - spend) / spend * 100, 2)).otherwise(0.0).alias("romi"),
-        newc.alias("new_customers"), ratio(spend, newc).alias("cac"),
+        newc, ratio(spend, newc).alias("cac"),
         "blog_sessions", "chat_sessions_initiated")
 
 
-def hourly_inventory(wh: Warehouse, topup_factor: float = 2.5) -> DataFrame:
-    """HR3: per (hour with outbound movement, product)."""
-    wp = wh.final("raw_wms_products").select(c("id").alias("wms_product_id"),
-                                             c("web_product_id").alias("product_sk"), "sku")
-    im = wh.stg("stg_wms_inventory_movements").join(wp.drop("sku"), "wms_product_id", "inner")
-    out = im.where(c("movement_type") == "outbound")
-    hourly = out.groupBy("product_sk", hour_start("created_at").alias("snapshot_hour")).agg(
-        F.sum("quantity").cast("long").alias("hourly_outbound_qty"))
-    daily_avg = (out.groupBy("product_sk", F.to_date("created_at").alias("d"))
-                 .agg(F.sum("quantity").alias("q"))
-                 .groupBy("product_sk").agg(mean("q").alias("daily_avg")))
-    snap = wh.fact_inventory_snapshot.groupBy("product_sk").agg(
-        F.max_by(F.struct("quantity_on_hand", "quantity_reserved", "reorder_point", "unit_cost"),
-                 F.struct("snapshot_date", "wms_product_id")).alias("s")).select("product_sk", "s.*")
+def stock_as_of(wh: Warehouse, start: str | None) -> DataFrame:
+    """Per WMS product the stock at the start of the period: the newest record at or
+    before ``start``, or without one the oldest record; ``since`` is the period's start."""
+    inv = wh.raw("raw_wms_inventory")
+    cols = ["quantity_on_hand", "quantity_reserved", "reorder_point"]
+    if start is None:
+        first = inv.groupBy("wms_product_id").agg(
+            F.min(F.struct("updated_at", "loaded_at", "load_seq", *cols)).alias("s"))
+        return first.select("wms_product_id", *[c(f"s.{k}").alias(k) for k in cols],
+                            hour_start("s.updated_at").alias("since"))
+    at = F.lit(start).cast("timestamp_ntz")
+    return (latest(inv.where(c("updated_at") <= at), ["wms_product_id"], "updated_at",
+                   tiebreak=["loaded_at", "load_seq"], columns=cols)
+            .withColumn("since", at))
+
+
+def hourly_inventory(wh: Warehouse, start: str | None = None, topup_factor: float = 2.5) -> DataFrame:
+    """HR3: per (hour with outbound movement, WMS product) of a period. Stock starts from
+    what was on hand at the period's start and is depleted by the outbound
+    movements from then on; a product of unknown stock has none."""
+    wp = wh.final("raw_wms_products", columns=["web_product_id", "sku", "unit_cost"]).select(
+        c("id").alias("wms_product_id"), c("web_product_id").alias("product_sk"), "sku", "unit_cost")
+    im = wh.stg("stg_wms_inventory_movements").where(c("movement_type") == "outbound")
+    if start is not None:
+        im = im.where(c("created_at") >= F.lit(start).cast("timestamp_ntz"))
+    stock = stock_as_of(wh, start)
+    hourly = (im.groupBy("wms_product_id", hour_start("created_at").alias("snapshot_hour"))
+              .agg(F.sum("quantity").cast("long").alias("hourly_outbound_qty"))
+              .join(stock.select("wms_product_id", "since"), "wms_product_id", "left")
+              .where(c("since").isNull() | (c("snapshot_hour") >= c("since"))).drop("since"))
+    daily_avg = (hourly.groupBy("wms_product_id", F.to_date("snapshot_hour").alias("d"))
+                 .agg(F.sum("hourly_outbound_qty").alias("q"))
+                 .groupBy("wms_product_id").agg(mean("q").alias("daily_avg")))
     p = wh.dim_product.select("product_sk", "category_name", "product_name", "price", "cost_price")
-    h = running_sum(hourly, "product_sk", "snapshot_hour", "hourly_outbound_qty", "cum_out")
-    h = h.withColumn("first_hour", F.min("snapshot_hour").over(Window.partitionBy("product_sk")))
-    j = (h.join(snap, "product_sk", "inner").join(daily_avg, "product_sk", "left")
-          .join(p, "product_sk", "left").join(wp.select("product_sk", "sku"), "product_sk", "left"))
+    h = running_sum(hourly, "wms_product_id", "snapshot_hour", "hourly_outbound_qty", "cum_out")
+    h = h.withColumn("first_hour", F.min("snapshot_hour").over(Window.partitionBy("wms_product_id")))
+    j = (h.join(stock.drop("since"), "wms_product_id", "left").join(daily_avg, "wms_product_id", "left")
+          .join(wp, "wms_product_id", "left").join(p, "product_sk", "left"))
+    for k in ("quantity_on_hand", "quantity_reserved", "reorder_point"):
+        j = j.withColumn(k, _zero(k))
     depleted = F.greatest(c("quantity_on_hand") - c("cum_out"), F.lit(0))
     topup = F.when((c("snapshot_hour") == c("first_hour")) & (depleted < c("reorder_point")),
                    rnd(c("reorder_point") * float(topup_factor), 0).cast("long")).otherwise(0)

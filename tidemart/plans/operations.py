@@ -12,18 +12,23 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.coerce import coerce_datetime_strings
 from tidemart.functions.kpi import MONEY
-from tidemart.operators.merge import backfill_cost, get_or_create_ids, upsert
+from tidemart.operators.merge import add_column, backfill_cost, get_or_create_ids, upsert
+from tidemart.operators.snapshot import latest
 from tidemart.plans.warehouse import Warehouse
 from tidemart.session import checkpoint_dir
 from tidemart.sources.batch_io import (batch_path, read_batch, write_batch,
                                        write_partitioned_sorted)
-from tidemart.sources.catalog import RAW_TABLES
-from tidemart.sources.ingest import DEFAULT_INIT_DATE, extract_incremental, next_watermark
+from tidemart.sources.catalog import BY_NAME, RAW_TABLES
+from tidemart.sources.ingest import Watermarks, extract_incremental, extract_source, load_raw, next_watermark, read_raw
 from tidemart.sources.testdata import TestData
 from tidemart.streaming.hourly import replay_files, run_hourly_stream
 
 c = F.col
 TOPK = 100
+# Watermarks of the registered queries: older than all rows of the test tables,
+# and one that keeps part of the orders.
+BEFORE_ALL = "1900-01-01"
+AMID = "1998-06-15"
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -32,17 +37,17 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def incremental_extract(wh: Warehouse) -> DataFrame:
-    """SRC2 with the default first-run watermark: web orders newer than it."""
-    return extract_incremental(wh.raw("raw_web_orders"), "created_at", DEFAULT_INIT_DATE)
+    """SRC2 with a watermark amid the data: web orders newer than it."""
+    return extract_incremental(wh.raw("raw_web_orders"), "created_at", AMID)
 
 
 def watermark_next(wh: Warehouse) -> DataFrame:
     """AGG11/AGG12/F21 over the whole catalogue: the watermark each table
-    would advance to after one run from the default watermark."""
+    would advance to after one run from a watermark older than the data."""
     parts = []
     for t in RAW_TABLES:
-        batch = extract_incremental(wh.raw(t.name), t.ts_col, DEFAULT_INIT_DATE)
-        parts.append(next_watermark(batch, t.ts_col, DEFAULT_INIT_DATE)
+        batch = extract_incremental(wh.raw(t.name), t.ts_col, BEFORE_ALL)
+        parts.append(next_watermark(batch, t.ts_col, BEFORE_ALL)
                      .select(F.lit(f"{t.source}.{t.table}").alias("table_name"), "max_date"))
     out = parts[0]
     for p in parts[1:]:
@@ -55,7 +60,9 @@ USER_COLS = ["id", "email", "first_name", "last_name", "city", "country", "regis
 
 def user_updates(td: TestData) -> DataFrame:
     """An update batch for the users table: customers in debt moved (new
-    e-mail and city, unknown city below -500) plus every supplier as a new user."""
+    e-mail and city, unknown city below -500) plus every supplier as a new user.
+    Each moved customer comes twice, first with an address that does not hold;
+    ``seq`` is the order in which the rows were sent."""
     cu = td.table("customer", ["c_custkey", "c_name", "c_acctbal"]).where(c("c_acctbal") < 0)
     moved = cu.select(
         c("c_custkey").alias("id"),
@@ -63,29 +70,34 @@ def user_updates(td: TestData) -> DataFrame:
         c("c_name").alias("first_name"), F.lit(None).cast("string").alias("last_name"),
         F.when(c("c_acctbal") < -500, F.lit(None)).otherwise(F.lit("Relocated")).alias("city"),
         F.lit("Unknown").alias("country"),
-        F.lit("2024-06-01 00:00:00").cast("timestamp_ntz").alias("registered_at"))
+        F.lit("2024-06-01 00:00:00").cast("timestamp_ntz").alias("registered_at"), F.lit(2).alias("seq"))
+    passing = moved.withColumns({"email": F.lit("zz-on-the-way@example.com"), "city": F.lit("Transit"),
+                                 "seq": F.lit(1)})
     su = td.table("supplier", ["s_suppkey", "s_name"])
     new = su.select(
         (c("s_suppkey") + 1000000).alias("id"),
         F.concat(F.lit("supplier"), c("s_suppkey").cast("string"), F.lit("@example.com")).alias("email"),
         c("s_name").alias("first_name"), F.lit("Supplier").alias("last_name"),
         F.lit("Unknown").alias("city"), F.lit("Unknown").alias("country"),
-        F.lit("2024-06-01 00:00:00").cast("timestamp_ntz").alias("registered_at"))
-    return moved.unionByName(new)
+        F.lit("2024-06-01 00:00:00").cast("timestamp_ntz").alias("registered_at"), F.lit(1).alias("seq"))
+    return moved.unionByName(passing).unionByName(new)
 
 
 def upsert_merge(wh: Warehouse, td: TestData) -> DataFrame:
     """MERGE1: users upserted with the batch; only email and city update."""
-    target = wh.final("raw_web_users").select(*USER_COLS)
-    return upsert(target, user_updates(td), ["id"], ["email", "city"])
+    target = wh.final("raw_web_users", columns=USER_COLS).select(*USER_COLS)
+    return upsert(target, user_updates(td), ["id"], ["email", "city"], "seq")
 
 
 def get_or_create_category_ids(wh: Warehouse, td: TestData) -> DataFrame:
-    """MERGE2: part types as category names; unknown names get new ids."""
+    """MERGE2: part types as category names; unknown names get new ids, and a second
+    call on the grown table finds them."""
     values = td.table("part", ["p_partkey", "p_type"])
-    cats = wh.final("raw_web_categories").select("id", "name")
-    return get_or_create_ids(values, "p_type", cats, "name", "id").select(
-        "p_partkey", "p_type", c("id").cast("int").alias("category_id"))
+    cats = wh.final("raw_web_categories", columns=["name"]).select("id", "name")
+    first = get_or_create_ids(values, "p_type", cats, "name", "id")
+    again = get_or_create_ids(values, "p_type", cats.unionByName(first.created), "name", "id")
+    return (first.values.select("p_partkey", "p_type", c("id").alias("category_id"))
+            .join(again.values.select("p_partkey", c("id").alias("category_id_again")), "p_partkey"))
 
 
 def cost_backfill(wh: Warehouse) -> DataFrame:
@@ -147,17 +159,68 @@ def partitioned_sink_roundtrip(spark: SparkSession, wh: Warehouse, fact: DataFra
 
 
 def batch_layout_fallback(spark: SparkSession, wh: Warehouse) -> DataFrame:
-    """SRC4-SRC7: write the incremental extract under ds=<day of max ts>, then
-    load a day that has no batch, which falls back to every batch."""
+    """SRC4-SRC7: all web orders written as two batches of one day (two runs), then
+    a load of a day that has no batch, which falls back to every batch."""
     base = scratch(spark, "extract")
-    batch = incremental_extract(wh)
-    ds = next_watermark(batch, "created_at", DEFAULT_INIT_DATE).first()["max_date"]
-    write_batch(batch.withColumn("ds", F.lit(ds)), base, "web", "orders")
-    assert batch_path(base, "web", "orders", ds).endswith(f"ds={ds}")
+    orders = wh.raw("raw_web_orders")
+    newer = extract_incremental(orders, "created_at", AMID)
+    write_batch(orders.join(newer.select("id").distinct(), "id", "left_anti"), base, "web", "orders", "2024-06-01", "a")
+    write_batch(newer, base, "web", "orders", "2024-06-01", "b")
+    assert batch_path(base, "web", "orders", "2024-06-01").endswith("ds=2024-06-01")
     loaded = read_batch(spark, base, "web", "orders", "2099-01-01")
     return loaded.withColumn("ds", c("ds").cast("string"))
 
 
+CYCLE_TABLES = ["raw_web_orders", "raw_web_users", "raw_marketing_ad_campaign_daily_stats"]
+
+
+def _cycle(spark: SparkSession, wh: Warehouse):
+    """Two extract and load cycles over CYCLE_TABLES: the first day extracts twice
+    before it loads (the second run re-reads the newest day), the next day
+    extracts again and loads."""
+    root = scratch(spark, "cycle")
+    marks = Watermarks(spark, f"{root}/control")
+    tables = [BY_NAME[n] for n in CYCLE_TABLES]
+
+    def extract(ds, run):
+        extract_source(spark, "all", lambda t: wh.raw(t.name).select(*t.column_names), f"{root}/batches", marks,
+                       BEFORE_ALL, tables, run_date=ds, run=run)
+
+    def load(ds):
+        for t in tables:
+            batch = read_batch(spark, f"{root}/batches", t.source, t.table, ds)
+            load_raw(batch.select(*t.column_names), f"{root}/raw/{t.name}", t)
+    extract("2024-06-01", "a")
+    extract("2024-06-01", "b")
+    load("2024-06-01")
+    extract("2024-06-02", "c")
+    load("2024-06-02")
+    return root, marks
+
+
+def extract_load_cycle(spark: SparkSession, wh: Warehouse) -> DataFrame:
+    """SRC3, SRC5, SRC8, SRC9, INC1-INC3, MERGE3 over all of orders: every order at its
+    latest version, and how many copies the raw table holds of it."""
+    root, _ = _cycle(spark, wh)
+    t = BY_NAME["raw_web_orders"]
+    raw = read_raw(spark, f"{root}/raw", t)
+    copies = raw.groupBy("id").agg(F.count(F.lit(1)).alias("copies"))
+    return latest(raw, t.keys).drop("loaded_at").join(copies, "id")
+
+
+def watermark_cycle(spark: SparkSession, wh: Warehouse) -> DataFrame:
+    """INC1/INC2: the control table after the cycles."""
+    _, marks = _cycle(spark, wh)
+    return marks.table().select("table_name", F.date_format("max_date", "yyyy-MM-dd").alias("max_date"))
+
+
+def constrained_columns(wh: Warehouse) -> DataFrame:
+    """DML2: cart items with a margin column that must be there and at most the price."""
+    items = wh.final("raw_web_cart_items").select("id", "price_at_time", "cost_price")
+    margin = F.greatest(c("price_at_time") - F.coalesce(c("cost_price"), F.lit(0.0)), F.lit(0.0))
+    return add_column(items, "margin", margin, not_null=True, check="margin <= price_at_time")
+
+
 def stream_hourly_kpis(spark: SparkSession, td: TestData) -> DataFrame:
     """INC4 + INC5: replay events as a file stream; hourly windows per event
     type, complete output mode."""
@@ -168,16 +231,14 @@ def stream_hourly_kpis(spark: SparkSession, td: TestData) -> DataFrame:
 
 
 def stream_raw_load(spark: SparkSession, wh: Warehouse) -> DataFrame:
-    """SRC8/SRC9/INC3 as a stream: the incremental extract of web orders laid
-    out as daily batches, loaded by a file stream into the raw table, read
-    back with the latest-version rule."""
+    """SRC8/SRC9/INC3 as a stream: all web orders laid out as daily batches, loaded
+    by a file stream into the raw table, read back with the latest-version
+    rule."""
     from tidemart.streaming.ingest import read_latest, stream_load
     root = scratch(spark, "stream_load")
-    batch = (incremental_extract(wh).drop("loaded_at")
-             .withColumn("ds", F.date_format("created_at", "yyyy-MM-dd")))
-    write_batch(batch, root, "web", "orders")
-    schema = ("id long, user_id long, cart_id long, total_amount double, status string, "
-              "created_at timestamp_ntz, ds string")
-    stream_load(spark, batch_path(root, "web", "orders"), schema, f"{root}/raw_web_orders",
-                f"{root}/checkpoint")
-    return read_latest(spark, f"{root}/raw_web_orders", ["id"])
+    t = BY_NAME["raw_web_orders"]
+    (wh.raw(t.name).select(*t.column_names)
+     .withColumns({"ds": F.date_format("created_at", "yyyy-MM"), "run": F.lit("a")})
+     .repartition("ds").write.partitionBy("ds", "run").parquet(batch_path(root, t.source, t.table)))
+    stream_load(spark, batch_path(root, t.source, t.table), t, f"{root}/{t.name}", f"{root}/checkpoint")
+    return read_latest(spark, f"{root}/{t.name}", ["id"])

@@ -52,7 +52,7 @@ class BuildResult:
 
 
 def build_all(spark: SparkSession, wh: Warehouse, out_dir: str,
-              spine: tuple[str, int] | None = None) -> BuildResult:
+              spine: tuple[str, int] | None = None, with_hourly: bool = True) -> BuildResult:
     out = out_dir.rstrip("/")
     written = []
     for name, key in DIM_ORDER.items():
@@ -73,7 +73,7 @@ def build_all(spark: SparkSession, wh: Warehouse, out_dir: str,
     for name, (date_col, order) in MART_LAYOUT.items():
         write_partitioned_sorted(built[name], f"{out}/datamart/{name}", date_col, order)
         written.append(name)
-    for name, order in HOURLY_LAYOUT.items():
+    for name, order in HOURLY_LAYOUT.items() if with_hourly else ():
         df = getattr(hourly, name)(wh)
         write_partitioned_sorted(df, f"{out}/datamart/{name}", "snapshot_hour", order, grain="day")
         written.append(name)

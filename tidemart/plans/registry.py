@@ -4,21 +4,18 @@ Each query reads the driver's tables in ``sf_dir`` through the raw-table
 adapters and runs over whole tables. Column names match the DuckDB oracle
 statements in ``tidemart.oracle``.
 
-The model graph of one (session, folder) is built once and shared by the
-queries of that session: every model is a lazy, memoised DataFrame, so a
-second query (or a repeated one) reuses the analysed plans instead of
-rebuilding them on the driver; each execution still reads the tables anew."""
+Every call builds its models anew, so a query reads the files that are there
+when it is called; within one query, models are built once and shared."""
 
 from __future__ import annotations
 
-import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.operators.snapshot import latest
-from tidemart.plans import checks, hourly, marts, operations
+from tidemart.plans import checks, hourly, marts, operations, pipeline
 from tidemart.plans.staging import STAGING_SPECS
 from tidemart.plans.warehouse import Warehouse
 from tidemart.session import apply_sql_conf
@@ -33,37 +30,38 @@ def warehouse(spark: SparkSession, sf_dir: str, null_mode: str = "ansi") -> Ware
     return Warehouse(TestData(spark, sf_dir).raw, null_mode=null_mode)
 
 
-# session -> {(folder, null_mode) | folder: shared Warehouse | TestData}
-_SHARED: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
-
-
-def _shared(spark: SparkSession, key, make):
-    try:
-        per_session = _SHARED.setdefault(spark, {})
-    except TypeError:  # a session type that cannot be a weak key: no sharing
-        return make()
-    if key not in per_session:
-        per_session[key] = make()
-    return per_session[key]
-
-
 def _data(spark: SparkSession, sf_dir: str) -> TestData:
     apply_sql_conf(spark)
-    d = sf_dir.rstrip("/")
-    return _shared(spark, ("data", d), lambda: TestData(spark, d))
+    return TestData(spark, sf_dir.rstrip("/"))
 
 
 def _wh(spark: SparkSession, sf_dir: str, null_mode: str = "ansi") -> Warehouse:
-    """The session's shared model graph over ``sf_dir`` (never mutated)."""
-    d = sf_dir.rstrip("/")
-    return _shared(spark, ("warehouse", d, null_mode),
-                   lambda: Warehouse(_data(spark, d).raw, null_mode=null_mode))
+    return warehouse(spark, sf_dir, null_mode)
 
 
 def _stg(name: str) -> QueryFn:
     return lambda spark, d: _wh(spark, d).stg(name)
 
 
+HOURLY_START = "1998-01-01 00:00:00"    # start of the inventory period: after the older stock count
+
+
+def q_dq_model_tests(spark, d):
+    """The model tests, run on the tables that a build writes."""
+    out = operations.scratch(spark, "model-tests")
+    return pipeline.build_all(spark, _wh(spark, d), out, with_hourly=False).tests
+
+
+def q_upsert_merge(spark, d):
+    td = _data(spark, d)
+    return operations.upsert_merge(Warehouse(td.raw), td)
+
+
+def q_get_or_create_ids(spark, d):
+    td = _data(spark, d)
+    return operations.get_or_create_category_ids(Warehouse(td.raw), td)
+
+
 def q_latest_version_dedupe(spark, d):
     return latest(_wh(spark, d).raw("raw_web_order_items"), ["id"], "loaded_at")
 
@@ -118,8 +116,8 @@ QUERIES: dict[str, QueryFn] = {
     "inventory_turns": _mart(marts.inventory_turns),
     "hourly_sales": _mart(hourly.hourly_sales),
     "hourly_marketing": _mart(hourly.hourly_marketing),
-    "hourly_inventory": _mart(hourly.hourly_inventory),
-    "dq_model_tests": lambda spark, d: checks.dq_model_tests(_wh(spark, d), q_dim_date(spark, d)),
+    "hourly_inventory": _mart(hourly.hourly_inventory, start=HOURLY_START),
+    "dq_model_tests": q_dq_model_tests,
     "dq_ranges": _mart(checks.dq_ranges),
     "dq_orphans": _mart(checks.dq_orphans),
     "dq_unique_keys": _mart(checks.dq_unique_keys),
@@ -127,15 +125,17 @@ QUERIES: dict[str, QueryFn] = {
     "dq_rate_bands": _mart(checks.dq_rate_bands),
     "incremental_extract": _mart(operations.incremental_extract),
     "watermark_next": _mart(operations.watermark_next),
-    "upsert_merge": lambda spark, d: operations.upsert_merge(_wh(spark, d), _data(spark, d)),
-    "get_or_create_ids": lambda spark, d: operations.get_or_create_category_ids(
-        _wh(spark, d), _data(spark, d)),
+    "upsert_merge": q_upsert_merge,
+    "get_or_create_ids": q_get_or_create_ids,
     "cost_backfill": _mart(operations.cost_backfill),
     "coerce_datetime_strings": lambda spark, d: operations.coerce_datetimes(_data(spark, d)),
     "orders_from_carts": _mart(operations.orders_from_carts),
     "latest_ids_topk": _mart(operations.latest_ids_topk),
     "partitioned_sink_roundtrip": lambda spark, d: operations.partitioned_sink_roundtrip(
         spark, _wh(spark, d), q_fact_order_items(spark, d)),
+    "extract_load_cycle": lambda spark, d: operations.extract_load_cycle(spark, _wh(spark, d)),
+    "watermark_cycle": lambda spark, d: operations.watermark_cycle(spark, _wh(spark, d)),
+    "constrained_columns": _mart(operations.constrained_columns),
     "batch_layout_fallback": lambda spark, d: operations.batch_layout_fallback(spark, _wh(spark, d)),
     "stream_hourly_kpis": lambda spark, d: operations.stream_hourly_kpis(spark, _data(spark, d)),
     "stream_raw_load": lambda spark, d: operations.stream_raw_load(spark, _wh(spark, d)),

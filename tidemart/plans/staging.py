@@ -6,7 +6,7 @@ operator, ``stage``, plus a declarative spec per model."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -77,7 +77,25 @@ STAGING_SPECS: dict[str, tuple[str, Callable[[], list[Column]]]] = {
 }
 
 
-def stage(raw: DataFrame, raw_name: str, projection: list[Column]) -> DataFrame:
-    """latest version per identity key, then the staging projection."""
+# Raw columns a staged column needs beside or instead of its own.
+STAGING_INPUTS: dict[str, dict[str, tuple[str, ...]]] = {
+    "stg_web_products": {"product_name": ("name",)},
+    "stg_web_sessions": {"ended_at": ("ended_at", "started_at")},
+    "stg_oms_orders": {"confirmed_at": ("confirmed_at", "received_at"), "dispatched_at": ("dispatched_at", "received_at")},
+    "stg_oms_shipments": {"planned_delivery": ("planned_delivery", "created_at"),
+                          "actual_delivery": ("actual_delivery", "created_at")},
+    "stg_wms_picking_tasks": {"completed_at": ("completed_at", "created_at")},
+}
+
+
+def stage(raw: DataFrame, name: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """Latest version per identity key, then the staging projection. Only the raw
+    columns that ``columns`` of the model (default: all) need are read and moved."""
+    raw_name, projection = STAGING_SPECS[name]
     keys = BY_NAME[raw_name].keys
-    return latest(raw, keys, "loaded_at").select(*projection)
+    if columns is None:
+        return latest(raw, keys, columns=BY_NAME[raw_name].column_names).select(*projection())
+    need = {i for c_ in columns for i in STAGING_INPUTS.get(name, {}).get(c_, (c_,))}
+    staged = raw.limit(0).select(*projection()).columns
+    picked = [p for p, n in zip(projection(), staged, strict=True) if n in columns]
+    return latest(raw, keys, columns=sorted(need)).select(*picked)

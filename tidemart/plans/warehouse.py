@@ -98,20 +98,22 @@ class Warehouse:
             self._raw_cache[name] = self._raw(name)
         return self._raw_cache[name]
 
-    def stg(self, name: str) -> DataFrame:
-        if name not in self._stg_cache:
-            raw_name, proj = STAGING_SPECS[name]
-            self._stg_cache[name] = stage(self.raw(raw_name), raw_name, proj())
-        return self._stg_cache[name]
+    def stg(self, name: str, columns=None) -> DataFrame:
+        """A staging model, or only some of its columns (then no others are read)."""
+        key = f"{name}:{','.join(columns)}" if columns else name
+        if key not in self._stg_cache:
+            self._stg_cache[key] = stage(self.raw(STAGING_SPECS[name][0]), name, columns)
+        return self._stg_cache[key]
 
-    def final(self, raw_name: str, keys=None) -> DataFrame:
+    def final(self, raw_name: str, keys=None, columns=None) -> DataFrame:
         """A raw table read with latest-version semantics (FINAL), on the
-        identity key of the catalogue unless ``keys`` is given."""
+        identity key of the catalogue unless ``keys`` is given; with ``columns``,
+        only the keys and those."""
         if keys is None:
             keys = BY_NAME[raw_name].keys if raw_name in BY_NAME else ("id",)
-        key = f"final:{raw_name}:{','.join(keys)}"
+        key = f"final:{raw_name}:{','.join(keys)}:{'*' if columns is None else ','.join(columns)}"
         if key not in self._stg_cache:
-            self._stg_cache[key] = latest(self.raw(raw_name), keys, "loaded_at")
+            self._stg_cache[key] = latest(self.raw(raw_name), keys, columns=columns)
         return self._stg_cache[key]
 
     # ---------------------------------------------------------------- dimensions
@@ -177,18 +179,17 @@ class Warehouse:
         is_first_order = (order id == running min of order ids of the customer
         ordered by created_at), evaluated over orders that survive the status
         filter and have at least one line, like the windowed SQL."""
-        items = self.stg("stg_web_order_items")
-        orders = (self.stg("stg_web_orders")
+        items = self.stg("stg_web_order_items", ["id", "order_id", "product_id", "quantity", "unit_price", "unit_cost"])
+        orders = (self.stg("stg_web_orders", ["id", "user_id", "status", "created_at"])
                   .where(~c("status").isin(*EXCLUDED_ORDER_STATUSES))
                   .select(c("id").alias("order_id"), c("user_id"), c("created_at").alias("order_ts"),
                           c("status").alias("order_status")))
-        joined = items.join(orders, "order_id", "inner")
-        # Orders that survived the filter and the inner join are exactly the
-        # orders in ``joined``; the window runs over them.
-        first = (running_min_members(joined.select("order_id", "user_id", "order_ts"),
-                                     "user_id", "order_ts", "order_id")
+        # The flag belongs to orders, so it is found on orders that have a line and
+        # joined to them; the lines, the largest side, are joined once.
+        with_lines = orders.join(items.select("order_id"), "order_id", "left_semi")
+        first = (running_min_members(with_lines, "user_id", "order_ts", "order_id")
                  .withColumn("is_first_order", F.lit(1)))
-        j = joined.join(first, "order_id", "left")
+        j = items.join(orders.join(first, "order_id", "left"), "order_id", "inner")
         revenue = (c("quantity") * c("unit_price")).cast(MONEY)
         cogs = (c("quantity") * c("unit_cost")).cast(MONEY)
         return j.select(
@@ -203,8 +204,9 @@ class Warehouse:
     @cached_property
     def fact_sessions(self) -> DataFrame:
         """FCT2: one row per (session, matching channel)."""
-        s = self.stg("stg_web_sessions")
-        carts = self.stg("stg_web_carts")
+        s = self.stg("stg_web_sessions", ["id", "user_id", "utm_source", "device_type", "started_at", "ended_at",
+                                          "page_views"])
+        carts = self.stg("stg_web_carts", ["id", "session_id", "status"])
         cart_status = (carts.groupBy("session_id").agg(
             F.max(flag(c("status") == "converted")).alias("has_order"),
             F.max(flag(c("status") == "abandoned")).alias("was_abandoned")))
@@ -225,13 +227,13 @@ class Warehouse:
     def fact_fulfillment(self) -> DataFrame:
         """FCT3: one row per shipment of a known OMS order."""
         sh = self.stg("stg_oms_shipments")
-        oo = self.stg("stg_oms_orders").select(
+        oo = self.stg("stg_oms_orders", ["id", "web_order_id", "received_at", "dispatched_at"]).select(
             c("id").alias("oms_order_id"), "web_order_id", "received_at", "dispatched_at")
-        picks = (self.stg("stg_wms_picking_tasks").groupBy("oms_order_id").agg(
+        picks = (self.stg("stg_wms_picking_tasks", ["id", "oms_order_id", "is_accurate", "is_substituted"]).groupBy("oms_order_id").agg(
             (F.sum("is_accurate").cast("double") / F.count("is_accurate")).alias("pct_accurate"),
             (F.sum("is_substituted").cast("double") / F.count("is_substituted"))
             .alias("pct_substituted")))
-        returns = (self.final("raw_oms_returns").select("oms_order_id").distinct()
+        returns = (self.final("raw_oms_returns", columns=["oms_order_id"]).select("oms_order_id").distinct()
                    .withColumn("has_return", F.lit(1)))
         j = sh.join(oo, "oms_order_id", "inner")
         j = left_join_defaults(j, picks, ["oms_order_id"], self.null_mode)
@@ -251,7 +253,7 @@ class Warehouse:
     def fact_inventory_snapshot(self) -> DataFrame:
         """FCT4: one row per WMS inventory record at its update date."""
         inv = self.stg("stg_wms_inventory")
-        wp = self.final("raw_wms_products").select(
+        wp = self.final("raw_wms_products", columns=["web_product_id", "unit_cost"]).select(
             c("id").alias("wms_product_id"), "web_product_id", "unit_cost")
         j = left_join_defaults(inv, wp, ["wms_product_id"], self.null_mode)
         on_hand = c("quantity_on_hand")

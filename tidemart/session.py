@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of this package expects. ANSI mode stays on (Spark 4
 # default): unguarded division by zero raises, so every ratio is guarded.
@@ -49,12 +50,15 @@ def apply_sql_conf(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (spark.checkpoint.dir).
 
-    Only when it is unset (local tests) do we create one of our own."""
+    Only a local session without that setting gets one of its own: elsewhere a
+    folder of one machine would be out of the other executors' reach."""
     cur = spark.conf.get("spark.checkpoint.dir", None)
     sc = _spark_context(spark)
     if not cur and sc is not None:
         cur = sc.getConf().get("spark.checkpoint.dir", None)
     if not cur:
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         cur = tempfile.mkdtemp(prefix="tidemart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", cur)
     if sc is not None:
@@ -62,6 +66,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return cur
 
 
+def written_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: rows that must be the same
+    however often, and by whichever executor, they are read."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/tidemart/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _spark_context(spark: SparkSession):
     """The SparkContext of a classic session; None for a Spark Connect client."""
     try:

@@ -1,13 +1,17 @@
 """Batch object layout, parquet sinks and the load-side fallback read
 (SURVEY SRC4-SRC9, SRC11, SORT1).
 
-Layout: ``{base}/{source}/{table}/ds=YYYY-MM-DD/`` (Hive-style, so a filter on
-``ds`` prunes directories). Writes go through Spark's file committer: a
-batch directory appears whole or not at all, and a re-run of the same day
-replaces only that day's partition (dynamic partition overwrite)."""
+Layout: ``{base}/{source}/{table}/ds=YYYY-MM-DD/run=<id>/`` (Hive-style, so a
+filter on ``ds`` prunes directories). ``ds`` is the day of the run that wrote the
+batch. Writes go through Spark's file committer: a batch directory appears
+whole or not at all. Runs never replace each other's batches; a run that is
+repeated under its own id replaces its own (dynamic partition overwrite)."""
 
 from __future__ import annotations
 
+import logging
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,34 +41,70 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(conf).exists(p)
 
 
-def write_batch(df: DataFrame, base: str, source: str, table: str, ds_col: str = "ds") -> int:
-    """SRC5: write a batch partitioned by ``ds_col``; an empty batch writes
-    nothing. Returns the row count, observed during the write (no second
-    pass over the data)."""
+@dataclass(frozen=True)
+class Batch:
+    """What one run wrote: rows, and the newest value of the watermark column."""
+
+    rows: int
+    newest: object = None
+
+
+def write_batch(df: DataFrame, base: str, source: str, table: str, ds: str, run: str,
+                ts_col: str | None = None) -> Batch:
+    """SRC5: write a batch under (ds, run); an empty batch writes no data. Row count
+    and newest timestamp are observed during the write, so they are those of
+    the rows written and the source is read once."""
     obs = Observation(f"rows_{source}_{table}")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    (observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(ds_col).parquet(batch_path(base, source, table)))
-    return int(obs.get["rows"])
+    newest = F.max(ts_col) if ts_col else F.lit(None)
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), newest.alias("newest"))
+    (observed.withColumns({"ds": F.lit(ds), "run": F.lit(run)})
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("ds", "run").parquet(batch_path(base, source, table)))
+    return Batch(int(obs.get["rows"]), obs.get["newest"])
+
+
+class UnreadableFiles(RuntimeError):
+    pass
+
+
+def unreadable_files(spark: SparkSession, root: str) -> DataFrame:
+    """(path) of the Parquet files under ``root`` of which no row can be read."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+             .option("recursiveFileLookup", "true").load(root).select("path"))
+    read = (spark.read.option("ignoreCorruptFiles", "true").option("mergeSchema", "true")
+            .option("pathGlobFilter", "*.parquet")
+            .option("recursiveFileLookup", "true").parquet(root)
+            .select(F.col("_metadata.file_path").alias("path")).distinct())
+    return files.join(read, "path", "left_anti")
 
 
 def read_batch(spark: SparkSession, base: str, source: str, table: str, ds: str,
-               schema=None) -> DataFrame:
-    """SRC6/SRC7: the batch of day ``ds`` if it exists, otherwise every batch
-    of the table (unreadable files are skipped, as the loader's fallback does)."""
+               schema=None, skip_unreadable: bool = False) -> DataFrame:
+    """SRC6/SRC7: the batches of day ``ds`` if there are any, otherwise every batch
+    of the table. The day's read fails on an unreadable file. So does the
+    fallback, unless ``skip_unreadable``: then such files are left out, and
+    their number and names are logged."""
     root = batch_path(base, source, table)
-    reader = spark.read.option("ignoreCorruptFiles", "true").option("mergeSchema", "true")
+    has_day = path_exists(spark, batch_path(base, source, table, ds))
+    reader = spark.read.option("mergeSchema", "true").option("ignoreCorruptFiles", "false")
+    if not has_day:
+        bad = [r["path"] for r in unreadable_files(spark, root).collect()]   # one row per damaged file
+        if bad and not skip_unreadable:
+            raise UnreadableFiles(f"{len(bad)} unreadable files under {root}: {bad[:5]}")
+        if bad:
+            logging.getLogger(__name__).warning("skipped %d unreadable files under %s: %s", len(bad), root, bad)
+            reader = reader.option("ignoreCorruptFiles", "true")
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.parquet(root)
-    if path_exists(spark, batch_path(base, source, table, ds)):
-        return df.where(F.col("ds") == F.lit(ds))
-    return df
+    return df.where(F.col("ds") == F.lit(ds)) if has_day else df
 
 
 def stamp_loaded_at(df: DataFrame) -> DataFrame:
-    """SRC9: one load timestamp per batch (the dedupe version)."""
-    return df.withColumn("loaded_at", F.current_timestamp().cast("timestamp_ntz"))
+    """SRC9: one load timestamp per batch, and a number for each of its rows: together
+    the dedupe version."""
+    return df.withColumns({"loaded_at": F.current_timestamp().cast("timestamp_ntz"),
+                           "load_seq": F.monotonically_increasing_id()})
 
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None,
@@ -80,18 +120,22 @@ def append(df: DataFrame, path: str, partition_by: list[str] | None = None,
 
 
 def write_partitioned_sorted(df: DataFrame, path: str, date_col: str, sort_cols: list[str],
-                             grain: str = "month") -> None:
+                             grain: str = "month", replace: str = "table") -> None:
     """SRC11 + SORT1: partition a model by toYYYYMM(date) (or by day) and sort
     each file by the model's order key, so parquet min/max statistics prune
     row groups on the sort key. The rebalance clusters rows of one partition
     value into few write tasks but lets AQE split a large month into
     advisory-sized tasks (a plain repartition on the month would send a whole
-    month to one task)."""
+    month to one task). replace="table" rebuilds the model: periods that no
+    longer have rows go. replace="periods" replaces only the periods written."""
+    if replace not in ("table", "periods"):
+        raise ValueError(f"replace must be 'table' or 'periods', not {replace!r}")
     key = "yyyymm" if grain == "month" else "yyyymmdd"
     part = yyyymm(date_col) if grain == "month" else F.date_format(date_col, "yyyyMMdd").cast("int")
     out = df.withColumn(key, part)
     (out.hint("rebalance", key).sortWithinPartitions(key, *sort_cols)
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static" if replace == "table" else "dynamic")
         .partitionBy(key).parquet(path))
 
 

@@ -6,16 +6,21 @@ the extract predicate is strict (ts > watermark), and the next watermark is
 the day of the batch's max timestamp. Every run therefore re-reads the whole
 newest day; the duplicates this causes are absorbed by the latest-version
 read. Rows that arrive with a timestamp older than the watermark day are
-missed; ``lookback_days`` widens the window to pick them up."""
+missed; ``lookback_days`` widens the window to pick them up. The batch itself is
+filed under the day of the run, where the load of that day looks for it."""
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemart.sources.batch_io import append, stamp_loaded_at, write_batch
+from tidemart.functions.coerce import coerce_to_contract, strip_timezone
+from tidemart.sources.batch_io import append, path_exists, stamp_loaded_at, write_batch
 from tidemart.sources.catalog import RAW_TABLES, RawTable
 
 DEFAULT_INIT_DATE = "2020-01-01"
@@ -64,7 +69,6 @@ class Watermarks:
     path: str
 
     def table(self) -> DataFrame:
-        from tidemart.sources.batch_io import path_exists
         if not path_exists(self.spark, self.path):
             return self.spark.range(0).select(
                 F.lit(None).cast("string").alias("table_name"), F.lit(None).cast("date").alias("max_date"),
@@ -87,31 +91,53 @@ class Watermarks:
             .partitionBy("table_name").parquet(self.path))
 
 
+def naive_timestamps(df: DataFrame) -> DataFrame:
+    """every zoned timestamp column as its UTC wall clock."""
+    return df.select(*[strip_timezone(f.name).alias(f.name) if isinstance(f.dataType, T.TimestampType)
+                       else F.col(f.name) for f in df.schema.fields])
+
+
+def new_run_id() -> str:
+    """Ids of later runs sort after those of earlier ones."""
+    return f"{dt.datetime.now(dt.UTC):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+
+
 def extract_source(spark: SparkSession, source: str, read_table, base: str,
                    marks: Watermarks, init_date: str = DEFAULT_INIT_DATE,
-                   tables: list[RawTable] | None = None, lookback_days: int = 0) -> dict:
+                   tables: list[RawTable] | None = None, lookback_days: int = 0,
+                   run_date: str | None = None, run: str | None = None) -> dict:
     """SRC3: for each catalogued table of ``source``: watermark -> incremental
-    read -> skip if empty -> write the batch under ds=<day of max ts> ->
-    advance the watermark. The data is written before the watermark moves,
-    so a failure between the two only causes a re-read (absorbed by the
-    latest-version read). Returns {table: rows written}."""
+    read -> batch under ds=<run date>/run=<id> -> watermark to the day of the
+    newest row written. Zoned timestamps become naive (F20). The data is
+    written before the watermark moves, so a failure between the two only
+    causes a re-read (absorbed by the latest-version read); a batch without
+    rows leaves the mark. Returns {table: rows written}."""
     out = {}
+    run_date = run_date or dt.datetime.now(dt.UTC).date().isoformat()
+    run = run or new_run_id()
     for t in tables or [t for t in RAW_TABLES if t.source == source]:
         wm = marks.get(f"{t.source}.{t.table}", init_date)
-        batch = extract_incremental(read_table(t), t.ts_col, wm, lookback_days)
-        stats = batch.agg(F.count(F.lit(1)).alias("n"),
-                          F.date_format(F.max(t.ts_col), "yyyy-MM-dd").alias("max_date")).first()
-        if stats["n"] == 0:    # nothing newer than the watermark: no object, mark unchanged
-            out[t.name] = 0
-            continue
-        nxt = stats["max_date"]
-        out[t.name] = write_batch(batch.withColumn("ds", F.lit(nxt)), base, t.source, t.table)
-        marks.update(f"{t.source}.{t.table}", nxt)
+        batch = extract_incremental(naive_timestamps(read_table(t)), t.ts_col, wm, lookback_days)
+        written = write_batch(batch, base, t.source, t.table, run_date, run, t.ts_col)
+        out[t.name] = written.rows
+        if written.rows:
+            marks.update(f"{t.source}.{t.table}", str(written.newest)[:10])
     return out
 
 
-def load_raw(batch: DataFrame, raw_path: str, truncate: bool = False) -> int:
-    """Load step: type repair, loaded_at stamp, append to the raw table
-    (``truncate`` replaces it, for full reloads)."""
-    from tidemart.functions.coerce import coerce_datetime_strings
-    return append(stamp_loaded_at(coerce_datetime_strings(batch)), raw_path, truncate=truncate)
+def load_raw(batch: DataFrame, raw_path: str, table: RawTable | None = None, truncate: bool = False) -> int:
+    """Load step: type repair by the table's contract, loaded_at stamp, append to the
+    raw table (``truncate`` replaces it, for full reloads)."""
+    if table is not None:
+        batch = coerce_to_contract(batch, table.schema)
+    return append(stamp_loaded_at(batch), raw_path, truncate=truncate)
+
+
+def read_raw(spark: SparkSession, raw_dir: str, table: RawTable) -> DataFrame:
+    """A raw table by its contract; without rows when nothing was loaded yet."""
+    schema = T.StructType([*table.schema.fields, T.StructField("loaded_at", T.TimestampNTZType()),
+                           T.StructField("load_seq", T.LongType())])
+    path = f"{raw_dir.rstrip('/')}/{table.name}"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)

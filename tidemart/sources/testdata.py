@@ -91,7 +91,8 @@ class TestData:
         li = self.table("lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                                      "l_quantity", "l_extendedprice", "l_discount", "l_tax",
                                      "l_returnflag", "l_linestatus", "l_shipdate"])
-        return li.withColumn("line_id", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
+        return li.withColumns({"line_id": F.col("l_orderkey") * 8 + F.col("l_linenumber"),
+                               "load_seq": F.col("l_partkey") * 1000000 + F.col("l_suppkey")})
 
     # ------------------------------------------------------------ events
     @cached_property
@@ -233,13 +234,14 @@ class TestData:
                          F.col("l_quantity").cast("int").alias("quantity"),
                          unit.alias("unit_price"), (unit * 0.6).alias("unit_cost"),
                          F.col("l_shipdate").alias("created_at"),
-                         F.col("l_shipdate").alias("loaded_at"))
+                         F.col("l_shipdate").alias("loaded_at"), F.col("load_seq"))
         p = self._events.where(F.col("event_type") == "purchase")
         oid = -(F.col("event_id") + 1)
         web = p.select(oid.alias("id"), oid.alias("order_id"), F.col("k").cast("long").alias("product_id"),
                        (F.col("event_id") % 3 + 1).cast("int").alias("quantity"),
                        F.col("value").alias("unit_price"), (F.col("value") * 0.6).alias("unit_cost"),
-                       F.col("ts").alias("created_at"), F.col("ts").alias("loaded_at"))
+                       F.col("ts").alias("created_at"), F.col("ts").alias("loaded_at"),
+                       F.lit(0).cast("long").alias("load_seq"))
         return tpch.unionByName(web)
 
     # ------------------------------------------------------------ oms
@@ -275,7 +277,7 @@ class TestData:
              .otherwise(0).alias("is_on_time"),
             F.when(F.col("l_returnflag") == "R", 0).otherwise(1).alias("is_complete"),
             F.col("l_shipdate").alias("created_at"),
-            F.col("l_shipdate").alias("loaded_at"))
+            F.col("l_shipdate").alias("loaded_at"), "load_seq")
 
     def raw_oms_returns(self) -> DataFrame:
         li = self._lines.where(F.col("l_returnflag") == "R")
@@ -286,7 +288,7 @@ class TestData:
             F.when(ln % 3 == 0, "damaged").when(ln % 3 == 1, "wrong_item").otherwise("not_needed")
              .alias("reason"),
             F.when(ln % 2 == 1, "approved").otherwise("completed").alias("status"),
-            at.alias("created_at"), at.alias("loaded_at"))
+            at.alias("created_at"), at.alias("loaded_at"), "load_seq")
 
     # ------------------------------------------------------------ wms
     def raw_wms_products(self) -> DataFrame:
@@ -301,12 +303,20 @@ class TestData:
         p = self.table("part", ["p_partkey", "p_size"])
         last = self._lines.groupBy("l_partkey").agg(F.max("l_shipdate").alias("last_ship"))
         upd = F.coalesce(F.col("last_ship"), _ts("1995-01-01 00:00:00"))
-        return (p.join(last, p.p_partkey == last.l_partkey, "left").select(
+        now = p.join(last, p.p_partkey == last.l_partkey, "left").select(
             F.col("p_partkey").alias("id"), F.col("p_partkey").alias("wms_product_id"),
             (F.col("p_size") - 5).alias("quantity_on_hand"),
             (F.col("p_size") % 7).alias("quantity_reserved"),
             F.lit(10).alias("reorder_point"),
-            upd.alias("updated_at"), upd.alias("loaded_at")))
+            upd.alias("updated_at"), upd.alias("loaded_at"))
+        # an older version of every record: a count at the end of 1997
+        count = _ts("1997-12-31 18:00:00")
+        then = p.select(
+            F.col("p_partkey").alias("id"), F.col("p_partkey").alias("wms_product_id"),
+            (F.col("p_size") * 5).alias("quantity_on_hand"),
+            (F.col("p_size") % 7).alias("quantity_reserved"),
+            F.lit(10).alias("reorder_point"), count.alias("updated_at"), count.alias("loaded_at"))
+        return now.unionByName(then)
 
     def raw_wms_inventory_movements(self) -> DataFrame:
         li = self._lines
@@ -316,7 +326,7 @@ class TestData:
             F.when(rf == "N", "outbound").when(rf == "A", "inbound").otherwise("return")
              .alias("movement_type"),
             F.col("l_quantity").cast("int").alias("quantity"),
-            F.col("l_shipdate").alias("created_at"), F.col("l_shipdate").alias("loaded_at"))
+            F.col("l_shipdate").alias("created_at"), F.col("l_shipdate").alias("loaded_at"), "load_seq")
 
     def raw_wms_picking_tasks(self) -> DataFrame:
         li = self._lines
@@ -327,7 +337,7 @@ class TestData:
             F.when(F.col("l_discount") < 0.05, 1).otherwise(0).alias("is_accurate"),
             F.when(F.col("l_tax") > 0.06, 1).otherwise(0).alias("is_substituted"),
             _null_when(F.col("l_linenumber") == 1, F.col("l_shipdate")).alias("completed_at"),
-            F.col("l_shipdate").alias("created_at"), F.col("l_shipdate").alias("loaded_at"))
+            F.col("l_shipdate").alias("created_at"), F.col("l_shipdate").alias("loaded_at"), "load_seq")
 
     # ------------------------------------------------------------ marketing
     def raw_marketing_traffic_sources(self) -> DataFrame:
@@ -420,4 +430,6 @@ class TestData:
             F.col("ts").alias("event_at"), F.col("ts").alias("loaded_at"))
 
     def raw(self, name: str) -> DataFrame:
-        return getattr(self, name)()
+        """A raw table with its load sequence: rows of one key and load time differ in it."""
+        df = getattr(self, name)()
+        return df if "load_seq" in df.columns else df.withColumn("load_seq", F.lit(0).cast("long"))

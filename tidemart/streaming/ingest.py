@@ -1,6 +1,6 @@
 """Streaming form of the hourly load.
 
-Extract batches land as ``{base}/{source}/{table}/ds=YYYY-MM-DD/`` parquet
+Extract batches land as ``{base}/{source}/{table}/ds=YYYY-MM-DD/run=<id>/`` parquet
 files; a file stream over the table root picks up new batch files, and each
 micro-batch is type-repaired, stamped with ``loaded_at`` and appended to the
 raw table. Replayed or overlapping batches only add copies that the
@@ -12,19 +12,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemart.functions.coerce import coerce_datetime_strings
+from tidemart.functions.coerce import coerce_to_contract
 from tidemart.operators.snapshot import latest
+from tidemart.sources.catalog import RawTable
 
 
-def stream_load(spark: SparkSession, batch_root: str, schema: str, raw_path: str,
+def stream_load(spark: SparkSession, batch_root: str, table: RawTable, raw_path: str,
                 checkpoint: str, max_files_per_trigger: int = 16) -> None:
+    schema = T.StructType([*table.schema.fields, T.StructField("ds", T.StringType()),
+                           T.StructField("run", T.StringType())])
     src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
            .parquet(batch_root))
 
     def load(batch: DataFrame, epoch_id: int) -> None:
-        (coerce_datetime_strings(batch)
+        (coerce_to_contract(batch.drop("run"), table.schema)
          .withColumn("loaded_at", F.current_timestamp().cast("timestamp_ntz"))
+         .withColumn("load_seq", F.monotonically_increasing_id())
          .withColumn("load_batch", F.lit(epoch_id).cast("long"))
          .write.mode("append").parquet(raw_path))
 
@@ -37,6 +42,6 @@ def read_latest(spark: SparkSession, raw_path: str, keys: list[str]) -> DataFram
     """The raw table as of now: latest version per key (load time, then
     load batch, then the row itself as tie-breaks)."""
     raw = spark.read.parquet(raw_path)
-    cols = [c for c in raw.columns if c not in ("loaded_at", "load_batch")]
-    out = latest(raw, keys, "loaded_at", tiebreak=["load_batch", *[c for c in cols if c not in keys]])
+    cols = [c for c in raw.columns if c not in ("loaded_at", "load_batch", "load_seq")]
+    out = latest(raw, keys, "loaded_at", tiebreak=["load_batch", "load_seq"], columns=cols)
     return out.select(*cols)
