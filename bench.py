@@ -3,11 +3,10 @@
 Each query is executed in full through the ``noop`` sink (every row is
 computed, nothing is collected to the driver). One warm-up pass, then the
 median of $BENCH_REPS timed runs per query. Each run calls the registered
-query function again; the model graph of the session is memoised, so the first
-run of a query also pays for building its DataFrames on the driver and later
-runs mostly execute. Both are reported: "queries" holds the medians (and
-"value" their sum), "first_run" the first run of each query. Prints ONE JSON
-line on stdout:
+query function, which builds its models anew from the files that are there, so
+every figure is a cold one: planning on the driver is part of it. "queries"
+holds the medians (and "value" their sum), "first_run" the first run of each
+query. Prints ONE JSON line on stdout:
 {"metric": ..., "value": total seconds, "unit": "sec", "queries": {...}, "sf": ...}
 """
 

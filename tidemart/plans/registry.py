@@ -103,6 +103,9 @@ QUERIES: dict[str, QueryFn] = {
     "dim_product": _model("dim_product"),
     "dim_campaign": _model("dim_campaign"),
     "dim_product_join_defaults": lambda spark, d: _wh(spark, d, null_mode="defaults").dim_product,
+    "fact_fulfillment_join_defaults": lambda spark, d: _wh(spark, d, null_mode="defaults").fact_fulfillment.drop(
+        "shipment_ts"),
+    "fact_inventory_join_defaults": lambda spark, d: _wh(spark, d, null_mode="defaults").fact_inventory_snapshot,
     "fact_order_items": q_fact_order_items,
     "fact_sessions": q_fact_sessions,
     "fact_fulfillment": q_fact_fulfillment,
