@@ -9,7 +9,9 @@ tests run last over the written tables."""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,6 +46,14 @@ HOURLY_LAYOUT = {
 }
 
 
+def _together(jobs: list) -> None:
+    """Runs independent writes side by side (Spark shares the executors between
+    their jobs); the first failure is raised."""
+    with ThreadPoolExecutor(4) as pool:
+        for done in [pool.submit(j) for j in jobs]:
+            done.result()
+
+
 @dataclass
 class BuildResult:
     out_dir: str
@@ -54,34 +64,33 @@ class BuildResult:
 def build_all(spark: SparkSession, wh: Warehouse, out_dir: str,
               spine: tuple[str, int] | None = None, with_hourly: bool = True) -> BuildResult:
     out = out_dir.rstrip("/")
-    written = []
-    for name, key in DIM_ORDER.items():
-        df = getattr(wh, name)
-        df.hint("rebalance", key).sortWithinPartitions(key).write.mode("overwrite").parquet(
-            f"{out}/core/{name}")
+    bounds = wh.raw("raw_web_orders").selectExpr("to_date(min(created_at)) AS lo",
+                                                 "to_date(max(created_at)) AS hi")
+    dim_date = Warehouse.dim_date_from_bounds(bounds) if spine is None else wh.dim_date(*spine)
+    dims = {name: getattr(wh, name).hint("rebalance", key).sortWithinPartitions(key) for name, key in DIM_ORDER.items()}
+    dims["dim_date"] = dim_date
+    _together([partial(df.write.mode("overwrite").parquet, f"{out}/core/{name}") for name, df in dims.items()])
+    for name in DIM_ORDER:
         wh.use(name, spark.read.parquet(f"{out}/core/{name}"))
-        written.append(name)
-    for name, (date_col, order) in FACT_LAYOUT.items():
-        write_partitioned_sorted(getattr(wh, name), f"{out}/core/{name}", date_col, order)
+    facts = {name: getattr(wh, name) for name in FACT_LAYOUT}
+    _together([partial(write_partitioned_sorted, facts[name], f"{out}/core/{name}", date_col, order)
+               for name, (date_col, order) in FACT_LAYOUT.items()])
+    for name in FACT_LAYOUT:
         wh.use(name, spark.read.parquet(f"{out}/core/{name}").drop("yyyymm"))
-        written.append(name)
+    written = [*dims, *facts]
     built = {
         "mart_sales": marts.mart_sales(wh, spine),
         "mart_marketing": marts.mart_marketing(wh),
         "mart_inventory": marts.mart_inventory(wh),
     }
-    for name, (date_col, order) in MART_LAYOUT.items():
-        write_partitioned_sorted(built[name], f"{out}/datamart/{name}", date_col, order)
-        written.append(name)
-    for name, order in HOURLY_LAYOUT.items() if with_hourly else ():
-        df = getattr(hourly, name)(wh)
-        write_partitioned_sorted(df, f"{out}/datamart/{name}", "snapshot_hour", order, grain="day")
-        written.append(name)
-    bounds = wh.raw("raw_web_orders").selectExpr("to_date(min(created_at)) AS lo",
-                                                 "to_date(max(created_at)) AS hi")
-    dim_date = Warehouse.dim_date_from_bounds(bounds) if spine is None else wh.dim_date(*spine)
-    dim_date.write.mode("overwrite").parquet(f"{out}/core/dim_date")
-    written.append("dim_date")
+    jobs = [partial(write_partitioned_sorted, built[name], f"{out}/datamart/{name}", date_col, order)
+            for name, (date_col, order) in MART_LAYOUT.items()]
+    written += MART_LAYOUT
+    if with_hourly:
+        jobs += [partial(write_partitioned_sorted, getattr(hourly, name)(wh), f"{out}/datamart/{name}",
+                         "snapshot_hour", order, grain="day") for name, order in HOURLY_LAYOUT.items()]
+        written += HOURLY_LAYOUT
+    _together(jobs)
     read = {n: spark.read.parquet(f"{out}/datamart/{n}").drop("yyyymm") for n in MART_LAYOUT}
     tests = checks.dq_model_tests(_MartView(wh, read), spark.read.parquet(f"{out}/core/dim_date"))
     return BuildResult(out, written, tests)

@@ -17,7 +17,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 # Queries whose callables write scratch data or run streams when called.
 SIDE_EFFECTS = {"partitioned_sink_roundtrip", "batch_layout_fallback", "stream_hourly_kpis",
-                "stream_raw_load"}
+                "stream_raw_load", "extract_load_cycle", "watermark_cycle", "dq_model_tests",
+                "get_or_create_ids"}
 
 OPS = [
     ("shuffles", r"Exchange (hashpartitioning|rangepartitioning|RoundRobinPartitioning|SinglePartition)"),
@@ -36,11 +37,11 @@ OPS = [
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as E
+    from tidemart.plans.registry import queries
     from tidemart.session import build_session
     spark = build_session("local[8]", 8)
     rows = []
-    for name, fn in E.queries().items():
+    for name, fn in queries().items():
         if name in SIDE_EFFECTS:
             continue
         plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
@@ -51,7 +52,7 @@ def main() -> None:
     sep = "|---" * (len(OPS) + 2) + "|"
     lines = [head, sep] + [f"| `{n}` | " + " | ".join(str(c) for c in cs) + f" | {p} |"
                            for n, cs, p in rows]
-    text = f"""# Physical plans of the registered queries
+    text = f"""# Physical plans of the registered warehouse queries
 
 Generated by `python tools/plans.py {sf_dir}` from each query's executed plan
 before adaptive re-planning (AQE later reuses identical exchanges, coalesces
