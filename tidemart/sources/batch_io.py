@@ -96,8 +96,9 @@ def read_batch(spark: SparkSession, base: str, source: str, table: str, ds: str,
             reader = reader.option("ignoreCorruptFiles", "true")
     if schema is not None:
         reader = reader.schema(schema)
-    df = reader.parquet(root)
-    return df.where(F.col("ds") == F.lit(ds)) if has_day else df
+    if has_day:     # only that day's files are opened; ds and run stay columns
+        return reader.option("basePath", root).parquet(batch_path(base, source, table, ds))
+    return reader.parquet(root)
 
 
 def stamp_loaded_at(df: DataFrame) -> DataFrame:
