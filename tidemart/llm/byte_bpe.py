@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tidemart.llm.common import rows_of, table, utf8_rows
 
-STORE = 1 << 19      # pre-tokens an encoder holds
+STORE = 1 << 18      # pre-tokens an encoder holds
 PIECE = 1 << 18     # characters whose pre-tokens are looked up together
 
 
