@@ -88,3 +88,28 @@ def test_repeated_rows_and_empty_table(spark):
     assert [g[0] for g in got] == [0, *np.cumsum([g[2] for g in got])[:-1]]
     folder = scratch(spark, "t-tokens")
     assert S.read_files(S.write_files(docs(spark, []), PATH, folder), folder).count() == 0
+
+
+_plain = Tokenizer.from_file(PATH)      # the library's own settings
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|endoftext", "|>", " ", "\n", "see",
+                                 "Here", "é", "\u0301", "１", "'s"]), max_size=8))
+def test_added_tokens_like_the_plain_library(parts):
+    text = "".join(parts)
+    assert _added.encode([text, "a"])[0].tolist() == [*_plain.encode(text, add_special_tokens=False).ids, 1]
+
+
+_added = S.TextEncoder(PATH, added_tokens=True)
+
+
+def test_registered_query_has_ids_of_added_tokens(spark, tmp_path):
+    rows = [(1, "see <|endoftext|> here"), (2, "<|startoftext|>a"), (3, "plain words"), (4, "<|ENDOFTEXT|>")]
+    docs(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    want, start = [], 0
+    for i, t in rows:
+        ids = np.array([*_plain.encode(t, add_special_tokens=False).ids, 1], "<u4")
+        want.append((i, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    assert sorted(tuple(r) for r in S.op2_simple8b(spark, str(tmp_path)).collect()) == want

@@ -21,7 +21,9 @@ from the files' own counts (a window over one row per file).
 
 Defined cases: null text counts as empty; an empty text has the end id only; a
 null doc_id comes first; rows with one doc_id are ordered by text; an empty
-table gives no files and no rows; extra columns are not looked at."""
+table gives no files and no rows; extra columns are not looked at. In the
+registered query an added token's string in a text is that token's id, as the
+library's plain call has it."""
 
 from __future__ import annotations
 
@@ -187,15 +189,23 @@ class TextEncoder:
     and Cyrillic are lower-cased and cut into pre-tokens here (their normal form
     is what they are); any other text goes through the library whole. Ids are
     kept in one flat array, a pre-token being a number that leads into it, so a
-    group of texts is put together by numpy. The store is emptied when full."""
+    group of texts is put together by numpy. The store is emptied when full.
 
-    def __init__(self, path: str, end_id: int = END_ID):
+    ``added_tokens``: the string of an added token in a text becomes its one id,
+    as the library does by default (such a text goes through it whole);
+    otherwise it is ordinary text."""
+
+    def __init__(self, path: str, end_id: int = END_ID, added_tokens: bool = False):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a worker for each core
         import regex
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True     # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not added_tokens
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        # normalized ones are sought in the lower-cased text
+        strings = "|".join(re.escape(t.content) for t in added if added_tokens or not t.special)
+        self.has_added = re.compile(strings, re.I if any(t.normalized for t in added) else 0).search if strings else None
         self.cut_any = regex.compile(_CUT.format(letter=r"\p{L}", digit=r"\p{N}")).findall
         self.end_id = end_id
         self._empty()
@@ -218,6 +228,8 @@ class TextEncoder:
             self.start.append(len(self.flat))
 
     def _pieces(self, text: str) -> list[str] | None:
+        if self.has_added and self.has_added(text):
+            return None
         if text.isascii():
             return None if _ODD_ASCII(text) else _CUT_ASCII(text.lower())
         return None if _ODD(text) else self.cut_any(text.replace("\u03a3", "\u03c3").lower())
@@ -268,16 +280,16 @@ def _uri(path: str) -> str:
 
 
 def write_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = END_ID,
-                file_ids: int = FILE_IDS) -> DataFrame:
+                file_ids: int = FILE_IDS, added_tokens: bool = False) -> DataFrame:
     """Writes ``docs`` as token files in ``folder``; one row per file: part, file
     (their order is that of doc_id), name, n_docs, n_ids, n_bytes, start (ids in
-    all files before)."""
+    all files before). ``added_tokens`` as for TextEncoder."""
     folder = _uri(folder)
 
     def batches(it):
         import numpy as np
         import pyarrow as pa
-        encoder = TextEncoder(tokenizer_path, end_id)
+        encoder = TextEncoder(tokenizer_path, end_id, added_tokens)
         part, made = TaskContext.get().partitionId(), 0
         doc_ids, ids, held = [], [], 0
 
@@ -341,5 +353,6 @@ def read_files(files: DataFrame, folder: str) -> DataFrame:
 def op2_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     folder = scratch(spark, "tokens")
-    files = write_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), folder)
+    files = write_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), folder,
+                        added_tokens=True)
     return read_files(files, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
