@@ -81,3 +81,47 @@ def test_plan_is_native(spark, model):
     assert L.scan(docs(spark, []), model).count() == 0
     plan = L.scan(docs(spark, [(1, "a")]), model)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "from_json" not in plan
+
+
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+BSD = """# Redistribution and use in source and binary forms, with or without
+# modification, are permitted provided that the following conditions are
+# met:"""
+MIT = """Permission is hereby granted, free of charge, to any person obtaining
+a copy of this software and associated documentation files (the
+"Software"), to deal in the Software without restriction, including"""
+LGPL = """ * This library is free software; you can redistribute it and/or modify
+ * it under the terms of the GNU Lesser General Public License as published
+ * by the Free Software Foundation; either version 2.1 of the License"""
+PROSE = "some words of no matter that go on and on\n" * 40
+
+
+def licences(spark, model, texts):
+    rows = L.scan(docs(spark, list(enumerate(texts))), model).orderBy("doc_id").collect()
+    return [(r, {r.licence} - {None}) for r in rows]
+
+
+def test_wrapped_notices_are_found(spark, model):
+    texts = [GPL, BSD, MIT, LGPL, PROSE + GPL + "\n" + PROSE, PROSE + "\n" + MIT + "\r\n\r\n" + PROSE,
+             "Released under the GNU Lesser\nGeneral Public License,\nversion 3."]
+    want = [{"GPL-3.0"}, {"BSD-3-Clause"}, {"MIT"}, {"LGPL-2.1"}, {"GPL-3.0"}, {"MIT"}, {"LGPL-3.0"}]
+    got = licences(spark, model, texts)
+    assert [found for _, found in got] == want
+    for r, found in got:
+        assert r.licence in found and 1 <= r.confirmed <= r.accepted and r.similarity >= L.CONFIRM
+
+
+def test_windows_hold_every_statement_together(spark, model):
+    for n in range(0, 3 * L.REACH, 17):
+        text = "word\n" * n + MIT.replace(" ", "\n") + "\nword" * (3 * L.REACH - n)
+        assert licences(spark, model, [text])[0][1] == {"MIT"}, n
+    assert max(len(p.split()) for p in L.phrases()) < L.REACH
+
+
+def test_wrapped_statement_without_template_is_unknown(spark, model):
+    (r, found), = licences(spark, model, ["Released under the GNU General\nPublic License"])
+    one, = L.scan(docs(spark, [(1, "Released under the GNU General Public License")]), model).collect()
+    assert not found and r.family == one.family and r.accepted >= (one.family == L.UNKNOWN)

@@ -9,21 +9,29 @@ the corpus. Every third example is kept from training: a temperature is
 calibrated on those, and the least probability at which a family is accepted is
 above what any held-out look-alike gets from any family.
 
-Scan: a paragraph is a line. A family needs one of the model's trigger words:
-the triggers are chosen so that without any of them the positive weights that
-remain cannot reach acceptance, whatever else the paragraph holds; so texts
-without a trigger are passed over and nothing is lost. Each other paragraph is
-scored; an accepted family is confirmed if at least CONFIRM of the 2-grams of
-one of its templates stand in the paragraph. All of it is higher-order
-functions within the row: no shuffle, no Python, whatever the sources.
+Scan: a paragraph is a line, or a window of 2 * REACH words over the lines between
+two blank ones (lines without a word), for statements that are wrapped; windows
+overlap by REACH words, more than the longest template has. A family needs one
+of the model's trigger words: the triggers are chosen so that without any of them
+the positive weights that remain cannot reach acceptance, whatever else the
+paragraph holds; so texts without a trigger are passed over and nothing is lost.
+Each other paragraph is scored; every family that is likely against ``unknown``
+(by the odds that acceptance takes, whatever other families share the
+probability) is compared with its templates. A template is confirmed if it
+stands in the paragraph word by word, or if at least CONFIRM of its 2-grams do
+and these are not merely parts of other templates there (GPL within LGPL, two
+statements side by side); for windows, parts of other templates in the document.
+All of it is higher-order functions within the row: no shuffle, no Python,
+whatever the sources.
 
 Result, one row per document: family and licence (the template) of the most
 probable confirmed paragraph, ``unknown`` if paragraphs were accepted but none
 confirmed, ``none`` otherwise; probability and similarity of that paragraph (0
-for ``none``), and the numbers of accepted and confirmed paragraphs.
+for ``none``), the numbers of accepted and confirmed paragraphs (lines, and
+licences that only windows show; accepted windows if there are neither).
 
 Defined cases: null text counts as empty; empty texts have ``none``; of equally
-probable paragraphs the greatest licence name counts; repeated rows give
+probable licences the most similar counts, then the greatest name; repeated rows give
 repeated results; an empty table gives an empty result; extra columns are not
 looked at."""
 
@@ -43,6 +51,7 @@ SAMPLE = 64             # documents whose paragraphs are examples of no licence
 SAMPLE_LINES = 300
 SAMPLE_CHARS = 2000     # longer paragraphs are not trained on
 CONFIRM = 0.8
+REACH = 48              # words that any window holds together; above the longest template's
 LEAST = 0.5             # least probability of an accepted family
 L1 = 0.002
 STEPS = 400
@@ -92,6 +101,7 @@ LOOK_ALIKES = [
     "The license fee is due.", "Licensed electricians only.", "Commons debate on public attribution of costs",
     "version 3 of the general plan", "a lesser general", "The code is covered.", "with or without modification",
 ]
+_BLANK = r"\n[^A-Za-z0-9\x{80}-\x{10FFFF}]*\n"
 _SPLIT = r"[^a-z0-9\x{80}-\x{10FFFF}]+"
 
 
@@ -216,6 +226,12 @@ def templates() -> list[tuple[str, str, list[str]]]:
     return out
 
 
+def phrases() -> list[str]:
+    """The words of every template, in the order of ``templates``."""
+    return [" ".join(words_of(p)) for _, licences in sorted(LICENCES.items())
+            for _, own in sorted(licences.items()) for p in own]
+
+
 def train(docs: DataFrame) -> Model:
     """A model whose examples of no licence include paragraphs of SAMPLE documents."""
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
@@ -241,61 +257,127 @@ def _pairs(words: Column) -> Column:
                                     lambda a, b: F.concat_ws(" ", a, b))).otherwise(F.array().cast("array<string>"))
 
 
+def _windows(words: Column) -> Column:
+    starts = F.sequence(F.lit(1), F.greatest(F.size(words) - REACH, F.lit(1)), F.lit(REACH))
+    return F.transform(starts, lambda i: F.slice(words, i, 2 * REACH))
+
+
+def _own(mine: Column, pool: Column) -> Column:
+    """Of the matches ``mine`` those that stand word by word, or whose 2-grams beyond such
+    templates of ``pool`` are not a part of another match's there."""
+    whole = F.flatten(F.transform(F.filter(pool, lambda c: c["verbatim"]), lambda c: c["found"]))
+
+    def part_of(c, d):
+        rest, other = F.array_except(c["found"], whole), F.array_except(d["found"], whole)
+        more = F.struct(F.size(other), d["similarity"], d["licence"]) > F.struct(F.size(rest), c["similarity"], c["licence"])
+        return (F.size(rest) == 0) | (more & (F.size(F.array_except(rest, other)) == 0))
+    return F.filter(mine, lambda c: c["verbatim"] | ~F.exists(pool, lambda d: part_of(c, d)))
+
+
 def scan(docs: DataFrame, model: Model) -> DataFrame:
     """One row per row of ``docs`` (see the module's text)."""
-    k = len(model.classes)
+    need = math.log(model.least / (1 - model.least))
     triggers = _literal(model.triggers(), "array<string>")
     vocabulary = _literal(sorted(model.features), "array<string>")
     weights = _literal(model.features, "map<string,array<double>>")
     bias = _literal(model.bias, "array<double>")
-    names = _literal(model.classes[:-1], "array<string>")
-    known = _literal([{"family": f, "licence": c, "pairs": g} for f, c, g in templates()],
-                     "array<struct<family:string,licence:string,pairs:array<string>>>")
+    known = _literal([{"n": n, "k": model.classes.index(f), "family": f, "licence": c, "pairs": g, "phrase": f" {p} "}
+                      for n, ((f, c, g), p) in enumerate(zip(templates(), phrases(), strict=True))],
+                     "array<struct<n:int,k:int,family:string,licence:string,pairs:array<string>,phrase:string>>")
+    every = _literal(sorted({c for _, c, _ in templates()}), "array<string>")
+    none = F.array().cast("array<string>")
     has_trigger = rows_of(docs).withColumn("hit", F.arrays_overlap(_words(F.col("text")), triggers))
-    lines = has_trigger.select("doc_id", F.when(F.col("hit"), F.split("text", "\n")).otherwise(
-        F.array().cast("array<string>")).alias("lines"))
-    words = lines.select("doc_id", F.filter(F.transform("lines", _words), lambda w: F.arrays_overlap(w, triggers))
-                         .alias("words"))
-    grams = words.select("doc_id", F.transform("words", lambda w: F.struct(w.alias("words"), _pairs(w).alias("pairs")))
-                         .alias("grams"))
+    blocks = has_trigger.select(
+        "doc_id", F.when(F.col("hit"), F.split("text", "\n")).otherwise(none).alias("lines"),
+        F.when(F.col("hit"), F.filter(F.split("text", _BLANK), lambda b: F.contains(b, F.lit("\n")))).otherwise(none)
+        .alias("blocks"))
+    words = blocks.select("doc_id", F.transform("lines", _words).alias("lines"),
+                          F.transform("blocks", _words).alias("blocks"))
+    words = words.select("doc_id", "lines", F.flatten(F.transform("blocks", _windows)).alias("windows"))
+
+    def grammed(name, wide):
+        return F.transform(F.filter(name, lambda w: F.arrays_overlap(w, triggers)), lambda w: F.struct(
+            F.lit(wide).alias("wide"), w.alias("words"), _pairs(w).alias("pairs")))
+    grams = words.select("doc_id", F.concat(grammed("lines", False), grammed("windows", True)).alias("grams"))
 
     def logits(g):
         present = F.array_intersect(F.concat(g["words"], g["pairs"]), vocabulary)
         return F.aggregate(present, bias, lambda s, x: F.zip_with(s, F.element_at(weights, x), lambda a, b: a + b))
     scored = grams.select("doc_id", F.transform("grams", lambda g: F.struct(
-        g["pairs"].alias("pairs"), g["words"].alias("words"), logits(g).alias("z"))).alias("scored"))
+        g["wide"].alias("wide"), g["pairs"].alias("pairs"), g["words"].alias("words"), logits(g).alias("z"))).alias("scored"))
+    last = len(model.classes)
+    likely = scored.select("doc_id", F.filter("scored", lambda s: F.array_max(F.slice(s["z"], 1, last - 1))
+                                              - F.element_at(s["z"], last) >= need).alias("likely"))
 
-    def best(s):
+    def probable(s):
         top = F.array_max(s["z"])
         total = F.aggregate(s["z"], F.lit(0.0), lambda t, v: t + F.exp(v - top))
-        at = F.array_max(F.slice(s["z"], 1, k - 1))
-        return F.struct((F.exp(at - top) / total).alias("p"),
-                        F.element_at(names, F.array_position(s["z"], at).cast("int")).alias("family"),
-                        s["pairs"].alias("pairs"), s["words"].alias("words"))
-    accepted = scored.select("doc_id", F.filter(F.transform("scored", best), lambda b: b["p"] >= model.least)
-                             .alias("accepted"))
-
-    def confirmed(b):
-        mine = F.filter(known, lambda t: t["family"] == b["family"])
-        found = F.concat(b["pairs"], b["words"])
-        likeness = F.transform(mine, lambda t: F.struct(
-            (F.size(F.array_intersect(found, t["pairs"])) / F.size(t["pairs"])).alias("similarity"),
-            t["licence"].alias("licence")))
-        return F.struct(b["p"].alias("p"), b["family"].alias("family"), F.array_max(likeness).alias("best"))
-    compared = accepted.select("doc_id", F.transform("accepted", confirmed).alias("all"))
-    sure = compared.select("doc_id", "all", F.filter("all", lambda c: c["best"]["similarity"] >= CONFIRM).alias("sure"))
-    top = F.array_max(F.transform(F.when(F.size("sure") > 0, F.col("sure")).otherwise(F.col("all")), lambda c: F.struct(
-        F.round(c["p"], 6).alias("p"), c["best"]["licence"].alias("licence"), c["family"].alias("family"),
-        c["best"]["similarity"].alias("similarity"))))
-    picked = sure.select("doc_id", "all", "sure", top.alias("top"))
-    is_sure = F.size("sure") > 0
+        return F.struct(s["wide"].alias("wide"), F.concat(s["pairs"], s["words"]).alias("grams"),
+                        F.concat(F.lit(" "), F.concat_ws(" ", s["words"]), F.lit(" ")).alias("text"),
+                        F.transform(s["z"], lambda v: v - F.element_at(s["z"], last) >= need).alias("likely"),
+                        F.transform(s["z"], lambda v: F.exp(v - top) / total).alias("p"))
+    given = likely.select("doc_id", F.transform("likely", probable).alias("given"))
+
+    def matched(s):
+        return F.transform(known, lambda t: F.struct(
+            F.element_at(s["p"], t["k"] + 1).alias("p"), F.element_at(s["likely"], t["k"] + 1).alias("likely"),
+            t["n"].alias("n"), t["family"].alias("family"), t["licence"].alias("licence"),
+            F.size(t["pairs"]).alias("of"), F.array_intersect(t["pairs"], s["grams"]).alias("found"),
+            F.contains(s["text"], t["phrase"]).alias("verbatim")))
+
+    def match(c):
+        return F.struct((F.size(c["found"]) / c["of"]).alias("similarity"), F.round(c["p"], 6).alias("p"),
+                        *(c[x].alias(x) for x in ("likely", "n", "family", "licence", "found", "verbatim")))
+    compared = given.select("doc_id", F.transform("given", lambda s: F.struct(
+        s["wide"].alias("wide"), F.array_max(F.slice(s["p"], 1, last - 1)).alias("p"),
+        F.transform(matched(s), match).alias("matches"))).alias("given"))
+
+    def similarity(s):      # of the most probable family
+        best = F.filter(s["matches"], lambda c: c["p"] == F.round(s["p"], 6))
+        return F.array_max(F.transform(best, lambda c: c["similarity"]))
+    compared = compared.select("doc_id", F.transform("given", lambda s: F.struct(
+        s["wide"].alias("wide"), s["p"].alias("p"), similarity(s).alias("similarity"),
+        F.filter(s["matches"], lambda c: c["similarity"] >= CONFIRM).alias("matches"))).alias("given"))
+    lines = F.transform(F.filter("given", lambda s: ~s["wide"]), lambda s: F.struct(
+        s["p"].alias("p"), s["similarity"].alias("similarity"),
+        F.filter(_own(s["matches"], s["matches"]), lambda c: c["likely"]).alias("sure")))
+    weak = F.transform(F.filter("given", lambda s: s["wide"] & (s["p"] >= model.least)), lambda s: F.struct(
+        s["p"].alias("p"), s["similarity"].alias("similarity"), F.slice(s["matches"], 1, 0).alias("sure")))
+    split = compared.select(
+        "doc_id", lines.alias("lines"), weak.alias("weak"),
+        F.flatten(F.transform("given", lambda s: s["matches"])).alias("pool"),
+        F.flatten(F.transform(F.filter("given", lambda s: s["wide"]), lambda s: s["matches"])).alias("wide"))
+
+    def best_of(matches, holds=lambda c: F.lit(True)):      # one for each template, whatever the number of paragraphs
+        tops = F.transform(known, lambda t: F.array_max(F.filter(matches, lambda c: (c["n"] == t["n"]) & holds(c))))
+        return F.when(F.size(matches) > 0, F.filter(tops, lambda c: c.isNotNull())).otherwise(F.slice(matches, 1, 0))
+    split = split.select(
+        "doc_id", F.filter("lines", lambda s: (F.size(s["sure"]) > 0) | (s["p"] >= model.least)).alias("lines"),
+        F.flatten(F.transform("lines", lambda s: s["sure"])).alias("sure"),
+        best_of(F.col("pool")).alias("pool"), best_of(F.col("wide"), lambda c: c["likely"]).alias("wide"), "weak")
+    split = split.select("doc_id", "lines", "weak", "sure", F.filter(_own(F.col("wide"), F.col("pool")), lambda c: ~F.array_contains(
+        F.transform("sure", lambda d: d["licence"]), c["licence"])).alias("wide"))
+
+    def licences(matches):
+        ranked = F.transform(matches, lambda c: F.struct(*(c[x].alias(x) for x in ("p", "similarity", "licence", "family"))))
+        tops = F.transform(every, lambda e: F.array_max(F.filter(ranked, lambda c: c["licence"] == e)))
+        return F.sort_array(F.filter(tops, lambda c: c.isNotNull()), asc=False)
+    only_weak = (F.size("lines") == 0) & (F.size("wide") == 0)
+    listed = split.select("doc_id", F.when(only_weak, F.col("weak")).otherwise(F.col("lines")).alias("lines"), licences(F.concat("sure", "wide")).alias("found"),
+                          F.size(F.array_distinct(F.transform("wide", lambda c: c["licence"]))).alias("in_windows"),
+                          F.size(F.filter("lines", lambda s: F.size(s["sure"]) > 0)).alias("in_lines"))
+    top = F.when(F.size("found") > 0, F.struct(F.get("found", F.lit(0))["p"].alias("p"), F.get("found", F.lit(0))["similarity"].alias(
+        "similarity"))).otherwise(F.array_max(F.transform("lines", lambda s: F.struct(F.round(s["p"], 6).alias("p"), s["similarity"].alias("similarity")))))
+    picked = listed.withColumn("top", top)
+    is_sure = F.size("found") > 0
     return picked.select(
         "doc_id",
-        F.when(is_sure, F.col("top.family")).when(F.size("all") > 0, UNKNOWN).otherwise("none").alias("family"),
-        F.when(is_sure, F.col("top.licence")).alias("licence"),
+        F.when(is_sure, F.get("found", F.lit(0))["family"]).when(F.size("lines") > 0, UNKNOWN).otherwise("none").alias("family"),
+        F.get("found", F.lit(0))["licence"].alias("licence"),
         F.coalesce("top.p", F.lit(0.0)).alias("probability"),
         F.coalesce("top.similarity", F.lit(0.0)).alias("similarity"),
-        F.size("all").alias("accepted"), F.size("sure").alias("confirmed"))
+        (F.size("lines") + F.col("in_windows")).alias("accepted"),
+        (F.col("in_lines") + F.col("in_windows")).alias("confirmed"))
 
 
 def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
