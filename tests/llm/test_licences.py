@@ -101,17 +101,17 @@ PROSE = "some words of no matter that go on and on\n" * 40
 
 def licences(spark, model, texts):
     rows = L.scan(docs(spark, list(enumerate(texts))), model).orderBy("doc_id").collect()
-    return [(r, {r.licence} - {None}) for r in rows]
+    return [(r, {x.licence for x in r.licences}) for r in rows]
 
 
 def test_wrapped_notices_are_found(spark, model):
     texts = [GPL, BSD, MIT, LGPL, PROSE + GPL + "\n" + PROSE, PROSE + "\n" + MIT + "\r\n\r\n" + PROSE,
-             "Released under the GNU Lesser\nGeneral Public License,\nversion 3."]
-    want = [{"GPL-3.0"}, {"BSD-3-Clause"}, {"MIT"}, {"LGPL-2.1"}, {"GPL-3.0"}, {"MIT"}, {"LGPL-3.0"}]
+             "Released under the GNU Lesser\nGeneral Public License,\nversion 3.", MIT + "\n\n" + GPL]
+    want = [{"GPL-3.0"}, {"BSD-3-Clause"}, {"MIT"}, {"LGPL-2.1"}, {"GPL-3.0"}, {"MIT"}, {"LGPL-3.0"}, {"MIT", "GPL-3.0"}]
     got = licences(spark, model, texts)
     assert [found for _, found in got] == want
     for r, found in got:
-        assert r.licence in found and 1 <= r.confirmed <= r.accepted and r.similarity >= L.CONFIRM
+        assert r.licence in found and r.confirmed == len(found) <= r.accepted and r.similarity >= L.CONFIRM
 
 
 def test_windows_hold_every_statement_together(spark, model):
@@ -125,3 +125,15 @@ def test_wrapped_statement_without_template_is_unknown(spark, model):
     (r, found), = licences(spark, model, ["Released under the GNU General\nPublic License"])
     one, = L.scan(docs(spark, [(1, "Released under the GNU General Public License")]), model).collect()
     assert not found and r.family == one.family and r.accepted >= (one.family == L.UNKNOWN)
+
+
+def test_all_licences_of_a_document(spark, model):
+    texts = ["MIT License or Apache License, Version 2.0", "GPLv2 or GPLv3", TEXTS[4],
+             "GNU General Public License, version 3.\nApache License, Version 2.0.",
+             "GNU Lesser General Public License, version 3", "Licensed under CC BY-SA 4.0", "under the law", ""]
+    got = licences(spark, model, texts)
+    assert [found for _, found in got] == [{"MIT", "Apache-2.0"}, {"GPL-2.0", "GPL-3.0"}, {"MIT", "Apache-2.0"},
+                                           {"GPL-3.0", "Apache-2.0"}, {"LGPL-3.0"}, {"CC-BY-SA-4.0"}, set(), set()]
+    for r, found in got:
+        assert r.licence == (r.licences[0].licence if found else None)
+        assert [x.probability for x in r.licences] == sorted((x.probability for x in r.licences), reverse=True)

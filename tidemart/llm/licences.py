@@ -28,7 +28,9 @@ Result, one row per document: family and licence (the template) of the most
 probable confirmed paragraph, ``unknown`` if paragraphs were accepted but none
 confirmed, ``none`` otherwise; probability and similarity of that paragraph (0
 for ``none``), the numbers of accepted and confirmed paragraphs (lines, and
-licences that only windows show; accepted windows if there are neither).
+licences that only windows show; accepted windows if there are neither), and ``licences``: every confirmed licence with its
+family, highest probability and similarity there, most probable first. Families named in one
+paragraph share its probability.
 
 Defined cases: null text counts as empty; empty texts have ``none``; of equally
 probable licences the most similar counts, then the greatest name; repeated rows give
@@ -377,7 +379,10 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
         F.coalesce("top.p", F.lit(0.0)).alias("probability"),
         F.coalesce("top.similarity", F.lit(0.0)).alias("similarity"),
         (F.size("lines") + F.col("in_windows")).alias("accepted"),
-        (F.col("in_lines") + F.col("in_windows")).alias("confirmed"))
+        (F.col("in_lines") + F.col("in_windows")).alias("confirmed"),
+        F.transform("found", lambda c: F.struct(
+            c["family"].alias("family"), c["licence"].alias("licence"), c["p"].alias("probability"),
+            c["similarity"].alias("similarity"))).alias("licences"))
 
 
 def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
