@@ -137,3 +137,10 @@ def test_all_licences_of_a_document(spark, model):
     for r, found in got:
         assert r.licence == (r.licences[0].licence if found else None)
         assert [x.probability for x in r.licences] == sorted((x.probability for x in r.licences), reverse=True)
+
+
+def test_examples_are_not_an_alphabetical_prefix():
+    texts = ["\n".join(f"{c}{i} line" for i in range(40)) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdé漢"]
+    lines = L.sample_lines(texts)
+    assert len(lines) == len(set(lines)) == L.SAMPLE_LINES and {x[0] for x in lines} >= set("AZadé漢")
+    assert lines == L.sample_lines(texts[::-1])

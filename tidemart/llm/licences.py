@@ -39,6 +39,7 @@ looked at."""
 
 from __future__ import annotations
 
+import hashlib
 import json
 import math
 import re
@@ -241,8 +242,13 @@ def train(docs: DataFrame) -> Model:
     picked = F.broadcast(docs.select("doc_id").orderBy(*order).limit(SAMPLE).distinct())    # at most SAMPLE rows
     rows = (rows_of(docs).where(F.length("text") <= 1 << 16).join(picked, "doc_id")
             .orderBy(*order, "text").limit(SAMPLE).collect())
-    lines = sorted({x for r in rows for x in r.text.split("\n") if 0 < len(x) <= SAMPLE_CHARS})
-    return Model.train(lines[:SAMPLE_LINES])
+    return Model.train(sample_lines([r.text for r in rows]))
+
+
+def sample_lines(texts: list[str]) -> list[str]:
+    """SAMPLE_LINES different lines, chosen by a hash, whatever they begin with."""
+    lines = {x for t in texts for x in t.split("\n") if 0 < len(x) <= SAMPLE_CHARS}
+    return sorted(lines, key=lambda x: (hashlib.sha256(x.encode("utf-8", "surrogatepass")).digest(), x))[:SAMPLE_LINES]
 
 
 def _literal(value, kind: str) -> Column:
