@@ -7,11 +7,14 @@ Method: around every assignment operator (``=``, ``:``, ``:=``, ``=>``) the text
 lexed as source or configuration: a name before it (bare, quoted, dotted,
 optionally with a type after a colon) and an expression behind it (string
 literals with their prefixes and escapes, names, bare values, joined by ``+``,
-``.`` or standing next to each other). That gives pairs of a name and the
-literals that make up its value. Names stand for the literals last assigned to
+``.`` or standing next to each other), through brackets, call arguments and
+continued lines; each argument or element is a value of its own, and keys that a
+lookup is given are none. That gives pairs of a name and the literals that make
+up its values. Names stand for the literals last assigned to
 them, so constants are propagated through later assignments. A literal is
 scored by how sensitive the words of its target's name are times its strength
-(length times the entropy of its characters; placeholders have none). From
+(length times the entropy of its characters; placeholders have none; of PEM blocks,
+URLs and phrases the secret part counts). From
 MIN_SCORE on it is reported: as ``literal`` if it stands in the assignment
 itself, as ``flow`` if it came through another name.
 
@@ -27,6 +30,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from itertools import chain
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,6 +63,13 @@ PLACEHOLDERS = {
     "placeholder", "redacted", "replace_me", "secret", "string", "test", "todo", "token", "true", "undefined",
     "unknown", "your_api_key", "your_password", "your_token",
 }
+# Words that say nothing in a value of several words.
+FUNCTION_WORDS = frozenset("a an and are at be by can cannot do enter for from has have here if in invalid is it must "
+                           "my new no not of on one or please should that the this to was with you your".split())
+# Functions whose first argument is a key or a prompt, not a value.
+LOOKUPS = {"config", "env", "environ", "fetch", "get", "getenv", "getpass", "getproperty", "input", "lookup", "pop",
+           "prompt", "setdefault"}
+WORD_BITS = 11.0        # of a plain word among several
 MIN_SCORE = 0.5
 FULL_BITS = 40.0        # strength 1 from so many bits of entropy on
 MIN_LITERAL = 6
@@ -69,6 +80,13 @@ _NAME = re.compile(r"[A-Za-z_$][A-Za-z0-9_.$-]*")
 _STRING = re.compile(r'''(?:[rbfuRBFU]{0,2})("""(?:[^\\]|\\.)*?"""|\'\'\'(?:[^\\]|\\.)*?\'\'\'|"(?:[^"\\\n]|\\.)*"|'''
                      r"""'(?:[^'\\\n]|\\.)*'|`[^`]*`)""", re.DOTALL)
 _BARE = re.compile(r"""[^\s'"`;,()\[\]{}&|<>+]+""")
+_PEM = re.compile(r"-----BEGIN [A-Z0-9 ]+-----(.*?)(?:-----END|\Z)", re.DOTALL)
+_USERINFO = re.compile(r"://([^\s/?#@:]*)(?::([^\s/?#@]*))?@")
+_GAP = re.compile(r"(?:[ \t\r\n]|\\\r?\n|(?:#|//)[^\n]*\n)*")         # within brackets
+_NEXT_LINE = re.compile(r"[ \t]*(?:\\\r?\n[ \t]*|\r?\n[ \t]*(?=[rbfuRBFU]{0,2}['\"`]))")     # before the first term
+_ASSIGNS = re.compile(r"[ \t]*(?::=|=>|=(?![=>])|:(?!:))")
+_RANDOM = re.compile(r"(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9]+")     # a bare value, though a bracket follows
+_CALLED = re.compile(r"([A-Za-z0-9_$]+)\Z")
 _TYPED = re.compile(r"[ \t]*=(?!=)")
 _BLANK = re.compile(r"[ \t]*")
 _JOINT = re.compile(r"[ \t]*(?:\+[ \t]*(?:\\?\n[ \t]*)?|\.(?=[ \t'\"])[ \t]*)?")
@@ -95,18 +113,34 @@ def name_weight(name: str) -> float:
 
 
 def strength(value: str) -> float:
-    """0 to 1; 0 for short values, placeholders and references to other stores."""
+    """0 to 1; 0 for short values, placeholders and references to other stores. Of a
+    PEM block its body counts, of URLs the strongest password (or sole userinfo), of
+    several words each one that is not a function word, placeholder or name of a secret."""
+    pem = _PEM.search(value)
+    if pem:
+        return strength(re.sub(r"\s|\\[nrt]", "", pem[1]))
+    if "://" in value:
+        return max((strength(m[2] or m[1]) for m in _USERINFO.finditer(value)), default=0.0)
     low = value.lower()
-    if (len(value) < MIN_LITERAL or low in PLACEHOLDERS or len(set(value)) < 4 or " " in value
-            or re.search(r"\$\{|\{\{|%\(|^<.*>$|^\$|://", value)):
+    if (len(value) < MIN_LITERAL or low in PLACEHOLDERS or len(set(value)) < 4
+            or re.search(r"\$\{|\{\{|%\(|^<.*>$|^\$", value)):
         return 0.0
-    n = len(value)
-    bits = -sum(c * math.log2(c / n) for c in Counter(value).values())
-    if value.isalpha() and (value.islower() or value.isupper() or value.istitle()):
-        bits /= 2       # a plain word
+    if " " in value:
+        words = {w.strip(".,;:!?'\"()") for w in low.split()}
+        bits = sum(WORD_BITS if w.isalpha() else _bits(w)
+                   for w in words - PLACEHOLDERS - FUNCTION_WORDS - SENSITIVE.keys())
+    else:
+        bits = _bits(value)
+        if value.isalpha() and (value.islower() or value.isupper() or value.istitle()):
+            bits /= 2       # a plain word
     return min(1.0, bits / FULL_BITS)
 
 
+def _bits(value: str) -> float:
+    n = len(value)
+    return -sum(c * math.log2(c / n) for c in Counter(value).values())
+
+
 def _name_before(text: str, at: int) -> str | None:
     i = at
     while i and text[i - 1] in " \t":
@@ -122,25 +156,92 @@ def _name_before(text: str, at: int) -> str | None:
     return name if _NAME.fullmatch(name) else None
 
 
+def _arguments(text: str, at: int, limit: int, called: str):
+    """Terms within the bracket that opens at ``at``, a list for each argument; where they
+    end; and if the bracket was closed. A setting of a sensitive name ends them before it
+    (it is lexed by itself); other keywords and keys are passed over."""
+    groups, group, depth = [], [], 0
+    first = [called in LOOKUPS or (text[at] == "[" and called != "")]     # by open bracket: a key, not a value
+    while at < limit:
+        c = text[at]
+        if c in "([":
+            depth += 1
+            if depth > 1:
+                before = _CALLED.search(text, max(0, at - 64), at)
+                first.append(bool(before) and (c == "[" or before[1].lower() in LOOKUPS))
+            at += 1
+        elif c in ")]":
+            depth -= 1
+            first.pop()
+            at += 1
+            if not depth:
+                return [*groups, group], at, True
+        elif c == ",":
+            groups, group, first[-1] = [*groups, group] if group else groups, [], False
+            at += 1
+        elif c == "+":
+            at += 1
+        else:
+            m = _STRING.match(text, at, limit)
+            quote = 0
+            if m:
+                quote = 3 if m[1][:3] in ('"""', "'''") else 1
+            else:
+                m = _NAME.match(text, at, limit) or _BARE.match(text, at, limit)
+                if not m or (not _NAME.fullmatch(m[0]) and (":" in m[0] or "=" in m[0])):
+                    break
+            a, z = (m.start(1) + quote, m.end(1) - quote) if quote else m.span()
+            key = _ASSIGNS.match(text, m.end(), limit)
+            if key:
+                if name_weight(text[a:z]):
+                    break
+                at = key.end()
+                first[-1] = first[-1] and text[a:z] != "default"
+            else:
+                if not first[-1]:
+                    group.append(("lit" if quote else "arg", a, z))
+                at = m.end()
+        at = _GAP.match(text, at, limit).end()
+    return [*groups, group], at, False
+
+
 def _expression(text: str, at: int, limit: int):
-    """Terms from ``at`` on: ("lit", start, end) or ("ref", start, end); and where they end."""
-    terms = []
-    at = _BLANK.match(text, at, limit).end()
+    """Groups of terms from ``at`` on, of which each is one value: ("lit", start, end),
+    ("ref", start, end) or, for names within brackets, ("arg", start, end); and where they end."""
+    group, others = [], []
+    at = (_NEXT_LINE.match(text, at, limit) or _BLANK.match(text, at, limit)).end()
     while True:
         m = _STRING.match(text, at, limit)
         if m:
             quote = 3 if m[1][:3] in ('"""', "'''") else 1
-            terms.append(("lit", m.start(1) + quote, m.end(1) - quote))
+            group.append(("lit", m.start(1) + quote, m.end(1) - quote))
+        elif at < limit and text[at] in "([":
+            more, at, closed = _arguments(text, at, limit, "")
+            if len(more) == 1:
+                group += more[0]
+            else:
+                others += more
+            if not closed:
+                return [group, *others], at
         else:
             m = _BARE.match(text, at, limit)
             if not m:
-                return terms, at
-            terms.append(("ref" if _NAME.fullmatch(m[0]) else "lit", m.start(), m.end()))
-        at = m.end()
+                return [group, *others], at
+            group.append(("ref" if _NAME.fullmatch(m[0]) else "lit", m.start(), m.end()))
+        at = m.end() if m else at
+        if group and group[-1][0] == "ref" and at < limit and text[at] in "([":
+            name = text[group[-1][1]:at]
+            more, at, closed = _arguments(text, at, limit, name.rpartition(".")[2].lower())
+            others += more
+            if not closed:
+                return [group, *others], at
+            if not _RANDOM.fullmatch(name):
+                group.pop()     # a function's name
+            m = None
         joint = _JOINT.match(text, at, limit)
         joined = joint[0].strip()
-        if not joined and not (terms[-1][0] == "lit" and _STRING.match(text, joint.end(), limit)):
-            return terms, at
+        if not joined and not (m and group and group[-1][0] == "lit" and _STRING.match(text, joint.end(), limit)):
+            return [group, *others], at
         at = joint.end()
 
 
@@ -149,7 +250,7 @@ def assigned_spans(text: str) -> list[tuple[str, int, int]]:
 
     Operators inside a literal (a setting within a string) are lexed within it, and
     what they assign is not searched again, so the time is linear in the text."""
-    known: dict[str, list[tuple[int, int]]] = {}        # name -> the literals it stands for
+    known: dict[str, list[tuple[tuple[int, int], ...]]] = {}    # name -> its values, each the literals that make it up
     found: dict[tuple[int, int], str] = {}
     done, outer, outer_stop = 0, iter(()), 0
     inside = (0, 0)         # the literal of the outer expression that is at hand
@@ -168,35 +269,43 @@ def assigned_spans(text: str) -> list[tuple[str, int, int]]:
         limit = inside[1] if nested and inside[0] <= at < inside[1] else len(text)
         if nested and limit == len(text):
             continue        # between the terms of an expression
-        terms, stop = _expression(text, end, limit)
-        if m[0] == ":" and len(terms) == 1 and terms[0][0] == "ref":
+        groups, stop = _expression(text, end, limit)
+        if m[0] == ":" and len(groups) == 1 and len(groups[0]) == 1 and groups[0][0][0] == "ref":
             typed = _TYPED.match(text, stop, limit)
             if typed:       # name: type = value
                 done = typed.end()
-                terms, stop = _expression(text, done, limit)
+                groups, stop = _expression(text, done, limit)
         if nested:
             done = stop
         else:
-            outer, inside, outer_stop = iter(terms), (0, 0), stop
-        own, came = [], []
-        for kind, a, z in terms:
-            told = known.get(text[a:z].rpartition(".")[2]) if kind == "ref" else None
-            if told is None:
-                own.append((a, z))
-            else:
-                came += told
+            outer, inside, outer_stop = iter(sorted(chain.from_iterable(groups), key=lambda t: t[1:])), (0, 0), stop
+        values, own = [], set()
+        for group in groups:
+            value = []
+            for kind, a, z in group:
+                told = known.get(text[a:z].rpartition(".")[2]) if kind != "lit" else None
+                if told is None:
+                    if kind != "arg":
+                        value.append((a, z))
+                        own.add((a, z))
+                elif len(told) == 1:
+                    value += told[0]
+                else:
+                    values += told
+            values.append(tuple(dict.fromkeys(value)))
         key = name.rpartition(".")[2]
-        # a name never holds more than the literals of one assignment and those of the names in it, each once
-        known[key] = list(dict.fromkeys([*came, *own]))
+        # a name never holds more than the literals of one assignment and those of the names in it, each value once
+        known[key] = list(dict.fromkeys(v for v in values if v))
         weight = name_weight(name)
         if not weight:
             continue
-        whole = strength("".join(text[a:z] for a, z in known[key]))
-        if weight * whole >= MIN_SCORE:
-            for a, z in own:
-                found[a, z] = "literal"
-            for a, z in came:
-                found.setdefault((a, z), "flow")
+        for value in known[key]:
+            if weight * strength("".join(text[a:z] for a, z in value)) >= MIN_SCORE:
+                for span in value:
+                    if span in own:
+                        found[span] = "literal"
+                    else:
+                        found.setdefault(span, "flow")
     return [(kind, a, z) for (a, z), kind in found.items() if z > a]
 
 
