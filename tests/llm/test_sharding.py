@@ -68,3 +68,20 @@ def test_written_shards_read_back(spark):
     back = spark.read.parquet(path)
     assert sorted((r.doc_id, r.text) for r in back.collect()) == rows
     assert {r.shard for r in back.select("shard").distinct().collect()} == {0, 1, 2, 3}
+
+
+def test_registered_query_writes_whole_documents(spark, tmp_path, monkeypatch):
+    rows = [(i, f"text {i} é") for i in range(300)] + [(None, None), (7, "again"), (7, "again")]
+    docs(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    paths = []
+    monkeypatch.setattr(S, "scratch", lambda *a: paths.append(scratch(*a)) or paths[-1])
+    got = S.op5_sharding(spark, str(tmp_path)).collect()
+    placed = S.place(docs(spark, rows), F.col("doc_id")).select("doc_id", "slot", "shard").collect()
+    assert Counter(map(tuple, got)) == Counter(map(tuple, placed))
+    back = S.read_shards(spark, paths[0], docs(spark, []).schema).collect()
+    assert Counter((r.doc_id, r.text) for r in back) == Counter(rows)
+
+
+def test_registered_query_on_an_empty_table(spark, tmp_path):
+    docs(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
+    assert S.op5_sharding(spark, str(tmp_path)).count() == 0

@@ -7,6 +7,8 @@ claims its first slot that is still free. A row's key is hashed to a slot and
 a broadcast join with the table (its size is the parameter ``slots``, not the
 data) finds the shard in constant time. Shards get nearly equal numbers of
 slots, and adding or losing a shard moves few slots beside its own.
+The registered query writes the whole documents into a folder for each shard of
+the shared folder and returns what is read back from these.
 
 Defined cases: a null key hashes like the empty string; repeated keys go to
 one shard; an empty table gives an empty result; extra columns are kept by
@@ -20,8 +22,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-from tidemart.llm.common import table
+from tidemart.llm.common import scratch, table
 
 SLOTS = 8191        # a prime, over 100 slots for each shard
 SHARDS = tuple(f"shard-{i:03d}" for i in range(64))
@@ -79,6 +82,14 @@ def write_shards(df: DataFrame, key: Column, path: str, shards: Sequence[str] =
     placed.hint("rebalance", "shard").write.partitionBy("shard").mode("overwrite").parquet(path)
 
 
+def read_shards(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The rows of ``write_shards`` (columns of ``schema``) and the shard of the folder each is in."""
+    return spark.read.schema(StructType([*schema.fields, StructField("shard", IntegerType())])).parquet(path)
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id")
-    return place(docs, F.col("doc_id")).select("doc_id", "slot", "shard")
+    docs = table(spark, sf_dir, "documents")
+    path = scratch(spark, "shards")
+    write_shards(docs, F.col("doc_id"), path)
+    back = read_shards(spark, path, docs.schema)
+    return back.select("doc_id", slot_of(F.col("doc_id")).alias("slot"), "shard")
