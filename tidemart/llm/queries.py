@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemart.llm import byte_bpe, decontam, exact_dedup, licences, quality, secrets, sharding, simhash, simple8b, toxicity
+from tidemart.llm import (
+    byte_bpe,
+    decontam,
+    exact_dedup,
+    filter_audit,
+    licences,
+    quality,
+    secrets,
+    sharding,
+    simhash,
+    simple8b,
+    toxicity,
+)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -21,9 +33,11 @@ QUERIES: dict[str, QueryFn] = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_quality": quality.op9_quality,
     "op10_licences": licences.op10_licences,
+    "op13_filter_audit": filter_audit.op13_filter_audit,
 }
 
 SQL: dict[str, str] = {
     "op1_decontamination": decontam.OP1_SQL,
     "op3_exact_dedup": exact_dedup.OP3_SQL,
+    "op13_filter_audit": filter_audit.OP13_SQL,
 }
