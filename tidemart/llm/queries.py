@@ -12,6 +12,7 @@ from tidemart.llm import (
     exact_dedup,
     filter_audit,
     licences,
+    merkle,
     quality,
     secrets,
     sharding,
@@ -33,11 +34,13 @@ QUERIES: dict[str, QueryFn] = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_quality": quality.op9_quality,
     "op10_licences": licences.op10_licences,
+    "op11_merkle": merkle.op11_merkle,
     "op13_filter_audit": filter_audit.op13_filter_audit,
 }
 
 SQL: dict[str, str] = {
     "op1_decontamination": decontam.OP1_SQL,
     "op3_exact_dedup": exact_dedup.OP3_SQL,
+    "op11_merkle": merkle.OP11_SQL,
     "op13_filter_audit": filter_audit.OP13_SQL,
 }
