@@ -99,3 +99,28 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, where: Column
     found = (rows_of(docs).where(F.octet_length("text") <= SAMPLE_TEXT).join(picked, "doc_id")
              .orderBy("h", "doc_id", "text").limit(rows))
     return found.select("doc_id", "text", "quality", "toxic").collect()
+
+
+def uri(path: str) -> str:
+    return path if "://" in path or path.startswith("file:") else f"file://{path}"
+
+
+def put_file(folder: str, name: str, data) -> None:
+    """Writes a file (bytes, or pieces of them) whole or not at all, in any store that Arrow can open."""
+    from pyarrow import fs
+    from pyspark import TaskContext
+    store, base = fs.FileSystem.from_uri(uri(folder))
+    store.create_dir(base, recursive=True)
+    task = TaskContext.get()
+    draft = f"{base}/.{name}.{task.taskAttemptId() if task else 0}"
+    with store.open_output_stream(draft) as f:
+        for piece in [data] if isinstance(data, bytes) else data:
+            f.write(piece)
+    store.move(draft, f"{base}/{name}")
+
+
+def open_file(folder: str, name: str):
+    """A file of ``put_file`` for random reads (``size``, ``seek``, ``read``)."""
+    from pyarrow import fs
+    store, base = fs.FileSystem.from_uri(uri(folder))
+    return store.open_input_file(f"{base}/{name}")

@@ -19,6 +19,7 @@ from tidemart.llm import (
     simhash,
     simple8b,
     toxicity,
+    warc,
 )
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +36,7 @@ QUERIES: dict[str, QueryFn] = {
     "op9_quality": quality.op9_quality,
     "op10_licences": licences.op10_licences,
     "op11_merkle": merkle.op11_merkle,
+    "op12_warc": warc.op12_warc,
     "op13_filter_audit": filter_audit.op13_filter_audit,
 }
 
@@ -42,5 +44,6 @@ SQL: dict[str, str] = {
     "op1_decontamination": decontam.OP1_SQL,
     "op3_exact_dedup": exact_dedup.OP3_SQL,
     "op11_merkle": merkle.OP11_SQL,
+    "op12_warc": warc.OP12_SQL,
     "op13_filter_audit": filter_audit.OP13_SQL,
 }
