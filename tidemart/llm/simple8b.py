@@ -27,17 +27,18 @@ library's plain call has it."""
 
 from __future__ import annotations
 
+import math
 import re
 import struct
 import zlib
 from array import array
-from itertools import chain
+from functools import lru_cache
 
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import rows_of, scratch, stored, table, utf8_rows
+from tidemart.llm.common import open_file, put_file, rows_of, scratch, stored, table
 
 COUNTS = (240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)     # fixed values of the coding
 WIDTHS = (0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
@@ -46,12 +47,15 @@ BLOCK = 1024
 LISTED = 4096           # most ids that a file lists
 FILE_IDS = 1 << 21
 END_ID = 1
-STORE = 1 << 18         # pre-tokens held by an encoder
-_END = "\n"             # stands for the end id; no pre-token has white space
-_CUT = "'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{digit}]|[^\\s{letter}{digit}]+"      # the tokenizer's own pattern
-_CUT_ASCII = re.compile(_CUT.format(letter="a-z", digit="0-9")).findall
-_ODD_ASCII = re.compile("[^\t\n\r -~]").search
-_ODD = re.compile("[^\t\n\r -~\u00a1-\u02ff\u0388-\u0482\u048a-\u052f]").search
+READ_BYTES = 1 << 24    # of files read by a task, about
+STORE = 1 << 19         # pre-tokens held by an encoder
+GROUP = 1 << 22         # bytes of texts that are encoded together, about
+# texts with other characters are the library's; U+0130 becomes two when lower-cased
+_ODD = "[^\t\n\r -~\u00a1-\u012f\u0131-\u02ff\u0388-\u0482\u048a-\u052f]"
+_CUT = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"     # the tokenizer's own pattern
+# the character that stands for a byte in the vocabulary: itself if it is visible, or one of those from U+0100
+_SEEN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTES = {b: 256 + k for k, b in enumerate(sorted({*range(256)}.difference(_SEEN)))}
 _ROW = BLOCK + COUNTS[0]
 
 
@@ -181,15 +185,41 @@ class TokenFile:
         return out[start - a * BLOCK:stop - a * BLOCK]
 
 
+class _Store(dict):
+    """Pre-token -> its number; one not seen before is learnt."""
+
+    def __init__(self, learn):
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = n = self.learn(piece)
+        return n
+
+
+def _in_turn(flat, start, number):
+    """The runs of ``flat`` with these numbers one after another, and where each ends;
+    run k is flat[start[k]:start[k + 1]]."""
+    import numpy as np
+    n = (start[1:] - start[:-1])[number]
+    stop = np.cumsum(n)
+    at = np.arange(int(stop[-1]) if len(stop) else 0)
+    at += np.repeat(start[number] - (stop - n), n)
+    return flat[at], stop
+
+
 class TextEncoder:
     """The ids of texts by the tokenizers library, its model applied once to each
     pre-token that recurs.
 
-    Texts of printable ASCII, line ends and the composed letters of Latin, Greek
-    and Cyrillic are lower-cased and cut into pre-tokens here (their normal form
-    is what they are); any other text goes through the library whole. Ids are
-    kept in one flat array, a pre-token being a number that leads into it, so a
-    group of texts is put together by numpy. The store is emptied when full.
+    No pre-token reaches over white space, so the ids of a text are those of its
+    words in turn. Texts of printable ASCII, line ends and the composed letters of
+    Latin, Greek and Cyrillic are split here (their normal form is what they are);
+    the different words of a group of texts are lower-cased and cut into
+    pre-tokens, and the different pre-tokens are looked up, or learnt, all but the
+    last by Arrow's kernels. Any other text goes through the library whole. Ids are
+    kept in one flat array, a pre-token being a number that leads into it. The
+    store is emptied when full.
 
     ``added_tokens``: the string of an added token in a text becomes its one id,
     as the library does by default (such a text goes through it whole);
@@ -198,85 +228,70 @@ class TextEncoder:
     def __init__(self, path: str, end_id: int = END_ID, added_tokens: bool = False):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a worker for each core
-        import regex
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not added_tokens
         added = self.tokenizer.get_added_tokens_decoder().values()
         # normalized ones are sought in the lower-cased text
-        strings = "|".join(re.escape(t.content) for t in added if added_tokens or not t.special)
-        self.has_added = re.compile(strings, re.I if any(t.normalized for t in added) else 0).search if strings else None
-        self.cut_any = regex.compile(_CUT.format(letter=r"\p{L}", digit=r"\p{N}")).findall
+        self.added = "|".join(re.escape(t.content) for t in added if added_tokens or not t.special)
+        if self.added and any(t.normalized for t in added):
+            self.added = f"(?i:{self.added})"
         self.end_id = end_id
         self._empty()
 
     def _empty(self) -> None:
-        self.number = {_END: 0}                         # pre-token -> its number
-        self.flat, self.start = array("I", [self.end_id]), array("q", [0, 1])
-
-    def _learn(self, pieces: set[str]) -> None:
+        self.number = _Store(self._learn)
+        self.flat, self.start = array("I"), array("q", [0])
+
+    def _learn(self, piece: str) -> int:
+        """Puts the ids of a pre-token in the store; its number."""
+        seen = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTES)
+        self.flat.extend([t.id for t in self.tokenizer.model.tokenize(seen)])
+        self.start.append(len(self.flat))
+        return len(self.start) - 2
+
+    def _words(self, words):
+        """The ids of different words in one array, and where each word begins."""
+        import numpy as np
+        import pyarrow.compute as pc
+        cut = pc.utf8_split_whitespace(pc.replace_substring_regex(pc.utf8_lower(words), _CUT, r" \0"))
+        coded = cut.flatten().dictionary_encode()
+        pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces))
+        ids, stop = _in_turn(np.array(self.flat, np.uint32), np.array(self.start, np.int64), known[coded.indices.to_numpy()])
+        offsets = cut.offsets.to_numpy()
+        return ids, np.append(0, stop)[offsets - offsets[0]]
+
+    def encode(self, texts) -> list:
+        """An array of ids for each text (a list, or a string array of Arrow), the end id
+        after its own."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
         if len(self.number) > STORE:
             self._empty()
-        tokenize = self.tokenizer.model.tokenize
-        for p in pieces.difference(self.number):
-            if p.isascii():
-                ids = [t.id for t in tokenize(p)]
-            else:
-                ids = [t.id for q, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(p) for t in tokenize(q)]
-            self.number[p] = len(self.number)
-            self.flat.extend(ids)
-            self.start.append(len(self.flat))
-
-    def _pieces(self, text: str) -> list[str] | None:
-        if self.has_added and self.has_added(text):
-            return None
-        if text.isascii():
-            return None if _ODD_ASCII(text) else _CUT_ASCII(text.lower())
-        return None if _ODD(text) else self.cut_any(text.replace("\u03a3", "\u03c3").lower())
-
-    def encode(self, texts: list[str]) -> list:
-        """An array of ids for each text, the end id after its own."""
-        import numpy as np
-        cut = [self._pieces(t) for t in texts]
-        known = [p if p is not None else [] for p in cut]
-        for p in known:
-            p.append(_END)
-        self._learn(set(chain.from_iterable(known)))
-        counts = np.array([len(p) for p in known])
-        number = np.fromiter(map(self.number.__getitem__, chain.from_iterable(known)), np.int64, int(counts.sum()))
-        start = np.array(self.start, np.int64)
-        n = (start[1:] - start[:-1])[number]
-        stop = np.cumsum(n)
-        ids = np.array(self.flat, np.uint32)[np.arange(int(n.sum())) + np.repeat(start[number] - (stop - n), n)]
-        out = np.split(ids, stop[np.cumsum(counts) - 1][:-1])
-        for k, p in enumerate(cut):
-            if p is None:
-                whole = self.tokenizer.encode(texts[k], add_special_tokens=False).ids
-                out[k] = np.array([*whole, self.end_id], np.uint32)
+        texts = pc.fill_null(pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string()), "")
+        odd = pc.match_substring_regex(texts, _ODD)
+        if self.added:
+            odd = pc.or_(odd, pc.match_substring_regex(texts, self.added))
+        words = pc.utf8_split_whitespace(pc.if_else(odd, "", texts))
+        coded = words.flatten().dictionary_encode()
+        flat, start = self._words(coded.dictionary)
+        ends = words.offsets.to_numpy()[1:] - words.offsets[0].as_py()
+        # one more word, after those of each text: the end id
+        number = np.insert(coded.indices.to_numpy(), ends, len(coded.dictionary))
+        ids, stop = _in_turn(np.append(flat, np.uint32(self.end_id)), np.append(start, len(flat) + 1), number)
+        out = np.split(ids, stop[ends + np.arange(len(texts))][:-1])
+        for k in np.flatnonzero(odd.to_numpy(zero_copy_only=False)):
+            whole = self.tokenizer.encode(texts[k].as_py(), add_special_tokens=False).ids
+            out[k] = np.array([*whole, self.end_id], np.uint32)
         return out
 
 
-def _put(folder: str, name: str, data: bytes) -> None:
-    """Writes a file whole or not at all, in any store that Arrow can open."""
-    from pyarrow import fs
-    store, base = fs.FileSystem.from_uri(folder)
-    store.create_dir(base, recursive=True)
-    task = TaskContext.get()
-    draft = f"{base}/.{name}.{task.taskAttemptId() if task else 0}"
-    with store.open_output_stream(draft) as f:
-        f.write(data)
-    store.move(draft, f"{base}/{name}")
-
-
-def _get(folder: str, name: str) -> bytes:
-    from pyarrow import fs
-    store, base = fs.FileSystem.from_uri(folder)
-    with store.open_input_stream(f"{base}/{name}") as f:
-        return f.read()
-
-
-def _uri(path: str) -> str:
-    return path if "://" in path or path.startswith("file:") else f"file://{path}"
+@lru_cache(2)
+def encoder_of(path: str, end_id: int, added_tokens: bool) -> TextEncoder:
+    """One for each Python worker."""
+    return TextEncoder(path, end_id, added_tokens)
 
 
 def write_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = END_ID,
@@ -284,12 +299,11 @@ def write_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int =
     """Writes ``docs`` as token files in ``folder``; one row per file: part, file
     (their order is that of doc_id), name, n_docs, n_ids, n_bytes, start (ids in
     all files before). ``added_tokens`` as for TextEncoder."""
-    folder = _uri(folder)
-
     def batches(it):
         import numpy as np
         import pyarrow as pa
-        encoder = TextEncoder(tokenizer_path, end_id, added_tokens)
+        import pyarrow.compute as pc
+        encoder = encoder_of(tokenizer_path, end_id, added_tokens)
         part, made = TaskContext.get().partitionId(), 0
         doc_ids, ids, held = [], [], 0
 
@@ -297,7 +311,7 @@ def write_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int =
             nonlocal doc_ids, ids, held, made
             name = f"part-{part:06d}-{made:05d}.s8b"
             data = to_file(doc_ids, [len(x) for x in ids], np.concatenate(ids))
-            _put(folder, name, data)
+            put_file(folder, name, data)
             row = pa.RecordBatch.from_pylist([{"part": part, "file": made, "name": name, "n_docs": len(doc_ids),
                                                "n_ids": held, "n_bytes": len(data)}], schema=shape)
             doc_ids, ids, held, made = [], [], 0, made + 1
@@ -305,10 +319,11 @@ def write_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int =
         shape = pa.schema([("part", pa.int32()), ("file", pa.int32()), ("name", pa.string()),
                            ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("n_bytes", pa.int64())])
         for b in it:
-            keys = b.column(0).to_pylist()
-            texts = [t.decode() for t in utf8_rows(b.column(1))]
-            for k in range(0, len(texts), 256):
-                for i, x in zip(keys[k:k + 256], encoder.encode(texts[k:k + 256]), strict=True):
+            sizes = np.cumsum(pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False))
+            cuts = [0, *(np.flatnonzero(np.diff(sizes // GROUP)) + 1), len(b)]
+            for low, high in zip(cuts, cuts[1:], strict=False):
+                keys = b.column(0).slice(low, high - low).to_pylist()
+                for i, x in zip(keys, encoder.encode(b.column(1).slice(low, high - low)), strict=True):
                     doc_ids.append(i)
                     ids.append(x)
                     held += len(x)
@@ -328,14 +343,13 @@ def write_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int =
 def read_files(files: DataFrame, folder: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids binary) from token files: ``ids`` are unsigned
     32-bit little-endian."""
-    folder = _uri(folder)
-
     def batches(it):
         import numpy as np
         import pyarrow as pa
         for b in it:
             for name, start in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                f = TokenFile(_get(folder, name))
+                with open_file(folder, name) as data:
+                    f = TokenFile(data.read())
                 ids = f.ids().astype("<u4", copy=False)
                 ends = np.cumsum(f.lengths)
                 for k in range(0, len(ends), 512):
@@ -346,7 +360,10 @@ def read_files(files: DataFrame, folder: str) -> DataFrame:
                          pa.array(stop - begin),
                          pa.array([ids[a:z].tobytes() for a, z in zip(begin, stop, strict=True)], pa.binary())],
                         names=["doc_id", "start", "n_tokens", "ids"])
-    spread = files.select("name", "start").repartition(max(1, files.count()))   # a task for each file
+    sums = files.agg(F.count(F.lit(1)).alias("n"), F.sum("n_bytes").alias("bytes")).first()
+    tasks = max(1, min(sums["n"], 3 * files.sparkSession.sparkContext.defaultParallelism),
+                math.ceil((sums["bytes"] or 0) / READ_BYTES))
+    spread = files.select("name", "start").repartition(tasks)
     return spread.mapInArrow(batches, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
 
 
