@@ -43,7 +43,7 @@ def test_truncated_file(spark, tmp_dir, caplog):
     with pytest.raises(UnreadableFiles, match="1 unreadable"):
         read_batch(spark, tmp_dir, "web", "t", "2099-01-01")
     left = read_batch(spark, tmp_dir, "web", "t", "2099-01-01", skip_unreadable=True)
-    assert 100 <= left.count() < 200 and "skipped 1 unreadable" in caplog.text
+    assert 100 <= left.count() < 200 and caplog.text.count("skipped ") == 1
 
 
 def test_two_extracts_of_one_day_before_a_load(spark, tmp_dir):

@@ -4,8 +4,8 @@
            -> batch under {base}/{source}/{table}/ds=<run day>/run=<id> -> advance
            the watermark (data first, then the mark).
   load     every table's batches of the run day, or all of its batches when
-           that day has none -> type repair by contract -> loaded_at -> append
-           to the raw table. Re-loaded rows become extra versions resolved at
+           that day has none -> type repair by contract -> loaded_at and the
+           batches' order -> append to the raw table. Re-loaded rows become extra versions resolved at
            read time. A source table without any batch is left alone.
   build    raw tables -> staging -> dimensions/facts (written) -> marts
            (written) -> model tests.
@@ -29,9 +29,8 @@ from pyspark.sql import functions as F
 
 from tidemart.plans.pipeline import BuildResult, build_all
 from tidemart.plans.warehouse import Warehouse
-from tidemart.sources.batch_io import batch_path, path_exists, read_batch
 from tidemart.sources.catalog import BY_NAME, RAW_TABLES, RawTable
-from tidemart.sources.ingest import Watermarks, extract_source, load_raw, new_run_id, read_raw
+from tidemart.sources.ingest import Watermarks, extract_source, load_batches, new_run_id, read_raw
 
 SOURCES = ["web", "oms", "wms", "marketing"]
 
@@ -49,14 +48,7 @@ def extract_job(spark: SparkSession, read_table: Callable[[RawTable], DataFrame]
 
 
 def load_job(spark: SparkSession, base: str, raw_dir: str, ds: str, skip_unreadable: bool = False) -> dict:
-    out = {}
-    for t in RAW_TABLES:
-        if not path_exists(spark, batch_path(base, t.source, t.table)):
-            out[t.name] = 0
-            continue
-        batch = read_batch(spark, base, t.source, t.table, ds, skip_unreadable=skip_unreadable)
-        out[t.name] = load_raw(batch.select(*t.column_names), f"{raw_dir}/{t.name}", t)
-    return out
+    return {t.name: load_batches(spark, base, raw_dir, t, ds, skip_unreadable) for t in RAW_TABLES}
 
 
 def raw_reader(spark: SparkSession, raw_dir: str) -> Callable[[str], DataFrame]:

@@ -6,6 +6,7 @@ folder named by spark.checkpoint.dir and return what they read back."""
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from tidemart.session import checkpoint_dir
 from tidemart.sources.batch_io import (batch_path, read_batch, write_batch,
                                        write_partitioned_sorted)
 from tidemart.sources.catalog import BY_NAME, RAW_TABLES
-from tidemart.sources.ingest import Watermarks, extract_incremental, extract_source, load_raw, next_watermark, read_raw
+from tidemart.sources.ingest import Watermarks, extract_incremental, extract_source, load_batches, next_watermark, read_raw
 from tidemart.sources.testdata import TestData
 from tidemart.streaming.hourly import replay_files, run_hourly_stream
 
@@ -188,8 +189,7 @@ def _cycle(spark: SparkSession, wh: Warehouse):
 
     def load(ds):
         for t in tables:
-            batch = read_batch(spark, f"{root}/batches", t.source, t.table, ds)
-            load_raw(batch.select(*t.column_names), f"{root}/raw/{t.name}", t)
+            load_batches(spark, f"{root}/batches", f"{root}/raw", t, ds)
     extract("2024-06-01", "a")
     extract("2024-06-01", "b")
     load("2024-06-01")
@@ -208,6 +208,42 @@ def extract_load_cycle(spark: SparkSession, wh: Warehouse) -> DataFrame:
     return latest(raw, t.keys).drop("loaded_at").join(copies, "id")
 
 
+# Batches of versions_across_batches: day, run, every n-th order, status. In "shrinking"
+# a later batch is smaller, in "growing" larger.
+VERSION_BATCHES = {
+    "shrinking": [("2024-06-01", "a", 1, "pending"), ("2024-06-01", "b", 3, "paid"), ("2024-06-02", "a", 5, "shipped")],
+    "growing": [("2024-06-01", "a", 5, "pending"), ("2024-06-01", "b", 3, "paid"), ("2024-06-02", "a", 1, "shipped")]}
+
+
+def versions_across_batches(spark: SparkSession, wh: Warehouse) -> DataFrame:
+    """SRC9, INC3, SNAP1: orders change status between two runs of a day and between
+    two days. Loaded day by day, by one fallback load of all batches and by a
+    stream, the latest batch wins whatever its size; ``copies`` are the versions held."""
+    from tidemart.streaming.ingest import read_latest, stream_load
+    t = BY_NAME["raw_web_orders"]
+    orders = wh.raw(t.name).select(*t.column_names)
+    out = []
+    for order, batches in VERSION_BATCHES.items():
+        root = scratch(spark, "versions")
+        for ds, run, every, status in batches:
+            write_batch(orders.where(c("id") % every == 0).withColumn("status", F.lit(status)),
+                        f"{root}/batches", t.source, t.table, ds, run)
+        for ds in sorted({b[0] for b in batches}):
+            load_batches(spark, f"{root}/batches", f"{root}/by_day", t, ds)
+        load_batches(spark, f"{root}/batches", f"{root}/fallback", t, "2099-01-01")
+        stream_load(spark, batch_path(f"{root}/batches", t.source, t.table), t, f"{root}/stream/{t.name}",
+                    f"{root}/checkpoint", max_files_per_trigger=1_000_000)
+        for way in ("by_day", "fallback", "stream"):
+            if way == "stream":
+                raw, now = spark.read.parquet(f"{root}/stream/{t.name}"), read_latest(spark, f"{root}/stream/{t.name}", t.keys)
+            else:
+                raw = read_raw(spark, f"{root}/{way}", t)
+                now = latest(raw, t.keys, columns=t.column_names)
+            out.append(now.join(raw.groupBy("id").agg(F.count(F.lit(1)).alias("copies")), "id")
+                       .select(F.lit(order).alias("batches"), F.lit(way).alias("way"), "id", "status", "copies"))
+    return reduce(DataFrame.unionByName, out)
+
+
 def watermark_cycle(spark: SparkSession, wh: Warehouse) -> DataFrame:
     """INC1/INC2: the control table after the cycles."""
     _, marks = _cycle(spark, wh)

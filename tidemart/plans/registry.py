@@ -137,6 +137,7 @@ QUERIES: dict[str, QueryFn] = {
     "partitioned_sink_roundtrip": lambda spark, d: operations.partitioned_sink_roundtrip(
         spark, _wh(spark, d), q_fact_order_items(spark, d)),
     "extract_load_cycle": lambda spark, d: operations.extract_load_cycle(spark, _wh(spark, d)),
+    "versions_across_batches": lambda spark, d: operations.versions_across_batches(spark, _wh(spark, d)),
     "watermark_cycle": lambda spark, d: operations.watermark_cycle(spark, _wh(spark, d)),
     "constrained_columns": _mart(operations.constrained_columns),
     "batch_layout_fallback": lambda spark, d: operations.batch_layout_fallback(spark, _wh(spark, d)),

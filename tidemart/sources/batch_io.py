@@ -10,9 +10,10 @@ repeated under its own id replaces its own (dynamic partition overwrite)."""
 from __future__ import annotations
 
 import logging
+from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.functions.dates import yyyymm
@@ -67,45 +68,96 @@ class UnreadableFiles(RuntimeError):
     pass
 
 
-def unreadable_files(spark: SparkSession, root: str) -> DataFrame:
-    """(path) of the Parquet files under ``root`` of which no row can be read."""
+def probe_files(spark: SparkSession, root: str) -> DataFrame:
+    """(path, rows, fault) of every Parquet file under ``root``: each is decoded whole,
+    page by page, in the task that reads it. A sound file, an empty one too, has no fault."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-             .option("recursiveFileLookup", "true").load(root).select("path"))
-    read = (spark.read.option("ignoreCorruptFiles", "true").option("mergeSchema", "true")
-            .option("pathGlobFilter", "*.parquet")
-            .option("recursiveFileLookup", "true").parquet(root)
-            .select(F.col("_metadata.file_path").alias("path")).distinct())
-    return files.join(read, "path", "left_anti")
+             .option("recursiveFileLookup", "true").load(root).select("path", "content"))
+
+    def probe(batches):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        for b in batches:
+            for path, content in zip(b.column(0), b.column(1), strict=True):
+                rows, fault = 0, None
+                try:
+                    file = pq.ParquetFile(pa.BufferReader(content.as_buffer()), page_checksum_verification=True)
+                    rows = sum(x.num_rows for x in file.iter_batches())
+                    if rows != file.metadata.num_rows:
+                        fault = f"{rows} of {file.metadata.num_rows} rows"
+                except Exception as e:  # noqa: BLE001 - whatever the decoder says is the fault
+                    fault = f"{type(e).__name__}: {e}"[:300]
+                yield pa.RecordBatch.from_arrays([pa.array([path.as_py()]), pa.array([None if fault else rows], pa.int64()),
+                                                  pa.array([fault], pa.string())], names=["path", "rows", "fault"])
+    return files.mapInArrow(probe, "path string, rows bigint, fault string")
+
+
+@contextmanager
+def _text_partitions(spark: SparkSession):
+    """ds and run are text, whatever they look like ('007' is no number)."""
+    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def read_batch(spark: SparkSession, base: str, source: str, table: str, ds: str,
                schema=None, skip_unreadable: bool = False) -> DataFrame:
     """SRC6/SRC7: the batches of day ``ds`` if there are any, otherwise every batch
     of the table. The day's read fails on an unreadable file. So does the
-    fallback, unless ``skip_unreadable``: then such files are left out, and
-    their number and names are logged."""
+    fallback, unless ``skip_unreadable``: then damaged files are left out whole,
+    the sound ones are read whole, and a warning names every file left out."""
     root = batch_path(base, source, table)
-    has_day = path_exists(spark, batch_path(base, source, table, ds))
-    reader = spark.read.option("mergeSchema", "true").option("ignoreCorruptFiles", "false")
-    if not has_day:
-        bad = [r["path"] for r in unreadable_files(spark, root).collect()]   # one row per damaged file
-        if bad and not skip_unreadable:
-            raise UnreadableFiles(f"{len(bad)} unreadable files under {root}: {bad[:5]}")
-        if bad:
-            logging.getLogger(__name__).warning("skipped %d unreadable files under %s: %s", len(bad), root, bad)
-            reader = reader.option("ignoreCorruptFiles", "true")
+    reader = spark.read.option("mergeSchema", "true").option("ignoreCorruptFiles", "false").option("basePath", root)
     if schema is not None:
         reader = reader.schema(schema)
-    if has_day:     # only that day's files are opened; ds and run stay columns
-        return reader.option("basePath", root).parquet(batch_path(base, source, table, ds))
-    return reader.parquet(root)
+    paths = [batch_path(base, source, table, ds)]      # only that day's files are opened; ds and run stay columns
+    if not path_exists(spark, paths[0]):
+        paths = [root]
+        found = probe_files(spark, root)
+        bad = {r["path"]: r["fault"] for r in found.where("fault IS NOT NULL").collect()}   # one row per damaged file
+        if bad and not skip_unreadable:
+            raise UnreadableFiles(f"{len(bad)} unreadable files under {root}: {dict(list(bad.items())[:5])}")
+        if bad:
+            for path, fault in sorted(bad.items()):
+                logging.getLogger(__name__).warning("skipped %s: %s", path, fault)
+            paths = [f for f in _files(spark, root) if f not in bad]
+            if not paths:
+                raise UnreadableFiles(f"none of the {len(bad)} files under {root} is readable")
+    with _text_partitions(spark):
+        return reader.parquet(*paths)
+
+
+def _files(spark: SparkSession, root: str) -> list[str]:
+    """Paths of the Parquet files under ``root`` (a listing; no file is opened)."""
+    return [r["path"] for r in spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+            .option("recursiveFileLookup", "true").load(root).select("path").collect()]
+
+
+# a row's place among all batches of its table; values compare field by field
+BATCH_ORDER = "struct<ds:string,run:string,file:string,row:bigint>"
+
+
+def batch_order() -> Column:
+    """SRC9/INC3: of a row that ``read_batch`` or a file stream over the same layout has
+    just read: its day, run, file and place in the file."""
+    return F.struct(F.col("ds").cast("string").alias("ds"), F.col("run").cast("string").alias("run"),
+                    F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
 
 
 def stamp_loaded_at(df: DataFrame) -> DataFrame:
-    """SRC9: one load timestamp per batch, and a number for each of its rows: together
-    the dedupe version."""
-    return df.withColumns({"loaded_at": F.current_timestamp().cast("timestamp_ntz"),
-                           "load_seq": F.monotonically_increasing_id()})
+    """SRC9: one load timestamp per load. With the row's ``batch_order`` (column
+    load_seq) it is the dedupe version: of the copies that one load brings, that of
+    the latest day, run and place wins, whatever the size of the batches. Rows that
+    come from no batch are numbered as they come."""
+    if "load_seq" not in df.columns:
+        none = F.lit(None).cast("string")
+        df = df.withColumn("load_seq", F.struct(none.alias("ds"), none.alias("run"), none.alias("file"),
+                                                F.monotonically_increasing_id().alias("row")))
+    return df.withColumns({"loaded_at": F.current_timestamp().cast("timestamp_ntz"), "load_seq": F.col("load_seq")})
 
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None,

@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemart.functions.coerce import coerce_to_contract, strip_timezone
-from tidemart.sources.batch_io import append, path_exists, stamp_loaded_at, write_batch
+from tidemart.sources.batch_io import (BATCH_ORDER, append, batch_order, batch_path, path_exists, read_batch, stamp_loaded_at,
+                                       write_batch)
 from tidemart.sources.catalog import RAW_TABLES, RawTable
 
 DEFAULT_INIT_DATE = "2020-01-01"
@@ -133,10 +134,21 @@ def load_raw(batch: DataFrame, raw_path: str, table: RawTable | None = None, tru
     return append(stamp_loaded_at(batch), raw_path, truncate=truncate)
 
 
+def load_batches(spark: SparkSession, base: str, raw_dir: str, table: RawTable, ds: str,
+                 skip_unreadable: bool = False) -> int:
+    """The load of one table: the batches of day ``ds``, or all of them when that day
+    has none, appended with their order. A table without any batch is left alone."""
+    if not path_exists(spark, batch_path(base, table.source, table.table)):
+        return 0
+    batch = read_batch(spark, base, table.source, table.table, ds, skip_unreadable=skip_unreadable)
+    rows = batch.select(*table.column_names, batch_order().alias("load_seq"))
+    return load_raw(rows, f"{raw_dir.rstrip('/')}/{table.name}", table)
+
+
 def read_raw(spark: SparkSession, raw_dir: str, table: RawTable) -> DataFrame:
     """A raw table by its contract; without rows when nothing was loaded yet."""
     schema = T.StructType([*table.schema.fields, T.StructField("loaded_at", T.TimestampNTZType()),
-                           T.StructField("load_seq", T.LongType())])
+                           *T.StructType.fromDDL(f"load_seq {BATCH_ORDER}").fields])
     path = f"{raw_dir.rstrip('/')}/{table.name}"
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)

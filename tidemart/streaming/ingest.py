@@ -2,8 +2,8 @@
 
 Extract batches land as ``{base}/{source}/{table}/ds=YYYY-MM-DD/run=<id>/`` parquet
 files; a file stream over the table root picks up new batch files, and each
-micro-batch is type-repaired, stamped with ``loaded_at`` and appended to the
-raw table. Replayed or overlapping batches only add copies that the
+micro-batch is type-repaired, stamped with ``loaded_at`` and the batches' order
+(day, run, place in the file) and appended to the raw table. Replayed or overlapping batches only add copies that the
 latest-version read resolves, so the load is effectively exactly-once for
 readers. Trigger.AvailableNow processes what is there and stops, which is
 how a scheduled (hourly) run uses it."""
@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from tidemart.functions.coerce import coerce_to_contract
 from tidemart.operators.snapshot import latest
+from tidemart.sources.batch_io import batch_order, stamp_loaded_at
 from tidemart.sources.catalog import RawTable
 
 
@@ -24,12 +25,10 @@ def stream_load(spark: SparkSession, batch_root: str, table: RawTable, raw_path:
     schema = T.StructType([*table.schema.fields, T.StructField("ds", T.StringType()),
                            T.StructField("run", T.StringType())])
     src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
-           .parquet(batch_root))
+           .parquet(batch_root).select(*table.column_names, batch_order().alias("load_seq")))
 
     def load(batch: DataFrame, epoch_id: int) -> None:
-        (coerce_to_contract(batch.drop("run"), table.schema)
-         .withColumn("loaded_at", F.current_timestamp().cast("timestamp_ntz"))
-         .withColumn("load_seq", F.monotonically_increasing_id())
+        (stamp_loaded_at(coerce_to_contract(batch, table.schema))
          .withColumn("load_batch", F.lit(epoch_id).cast("long"))
          .write.mode("append").parquet(raw_path))
 
@@ -39,8 +38,8 @@ def stream_load(spark: SparkSession, batch_root: str, table: RawTable, raw_path:
 
 
 def read_latest(spark: SparkSession, raw_path: str, keys: list[str]) -> DataFrame:
-    """The raw table as of now: latest version per key (load time, then
-    load batch, then the row itself as tie-breaks)."""
+    """The raw table as of now: latest version per key (load time, micro-batch, then
+    the order of the batches within it)."""
     raw = spark.read.parquet(raw_path)
     cols = [c for c in raw.columns if c not in ("loaded_at", "load_batch", "load_seq")]
     out = latest(raw, keys, "loaded_at", tiebreak=["load_batch", "load_seq"], columns=cols)
