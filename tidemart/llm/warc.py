@@ -219,7 +219,7 @@ def plan_records(pages: DataFrame) -> DataFrame:
     refers_id and refers_to of the response."""
     html = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     staged = stored(pages.select(F.monotonically_increasing_id().alias("row"), F.col("page_id").cast("long").alias("page_id"),
-                                 "url", html.alias("payload"), F.sha2(html, 256).alias("digest")), "warc-pages")
+                                 "url", html.alias("payload"), F.sha2(html, 256).alias("digest")), "warc-pages", "zstd")
     rows = (staged.where(F.octet_length("payload") >= REVISIT_BYTES)
             .select("row", "page_id", "digest", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int").alias("salt")))
     rows = stored(rows, "warc-rows")
