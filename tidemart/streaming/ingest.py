@@ -25,7 +25,7 @@ def stream_load(spark: SparkSession, batch_root: str, table: RawTable, raw_path:
     schema = T.StructType([*table.schema.fields, T.StructField("ds", T.StringType()),
                            T.StructField("run", T.StringType())])
     src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
-           .parquet(batch_root).select(*table.column_names, batch_order().alias("load_seq")))
+           .parquet(batch_root).select(*table.column_names, "ds", batch_order().alias("load_seq")))
 
     def load(batch: DataFrame, epoch_id: int) -> None:
         (stamp_loaded_at(coerce_to_contract(batch, table.schema))
