@@ -12,8 +12,8 @@
 
 usage:
   python -m tidemart.jobs extract --sf-dir DIR --base DIR --control DIR [--init-date D] [--ds D]
-  python -m tidemart.jobs load    --base DIR --raw DIR [--ds YYYY-MM-DD]
-  python -m tidemart.jobs build   --raw DIR --out DIR
+  python -m tidemart.jobs load    --base DIR --raw DIR [--state DIR] [--ds YYYY-MM-DD]
+  python -m tidemart.jobs build   --raw DIR [--state DIR] --out DIR
 The extract job reads the source tables through the test-data adapters
 (``--sf-dir``); with real sources, pass a reader to ``extract_job``.
 """
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from tidemart.plans.pipeline import BuildResult, build_all
 from tidemart.plans.warehouse import Warehouse
 from tidemart.sources.catalog import BY_NAME, RAW_TABLES, RawTable
+from tidemart.sources.keyed import LatestState
 from tidemart.sources.ingest import Watermarks, extract_source, load_batches, new_run_id, read_raw
 
 SOURCES = ["web", "oms", "wms", "marketing"]
@@ -47,16 +48,31 @@ def extract_job(spark: SparkSession, read_table: Callable[[RawTable], DataFrame]
     return out
 
 
-def load_job(spark: SparkSession, base: str, raw_dir: str, ds: str, skip_unreadable: bool = False) -> dict:
-    return {t.name: load_batches(spark, base, raw_dir, t, ds, skip_unreadable) for t in RAW_TABLES}
+def load_job(spark: SparkSession, base: str, raw_dir: str, ds: str, skip_unreadable: bool = False,
+             state_dir: str | None = None) -> dict:
+    """``state_dir``: where the latest rows of every raw table are kept; the loads it lacks are merged."""
+    out = {}
+    for t in RAW_TABLES:
+        out[t.name] = load_batches(spark, base, raw_dir, t, ds, skip_unreadable)
+        if state_dir:
+            state = LatestState(spark, state_dir, t)
+            state.refresh(read_raw(spark, raw_dir, t))
+            state.kept.forget()
+    return out
 
 
 def raw_reader(spark: SparkSession, raw_dir: str) -> Callable[[str], DataFrame]:
     return lambda name: read_raw(spark, raw_dir, BY_NAME[name])
 
 
-def build_job(spark: SparkSession, raw_dir: str, out_dir: str) -> BuildResult:
-    return build_all(spark, Warehouse(raw_reader(spark, raw_dir)), out_dir)
+def state_reader(spark: SparkSession, state_dir: str) -> Callable[[str], DataFrame]:
+    return lambda name: LatestState(spark, state_dir, BY_NAME[name]).read()
+
+
+def build_job(spark: SparkSession, raw_dir: str, out_dir: str, state_dir: str | None = None) -> BuildResult:
+    """With ``state_dir``, the models read the kept latest rows and not the raw history."""
+    state = state_reader(spark, state_dir) if state_dir else None
+    return build_all(spark, Warehouse(raw_reader(spark, raw_dir), state=state), out_dir)
 
 
 def _testdata_reader(spark: SparkSession, sf_dir: str):
@@ -72,6 +88,7 @@ def main(argv=None) -> None:
     ap.add_argument("--base")
     ap.add_argument("--control")
     ap.add_argument("--raw")
+    ap.add_argument("--state")
     ap.add_argument("--out")
     ap.add_argument("--init-date", default="2020-01-01")
     ap.add_argument("--ds", default=dt.date.today().isoformat())
@@ -82,9 +99,9 @@ def main(argv=None) -> None:
     if a.job == "extract":
         print(extract_job(spark, _testdata_reader(spark, a.sf_dir), a.base, a.control, a.init_date, ds=a.ds))
     elif a.job == "load":
-        print(load_job(spark, a.base, a.raw, a.ds))
+        print(load_job(spark, a.base, a.raw, a.ds, state_dir=a.state))
     else:
-        res = build_job(spark, a.raw, a.out)
+        res = build_job(spark, a.raw, a.out, a.state)
         bad = res.tests.where(F.col("violations") > 0).collect()
         print({"tables": res.tables, "failing_tests": [r.asDict() for r in bad]})
 

@@ -21,6 +21,14 @@ def _key_match(keys: Sequence[str], a: str, b: str):
     return reduce(lambda x, y: x & y, [F.col(f"{a}.{k}") == F.col(f"{b}.{k}") for k in keys])
 
 
+def last_update(updates: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
+    """One row per key: the last by ``order_col`` (of equal ones, the greatest row)."""
+    others = [c for c in updates.columns if c not in keys]
+    return (updates.groupBy(*keys)
+            .agg(F.max(F.struct(F.col(order_col).alias("__order"), *[F.col(c) for c in others])).alias("__u"))
+            .select(*keys, *[F.col(f"__u.{c}").alias(c) for c in others]))
+
+
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
            update_cols: Sequence[str], order_col: str) -> DataFrame:
     """INSERT ... ON CONFLICT (keys) DO UPDATE SET c = EXCLUDED.c for c in
@@ -30,10 +38,7 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
     update of a key, the last by ``order_col`` (of equal ones, the greatest
     row), as if its rows were applied one by one."""
     keys, update_cols = list(keys), list(update_cols)
-    others = [c for c in updates.columns if c not in keys]
-    updates = (updates.groupBy(*keys)
-               .agg(F.max(F.struct(F.col(order_col).alias("__order"), *[F.col(c) for c in others])).alias("__u"))
-               .select(*keys, *[F.col(f"__u.{c}").alias(c) for c in others]))
+    updates = last_update(updates, keys, order_col)
     t = target.alias("t").withColumn("__t", F.lit(True))
     u = updates.alias("u").withColumn("__u", F.lit(True))
     j = t.join(u, _key_match(keys, "t", "u"), "full_outer")

@@ -20,7 +20,8 @@ from tidemart.session import checkpoint_dir
 from tidemart.sources.batch_io import (batch_path, read_batch, write_batch,
                                        write_partitioned_sorted)
 from tidemart.sources.catalog import BY_NAME, RAW_TABLES
-from tidemart.sources.ingest import Watermarks, extract_incremental, extract_source, load_batches, next_watermark, read_raw
+from tidemart.sources.ingest import Watermarks, extract_incremental, extract_source, load_batches, load_raw, next_watermark, read_raw
+from tidemart.sources.keyed import KeyedTable, LatestState
 from tidemart.sources.testdata import TestData
 from tidemart.streaming.hourly import replay_files, run_hourly_stream
 
@@ -244,6 +245,31 @@ def versions_across_batches(spark: SparkSession, wh: Warehouse) -> DataFrame:
     return reduce(DataFrame.unionByName, out)
 
 
+def latest_state_three_loads(spark: SparkSession, wh: Warehouse) -> DataFrame:
+    """SNAP1/WIN3 kept: three loads of orders, each merged into the kept latest rows
+    alone; what is read is the table, not the history."""
+    t = BY_NAME["raw_web_orders"]
+    orders = wh.raw(t.name).select(*t.column_names)
+    out = []
+    for order, batches in VERSION_BATCHES.items():
+        root = scratch(spark, "state")
+        for k, (_, _, every, status) in enumerate(batches):
+            load_raw(orders.where(c("id") % every == 0).withColumn("status", F.lit(status)), f"{root}/raw/{t.name}", t)
+            state = LatestState(spark, f"{root}/state", t)      # another handle each time: what counts is on disk
+            state.refresh(read_raw(spark, f"{root}/raw", t))
+        out.append(state.read().select(F.lit(order).alias("batches"), *t.column_names))
+    return reduce(DataFrame.unionByName, out)
+
+
+def upsert_in_place(spark: SparkSession, wh: Warehouse, td: TestData) -> DataFrame:
+    """MERGE1 on a kept table: users, then the update batch into the partitions it touches."""
+    ddl = ", ".join(f"{n} {kind}" for n, kind in BY_NAME["raw_web_users"].columns if n in USER_COLS)
+    kept = KeyedTable(spark, scratch(spark, "users"), ddl, ["id"])
+    kept.merge(wh.final("raw_web_users", columns=USER_COLS).select(*USER_COLS), ["registered_at"])
+    kept.upsert(user_updates(td), ["email", "city"], "seq")
+    return kept.read()
+
+
 def watermark_cycle(spark: SparkSession, wh: Warehouse) -> DataFrame:
     """INC1/INC2: the control table after the cycles."""
     _, marks = _cycle(spark, wh)

@@ -52,14 +52,17 @@ def q_dq_model_tests(spark, d):
     return pipeline.build_all(spark, _wh(spark, d), out, with_hourly=False).tests
 
 
-def q_upsert_merge(spark, d):
+def _wh_and_data(spark, d):
     td = _data(spark, d)
-    return operations.upsert_merge(Warehouse(td.raw), td)
+    return Warehouse(td.raw), td
+
+
+def q_upsert_merge(spark, d):
+    return operations.upsert_merge(*_wh_and_data(spark, d))
 
 
 def q_get_or_create_ids(spark, d):
-    td = _data(spark, d)
-    return operations.get_or_create_category_ids(Warehouse(td.raw), td)
+    return operations.get_or_create_category_ids(*_wh_and_data(spark, d))
 
 
 def q_latest_version_dedupe(spark, d):
@@ -138,6 +141,8 @@ QUERIES: dict[str, QueryFn] = {
         spark, _wh(spark, d), q_fact_order_items(spark, d)),
     "extract_load_cycle": lambda spark, d: operations.extract_load_cycle(spark, _wh(spark, d)),
     "versions_across_batches": lambda spark, d: operations.versions_across_batches(spark, _wh(spark, d)),
+    "latest_state_three_loads": lambda spark, d: operations.latest_state_three_loads(spark, _wh(spark, d)),
+    "upsert_in_place": lambda spark, d: operations.upsert_in_place(spark, *_wh_and_data(spark, d)),
     "watermark_cycle": lambda spark, d: operations.watermark_cycle(spark, _wh(spark, d)),
     "constrained_columns": _mart(operations.constrained_columns),
     "batch_layout_fallback": lambda spark, d: operations.batch_layout_fallback(spark, _wh(spark, d)),

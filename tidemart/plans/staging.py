@@ -88,14 +88,16 @@ STAGING_INPUTS: dict[str, dict[str, tuple[str, ...]]] = {
 }
 
 
-def stage(raw: DataFrame, name: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Latest version per identity key, then the staging projection. Only the raw
+def stage(raw: DataFrame, name: str, columns: Sequence[str] | None = None, resolved: bool = False) -> DataFrame:
+    """Latest version per identity key (unless ``raw`` is ``resolved``: has one row
+    per key already), then the staging projection. Only the raw
     columns that ``columns`` of the model (default: all) need are read and moved."""
     raw_name, projection = STAGING_SPECS[name]
     keys = BY_NAME[raw_name].keys
     if columns is None:
-        return latest(raw, keys, columns=BY_NAME[raw_name].column_names).select(*projection())
+        rows = raw if resolved else latest(raw, keys, columns=BY_NAME[raw_name].column_names)
+        return rows.select(*projection())
     need = {i for c_ in columns for i in STAGING_INPUTS.get(name, {}).get(c_, (c_,))}
     staged = raw.limit(0).select(*projection()).columns
     picked = [p for p, n in zip(projection(), staged, strict=True) if n in columns]
-    return latest(raw, keys, columns=sorted(need)).select(*picked)
+    return (raw if resolved else latest(raw, keys, columns=sorted(need))).select(*picked)

@@ -63,10 +63,13 @@ def date_attributes(d) -> list:
 
 
 class Warehouse:
-    """Models over a raw-table provider ``raw(name) -> DataFrame``."""
+    """Models over a raw-table provider ``raw(name) -> DataFrame`` and, where the latest
+    rows are kept, ``state(name) -> DataFrame`` with one row per key."""
 
-    def __init__(self, raw: Callable[[str], DataFrame], null_mode: str = "ansi"):
+    def __init__(self, raw: Callable[[str], DataFrame], null_mode: str = "ansi",
+                 state: Callable[[str], DataFrame] | None = None):
         self._raw = raw
+        self._state = state
         self._raw_cache: dict[str, DataFrame] = {}
         self._stg_cache: dict[str, DataFrame] = {}
         self._model_cache: dict[tuple, DataFrame] = {}
@@ -102,15 +105,21 @@ class Warehouse:
         """A staging model, or only some of its columns (then no others are read)."""
         key = f"{name}:{','.join(columns)}" if columns else name
         if key not in self._stg_cache:
-            self._stg_cache[key] = stage(self.raw(STAGING_SPECS[name][0]), name, columns)
+            raw_name = STAGING_SPECS[name][0]
+            self._stg_cache[key] = (stage(self._state(raw_name), name, columns, resolved=True) if self._state
+                                    else stage(self.raw(raw_name), name, columns))
         return self._stg_cache[key]
 
     def final(self, raw_name: str, keys=None, columns=None) -> DataFrame:
         """A raw table read with latest-version semantics (FINAL), on the
         identity key of the catalogue unless ``keys`` is given; with ``columns``,
         only the keys and those."""
+        kept = self._state is not None and keys is None
         if keys is None:
             keys = BY_NAME[raw_name].keys if raw_name in BY_NAME else ("id",)
+        if kept:
+            df = self._state(raw_name)
+            return df if columns is None else df.select(*dict.fromkeys([*keys, *columns]))
         key = f"final:{raw_name}:{','.join(keys)}:{'*' if columns is None else ','.join(columns)}"
         if key not in self._stg_cache:
             self._stg_cache[key] = latest(self.raw(raw_name), keys, columns=columns)
