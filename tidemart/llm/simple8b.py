@@ -55,7 +55,7 @@ _ODD = "[^\t\n\r -~\u00a1-\u012f\u0131-\u02ff\u0388-\u0482\u048a-\u052f]"
 _CUT = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"     # the tokenizer's own pattern
 # the character that stands for a byte in the vocabulary: itself if it is visible, or one of those from U+0100
 _SEEN = [*range(33, 127), *range(161, 173), *range(174, 256)]
-_BYTES = {b: 256 + k for k, b in enumerate(sorted({*range(256)}.difference(_SEEN)))}
+_BYTES = {b: 256 + k for k, b in enumerate(sorted({*range(256)}.difference(_SEEN))) if b != 32}
 _ROW = BLOCK + COUNTS[0]
 
 
@@ -72,8 +72,9 @@ def pack(values):
     whole = np.zeros(blocks * BLOCK, np.uint64)
     whole[:n] = values
     rows[:, :BLOCK] = whole.reshape(blocks, BLOCK)
-    width = np.searchsorted(np.uint64(1) << np.arange(61, dtype=np.uint64), rows.ravel(),
-                            side="right").astype(np.uint8).reshape(rows.shape)
+    width = np.frexp((rows >> np.uint64(30)).astype(np.float64))[1].astype(np.uint8)     # bits, exact below 2^53
+    width[width > 0] += 30
+    width = np.maximum(width, np.frexp((rows & np.uint64((1 << 30) - 1)).astype(np.float64))[1].astype(np.uint8))
     # the selector at each place: the most values of which the widest fits
     most = {1: width}                                   # widest of the next 1, 2, 4, ... values
     while 2 * max(most) <= COUNTS[0]:
@@ -185,18 +186,6 @@ class TokenFile:
         return out[start - a * BLOCK:stop - a * BLOCK]
 
 
-class _Store(dict):
-    """Pre-token -> its number; one not seen before is learnt."""
-
-    def __init__(self, learn):
-        super().__init__()
-        self.learn = learn
-
-    def __missing__(self, piece: str) -> int:
-        self[piece] = n = self.learn(piece)
-        return n
-
-
 def _in_turn(flat, start, number):
     """The runs of ``flat`` with these numbers one after another, and where each ends;
     run k is flat[start[k]:start[k + 1]]."""
@@ -216,10 +205,11 @@ class TextEncoder:
     words in turn. Texts of printable ASCII, line ends and the composed letters of
     Latin, Greek and Cyrillic are split here (their normal form is what they are);
     the different words of a group of texts are lower-cased and cut into
-    pre-tokens, and the different pre-tokens are looked up, or learnt, all but the
-    last by Arrow's kernels. Any other text goes through the library whole. Ids are
-    kept in one flat array, a pre-token being a number that leads into it. The
-    store is emptied when full.
+    pre-tokens by Arrow's kernels, and the different pre-tokens are looked up. New
+    ones go to the library together, by its model alone: every pre-token ends with
+    the one id that closes a word. Any other text goes through the library whole.
+    Ids are kept in one flat array, a pre-token being a number that leads into it.
+    The store is emptied when full.
 
     ``added_tokens``: the string of an added token in a text becomes its one id,
     as the library does by default (such a text goes through it whole);
@@ -228,8 +218,15 @@ class TextEncoder:
     def __init__(self, path: str, end_id: int = END_ID, added_tokens: bool = False):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a worker for each core
+        import numpy as np
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = WhitespaceSplit()
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for t, i in vocabulary.items() if t.endswith(self.tokenizer.model.end_of_word_suffix)]] = True
         self.tokenizer.encode_special_tokens = not added_tokens
         added = self.tokenizer.get_added_tokens_decoder().values()
         # normalized ones are sought in the lower-cased text
@@ -240,15 +237,20 @@ class TextEncoder:
         self._empty()
 
     def _empty(self) -> None:
-        self.number = _Store(self._learn)
-        self.flat, self.start = array("I"), array("q", [0])
+        self.number = {"": 0}                           # pre-token -> its number
+        self.flat, self.start = array("I"), array("q", [0, 0])
 
-    def _learn(self, piece: str) -> int:
-        """Puts the ids of a pre-token in the store; its number."""
-        seen = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTES)
-        self.flat.extend([t.id for t in self.tokenizer.model.tokenize(seen)])
-        self.start.append(len(self.flat))
-        return len(self.start) - 2
+    def _learn(self, pieces: list[str]) -> None:
+        """Puts the ids of pre-tokens in the store."""
+        import numpy as np
+        seen = " ".join(pieces).encode().decode("latin-1").translate(_BYTES)
+        ids = np.array(self.model.encode_batch_fast([seen], add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        if len(ends) != len(pieces):
+            raise ValueError("a pre-token is not closed by one id")
+        self.number.update(zip(pieces, range(len(self.number), len(self.number) + len(pieces)), strict=True))
+        self.start.frombytes((ends + len(self.flat)).astype(np.int64).tobytes())
+        self.flat.frombytes(ids.tobytes())
 
     def _words(self, words):
         """The ids of different words in one array, and where each word begins."""
@@ -257,6 +259,8 @@ class TextEncoder:
         cut = pc.utf8_split_whitespace(pc.replace_substring_regex(pc.utf8_lower(words), _CUT, r" \0"))
         coded = cut.flatten().dictionary_encode()
         pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if new := [p for p in pieces if p not in self.number]:
+            self._learn(new)
         known = np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces))
         ids, stop = _in_turn(np.array(self.flat, np.uint32), np.array(self.start, np.int64), known[coded.indices.to_numpy()])
         offsets = cut.offsets.to_numpy()
