@@ -132,3 +132,38 @@ def test_brackets_take_linear_time():
               "a = [a, a]\n" * 20_000, "a=(" + '"x", ' * 20_000, "://" * 40_000, 'token="' + "://a:b" * 20_000 + '"'):
         S.scan_text(t)
     assert time.time() - t0 < 30
+
+
+GROWING = {
+    "list of numbers": lambda n: "x = [" + ",".join("1" for _ in range(n)) + "]",
+    "list of secrets": lambda n: "password = [" + ",".join(f'"k{i}zzQ8"' for i in range(n)) + "]",
+    "growing tuple": lambda n: "a = 'k1zz'\n" + "\n".join(f'a = (a, "k{i}zz")' for i in range(n)),
+    "growing secret tuple": lambda n: "secret = 'k1zz'\n" + "\n".join(f'secret = (secret, "k{i}zzQ9")' for i in range(n)),
+    "growing secret text": lambda n: "password = 'k1zz'\n" + "\n".join(f'password = password + "k{i}zz"' for i in range(n)),
+    "chain of names": lambda n: "\n".join(f'a{i} = (a{i - 1}, "k{i}zzQ9")\npassword = a{i}' for i in range(1, n)),
+    "two weights": lambda n: "\n".join(f'a = (a, "k{i}zzQ9")\nsalt = a\npassword = a' for i in range(1, n)),
+}
+
+
+def test_time_grows_as_the_text_does():
+    import time
+    for name, make in GROWING.items():
+        took = []
+        for n in (5_000, 20_000):
+            text, best = make(n), 1e9
+            for _ in range(2):
+                t0 = time.process_time()
+                S.scan_text(text)
+                best = min(best, time.process_time() - t0)
+            took.append(best)
+        assert took[1] < 8 * took[0] + 0.1, (name, took)     # 4 times the text; 16 if it were quadratic
+
+
+def test_values_flow_through_names_and_long_concatenations():
+    text = 'first = "Zq81kdPw0x"\nsecond = (first, "m4Xv92LsTb")\npassword = second\n'
+    flows = {text[a:z] for k, a, z in S.scan_text(text) if k == "flow"}
+    assert flows == {"Zq81kdPw0x", "m4Xv92LsTb"}
+    n = 3 * S.JOINED
+    text = 'password = "Zq8"\n' + "\n".join(f'password = password + "p{i}Q"' for i in range(n))
+    named = {text[a:z] for k, a, z in S.scan_text(text) if k in ("literal", "flow")}
+    assert all(f"p{i}Q" in named for i in range(3, n - 3))

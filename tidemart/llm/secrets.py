@@ -16,6 +16,7 @@ scored by how sensitive the words of its target's name are times its strength
 (length times the entropy of its characters; placeholders have none; of PEM blocks,
 URLs and phrases the secret part counts). From
 MIN_SCORE on it is reported: as ``literal`` if it stands in the assignment
+JOINED = 64             # literals that are joined into one value
 itself, as ``flow`` if it came through another name.
 
 A span is kind:start:end in code points, end exclusive. Texts are scanned one
@@ -71,6 +72,7 @@ LOOKUPS = {"config", "env", "environ", "fetch", "get", "getenv", "getpass", "get
            "prompt", "setdefault"}
 WORD_BITS = 11.0        # of a plain word among several
 MIN_SCORE = 0.5
+JOINED = 64             # literals that are joined into one value
 FULL_BITS = 40.0        # strength 1 from so many bits of entropy on
 MIN_LITERAL = 6
 
@@ -177,7 +179,9 @@ def _arguments(text: str, at: int, limit: int, called: str):
             if not depth:
                 return [*groups, group], at, True
         elif c == ",":
-            groups, group, first[-1] = [*groups, group] if group else groups, [], False
+            if group:
+                groups.append(group)
+            group, first[-1] = [], False
             at += 1
         elif c == "+":
             at += 1
@@ -245,12 +249,41 @@ def _expression(text: str, at: int, limit: int):
         at = joint.end()
 
 
+class _Values:
+    """The values of a name: its own, each the literals that make it up, and those of
+    the names in its assignment."""
+
+    __slots__ = ("own", "earlier", "full", "tail", "weight")
+
+    def __init__(self, own: list[tuple[tuple[int, int], ...]], earlier: list[_Values], full: list[_Values]):
+        self.own, self.earlier, self.full = own, [*dict.fromkeys(earlier), *full], full
+        # what a further literal is joined to: the only value, but for parts of it that are full
+        self.tail = own[0] if len(own) == 1 and not earlier else None
+        self.weight = 0.0       # of the most sensitive name that it was scored for
+
+    def sensitive(self, text: str, weight: float):
+        """The values that score under a name of this weight. Each is visited once for a
+        weight: what scored under one before scores the same again."""
+        todo = [self]
+        while todo:
+            at = todo.pop()
+            if at.weight < weight:
+                at.weight = weight
+                for value in at.own:
+                    if weight * strength("".join(text[a:z] for a, z in value)) >= MIN_SCORE:
+                        yield value
+                todo += at.earlier
+
+
 def assigned_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans of sensitive literals by name (``literal``) and by propagation (``flow``).
 
     Operators inside a literal (a setting within a string) are lexed within it, and
-    what they assign is not searched again, so the time is linear in the text."""
-    known: dict[str, list[tuple[tuple[int, int], ...]]] = {}    # name -> its values, each the literals that make it up
+    what they assign is not searched again. A name refers to what the names in its
+    assignment held, and that is scored once for each weight of a name; a value put
+    together from over JOINED literals is not joined further but kept beside the
+    next. So the time is linear in the text, whatever is assigned to what."""
+    known: dict[str, _Values] = {}
     found: dict[tuple[int, int], str] = {}
     done, outer, outer_stop = 0, iter(()), 0
     inside = (0, 0)         # the literal of the outer expression that is at hand
@@ -279,7 +312,7 @@ def assigned_spans(text: str) -> list[tuple[str, int, int]]:
             done = stop
         else:
             outer, inside, outer_stop = iter(sorted(chain.from_iterable(groups), key=lambda t: t[1:])), (0, 0), stop
-        values, own = [], set()
+        values, own, earlier, full = [], set(), [], []
         for group in groups:
             value = []
             for kind, a, z in group:
@@ -288,24 +321,26 @@ def assigned_spans(text: str) -> list[tuple[str, int, int]]:
                     if kind != "arg":
                         value.append((a, z))
                         own.add((a, z))
-                elif len(told) == 1:
-                    value += told[0]
+                elif told.tail is None:
+                    earlier.append(told)
+                elif len(told.tail) <= JOINED:
+                    value += told.tail
+                    full += told.full
                 else:
-                    values += told
-            values.append(tuple(dict.fromkeys(value)))
-        key = name.rpartition(".")[2]
-        # a name never holds more than the literals of one assignment and those of the names in it, each value once
-        known[key] = list(dict.fromkeys(v for v in values if v))
+                    full.append(told)
+            if value:
+                values.append(tuple(dict.fromkeys(value)))
+        # what a name held before is referred to, not copied
+        now = known[name.rpartition(".")[2]] = _Values(list(dict.fromkeys(values)), earlier, list(dict.fromkeys(full)))
         weight = name_weight(name)
         if not weight:
             continue
-        for value in known[key]:
-            if weight * strength("".join(text[a:z] for a, z in value)) >= MIN_SCORE:
-                for span in value:
-                    if span in own:
-                        found[span] = "literal"
-                    else:
-                        found.setdefault(span, "flow")
+        for value in now.sensitive(text, weight):
+            for span in value:
+                if span in own:
+                    found[span] = "literal"
+                else:
+                    found.setdefault(span, "flow")
     return [(kind, a, z) for (a, z), kind in found.items() if z > a]
 
 
