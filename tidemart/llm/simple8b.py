@@ -256,7 +256,10 @@ class TextEncoder:
         """The ids of different words in one array, and where each word begins."""
         import numpy as np
         import pyarrow.compute as pc
-        cut = pc.utf8_split_whitespace(pc.replace_substring_regex(pc.utf8_lower(words), _CUT, r" \0"))
+        words = pc.utf8_lower(words)
+        mixed = pc.invert(pc.utf8_is_alpha(words))      # words of letters are one pre-token
+        words = pc.replace_with_mask(words, mixed, pc.replace_substring_regex(words.filter(mixed), _CUT, r" \0"))
+        cut = pc.utf8_split_whitespace(words)
         coded = cut.flatten().dictionary_encode()
         pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if new := [p for p in pieces if p not in self.number]:
