@@ -44,12 +44,14 @@ COUNTS = (240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)     # fixed
 WIDTHS = (0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
 MAGIC = b"TS8B0001"
 BLOCK = 1024
+BLOCKS = 128            # coded together
 LISTED = 4096           # most ids that a file lists
 FILE_IDS = 1 << 21
 END_ID = 1
 READ_BYTES = 1 << 24    # of files read by a task, about
-STORE = 1 << 19         # pre-tokens held by an encoder
-GROUP = 1 << 22         # bytes of texts that are encoded together, about
+STORE = 1 << 18         # pre-tokens held by an encoder
+LEARNT = 1 << 11        # pre-tokens that the library gets at once; it needs over a kilobyte for each
+GROUP = 1 << 21         # bytes of texts that are encoded together, about
 # texts with other characters are the library's; U+0130 becomes two when lower-cased
 _ODD = "[^\t\n\r -~\u00a1-\u012f\u0131-\u02ff\u0388-\u0482\u048a-\u052f]"
 _CUT = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"     # the tokenizer's own pattern
@@ -62,19 +64,29 @@ _ROW = BLOCK + COUNTS[0]
 def pack(values):
     """uint64 values below 2^60 as Simple-8b words: (words, first word of each block)."""
     import numpy as np
+    if len(values) and values.max() >= 1 << 60:
+        raise ValueError("a value does not fit 60 bits")
+    words, first, held = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], 0
+    for k in range(0, len(values), BLOCKS * BLOCK):
+        w, f = _pack(values[k:k + BLOCKS * BLOCK])
+        words.append(w)
+        first.append(f + np.uint64(held))
+        held += len(w)
+    return np.concatenate(words), np.concatenate(first)
+
+
+def _pack(values):
+    """``pack`` of some blocks: what it needs besides is many times their size."""
+    import numpy as np
     n = len(values)
     blocks = -(-n // BLOCK)
-    if not n:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    if values.max() >= 1 << 60:
-        raise ValueError("a value does not fit 60 bits")
     rows = np.zeros((blocks, _ROW), np.uint64)
     whole = np.zeros(blocks * BLOCK, np.uint64)
     whole[:n] = values
     rows[:, :BLOCK] = whole.reshape(blocks, BLOCK)
-    width = np.frexp((rows >> np.uint64(30)).astype(np.float64))[1].astype(np.uint8)     # bits, exact below 2^53
-    width[width > 0] += 30
-    width = np.maximum(width, np.frexp((rows & np.uint64((1 << 30) - 1)).astype(np.float64))[1].astype(np.uint8))
+    low, high = rows & np.uint64((1 << 30) - 1), rows >> np.uint64(30)
+    bits = np.frexp(high.astype(np.float64))[1]         # exact below 2^53
+    width = np.where(bits > 0, bits + 30, np.frexp(low.astype(np.float64))[1]).astype(np.uint8)
     # the selector at each place: the most values of which the widest fits
     most = {1: width}                                   # widest of the next 1, 2, 4, ... values
     while 2 * max(most) <= COUNTS[0]:
@@ -243,6 +255,9 @@ class TextEncoder:
     def _learn(self, pieces: list[str]) -> None:
         """Puts the ids of pre-tokens in the store."""
         import numpy as np
+        for k in range(LEARNT, len(pieces), LEARNT):
+            self._learn(pieces[k:k + LEARNT])
+        pieces = pieces[:LEARNT]
         seen = " ".join(pieces).encode().decode("latin-1").translate(_BYTES)
         ids = np.array(self.model.encode_batch_fast([seen], add_special_tokens=False)[0].ids, np.uint32)
         ends = np.flatnonzero(self.closes[ids]) + 1
@@ -322,6 +337,7 @@ def write_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int =
             row = pa.RecordBatch.from_pylist([{"part": part, "file": made, "name": name, "n_docs": len(doc_ids),
                                                "n_ids": held, "n_bytes": len(data)}], schema=shape)
             doc_ids, ids, held, made = [], [], 0, made + 1
+            pa.default_memory_pool().release_unused()
             return row
         shape = pa.schema([("part", pa.int32()), ("file", pa.int32()), ("name", pa.string()),
                            ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("n_bytes", pa.int64())])
