@@ -14,16 +14,19 @@ from pyspark.sql import functions as F
 from tidemart.functions.coerce import coerce_datetime_strings
 from tidemart.functions.kpi import MONEY
 from tidemart.operators.merge import add_column, backfill_cost, get_or_create_ids, upsert
+from tidemart.operators.quality import schema_contract
 from tidemart.operators.snapshot import latest
 from tidemart.plans.warehouse import Warehouse
 from tidemart.session import checkpoint_dir
 from tidemart.sources.batch_io import (batch_path, read_batch, write_batch,
                                        write_partitioned_sorted)
 from tidemart.sources.catalog import BY_NAME, RAW_TABLES
-from tidemart.sources.ingest import Watermarks, extract_incremental, extract_source, load_batches, load_raw, next_watermark, read_raw
+from tidemart.sources.ingest import (Watermarks, extract_incremental, extract_source, load_batches, load_raw, naive_timestamps, next_watermark,
+                                     read_raw)
 from tidemart.sources.keyed import KeyedTable, LatestState
 from tidemart.sources.testdata import TestData
-from tidemart.streaming.hourly import replay_files, run_hourly_stream
+from tidemart.streaming.events import run_sessions, run_unique, stream_latest
+from tidemart.streaming.hourly import order_files, replay_files, run_hourly_stream
 
 c = F.col
 TOPK = 100
@@ -304,3 +307,78 @@ def stream_raw_load(spark: SparkSession, wh: Warehouse) -> DataFrame:
      .repartition("ds").write.partitionBy("ds", "run").parquet(batch_path(root, t.source, t.table)))
     stream_load(spark, batch_path(root, t.source, t.table), t, f"{root}/{t.name}", f"{root}/checkpoint")
     return read_latest(spark, f"{root}/{t.name}", ["id"])
+
+
+def stream_hourly_kpis_update(spark: SparkSession, td: TestData) -> DataFrame:
+    """INC4 with bounded state: update mode, windows freed behind the watermark, readers
+    take the latest value of each window."""
+    root = scratch(spark, "stream")
+    replay_files(td.table("events"), f"{root}/source")
+    order_files(spark, f"{root}/source")
+    return run_hourly_stream(spark, f"{root}/source", f"{root}/sink", f"{root}/checkpoint",
+                             ["event_type"], mode="update")
+
+
+def stream_sessions(spark: SparkSession, td: TestData) -> DataFrame:
+    """§2.12: sessions of all events by user, 30 minutes apart, from a replayed stream."""
+    root = scratch(spark, "sessions")
+    replay_files(td.table("events"), f"{root}/source")
+    order_files(spark, f"{root}/source")
+    run = run_sessions(spark, f"{root}/source", f"{root}/sink", f"{root}/checkpoint", close=True)
+    return run.sessions.withColumn("late_events", F.lit(run.late).cast("long"))
+
+
+def overlapping_batches(events: DataFrame, path: str) -> None:
+    """Every day's events twice: with their own day and again with the next, as an
+    extract with a day's mark reads the newest day again."""
+    day = F.to_date("ts")
+    twice = events.withColumn("day", F.explode(F.array(day, F.date_add(day, 1))))
+    twice.hint("rebalance", "day").sortWithinPartitions("day", "ts").write.mode("overwrite").partitionBy("day").parquet(path)
+    order_files(events.sparkSession, path)
+
+
+def stream_unique_events(spark: SparkSession, td: TestData) -> DataFrame:
+    """§2.12: overlapping batches of events, each event once."""
+    root = scratch(spark, "unique")
+    overlapping_batches(td.table("events"), f"{root}/source")
+    out, _ = run_unique(spark, f"{root}/source", f"{root}/sink", f"{root}/checkpoint", ["event_id"])
+    return out
+
+
+def stream_latest_orders(spark: SparkSession, wh: Warehouse) -> DataFrame:
+    """SNAP1 as a stream: the batches of VERSION_BATCHES merged into the kept latest orders."""
+    t = BY_NAME["raw_web_orders"]
+    orders = wh.raw(t.name).select(*t.column_names)
+    out = []
+    for order, batches in VERSION_BATCHES.items():
+        root = scratch(spark, "stream-state")
+        for ds, run, every, status in batches:
+            write_batch(orders.where(c("id") % every == 0).withColumn("status", F.lit(status)),
+                        f"{root}/batches", t.source, t.table, ds, run)
+        state = LatestState(spark, f"{root}/state", t)
+        rows = stream_latest(spark, batch_path(f"{root}/batches", t.source, t.table), state, f"{root}/checkpoint", 1_000_000)
+        out.append(rows.select(F.lit(order).alias("batches"), *t.column_names))
+    return reduce(DataFrame.unionByName, out)
+
+
+def zoned_events(td: TestData) -> DataFrame:
+    """F20 over all events: times that arrive with a zone three hours ahead are stored as their UTC wall clock."""
+    e = td.table("events", ["event_id", "ts", "event_type"])
+    zoned = e.withColumn("ts", F.to_timestamp(F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("+03:00"))))
+    return naive_timestamps(zoned)
+
+
+def raw_contracts(wh: Warehouse) -> DataFrame:
+    """DQ10 over every raw table: per column its contract, what is there, and its rows and nulls."""
+    parts = []
+    for t in RAW_TABLES:
+        raw = wh.raw(t.name).drop("loaded_at", "load_seq")
+        found = schema_contract(raw, t.schema, t.name)
+        there = [r for r in found if r[3] is not None]
+        counts = raw.agg(F.count(F.lit(1)).alias("n"), *[F.count(F.col(r[1])).alias(f"c{k}") for k, r in enumerate(there)])
+        rows = F.explode(F.array(*[F.struct(
+            F.lit(name).alias("column_name"), F.lit(exp).alias("expected"), F.lit(act).alias("actual"), F.lit(status).alias("status"),
+            c("n").alias("n_rows"), (c("n") - (c(f"c{there.index(r)}") if r in there else F.lit(0))).alias("n_nulls"))
+            for r in found for _, name, exp, act, status in [r]]))
+        parts.append(counts.select(F.lit(t.name).alias("table_name"), rows.alias("r")).select("table_name", "r.*"))
+    return reduce(DataFrame.unionByName, parts)

@@ -147,6 +147,12 @@ QUERIES: dict[str, QueryFn] = {
     "constrained_columns": _mart(operations.constrained_columns),
     "batch_layout_fallback": lambda spark, d: operations.batch_layout_fallback(spark, _wh(spark, d)),
     "stream_hourly_kpis": lambda spark, d: operations.stream_hourly_kpis(spark, _data(spark, d)),
+    "stream_hourly_kpis_update": lambda spark, d: operations.stream_hourly_kpis_update(spark, _data(spark, d)),
+    "stream_sessions": lambda spark, d: operations.stream_sessions(spark, _data(spark, d)),
+    "stream_unique_events": lambda spark, d: operations.stream_unique_events(spark, _data(spark, d)),
+    "stream_latest_orders": lambda spark, d: operations.stream_latest_orders(spark, _wh(spark, d)),
+    "zoned_events": lambda spark, d: operations.zoned_events(_data(spark, d)),
+    "raw_contracts": _mart(operations.raw_contracts),
     "stream_raw_load": lambda spark, d: operations.stream_raw_load(spark, _wh(spark, d)),
 }
 
