@@ -65,7 +65,7 @@ def test_written_shards_read_back(spark):
     path = scratch(spark, "t-shards")
     rows = [(i, f"t{i}") for i in range(200)]
     S.write_shards(docs(spark, rows), F.col("doc_id"), path, S.SHARDS[:4], 211)
-    back = spark.read.parquet(path)
+    back = S.read_shards(spark, path, docs(spark, []).schema)
     assert sorted((r.doc_id, r.text) for r in back.collect()) == rows
     assert {r.shard for r in back.select("shard").distinct().collect()} == {0, 1, 2, 3}
 
@@ -85,3 +85,23 @@ def test_registered_query_writes_whole_documents(spark, tmp_path, monkeypatch):
 def test_registered_query_on_an_empty_table(spark, tmp_path):
     docs(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
     assert S.op5_sharding(spark, str(tmp_path)).count() == 0
+
+
+def test_columns_of_any_name_come_back(spark, tmp_path):
+    d = docs(spark, [(i, f"text {i}") for i in range(50)])
+    for k, n in enumerate(("slot", "shard", "row", "_0", "_1", "owner", "Shard", "key")):
+        if n != "Shard":
+            d = d.withColumn(n, F.concat(F.lit(f"{n}{k}:"), F.col("doc_id").cast("string")))
+    path = scratch(spark, "t-shards")
+    S.write_shards(d, F.col("doc_id"), path, S.SHARDS[:4], 211)
+    back = S.read_shards(spark, path, d.schema, "at")
+    assert back.columns == [*d.columns, "at"]
+    assert sorted(map(tuple, back.drop("at").collect())) == sorted(map(tuple, d.collect()))
+    placed = S.place(d, F.col("doc_id"), S.SHARDS[:4], 211, slot="s", shard="at")
+    assert sorted(map(tuple, placed.drop("s").collect())) == sorted(map(tuple, back.collect()))
+    with pytest.raises(ValueError):
+        S.place(d, F.col("doc_id"))
+    d.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.doc_id, r.slot, r.shard) for r in S.op5_sharding(spark, str(tmp_path)).collect()}
+    want = {tuple(r) for r in S.place(docs(spark, [(i, "") for i in range(50)]), F.col("doc_id")).select("doc_id", "slot", "shard").collect()}
+    assert got == want

@@ -11,8 +11,9 @@ The registered query writes the whole documents into a folder for each shard of
 the shared folder and returns what is read back from these.
 
 Defined cases: a null key hashes like the empty string; repeated keys go to
-one shard; an empty table gives an empty result; extra columns are kept by
-``place`` and must not be called ``slot`` or ``shard``."""
+one shard; an empty table gives an empty result; extra columns of any name are
+kept and come back as they were: within, slot and shard have reserved names, and
+a file's other columns are stored by place."""
 
 from __future__ import annotations
 
@@ -26,6 +27,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tidemart.llm.common import scratch, table
 
+SLOT, SHARD = "__slot", "__shard"       # reserved names
 SLOTS = 8191        # a prime, over 100 slots for each shard
 SHARDS = tuple(f"shard-{i:03d}" for i in range(64))
 
@@ -68,28 +70,45 @@ def table_frame(spark: SparkSession, shards: Sequence[str], slots: int = SLOTS)
     return spark.range(1).select(F.posexplode(owners).alias("slot", "shard"))
 
 
-def place(df: DataFrame, key: Column, shards: Sequence[str] = SHARDS, slots: int = SLOTS) -> DataFrame:
-    """``df`` with columns slot and shard (index into ``shards``)."""
-    lookup = F.broadcast(table_frame(df.sparkSession, shards, slots))  # ``slots`` rows whatever the data
-    return df.withColumn("slot", slot_of(key, slots)).join(lookup, "slot")
+def _placed(df: DataFrame, key: Column, shards: Sequence[str], slots: int) -> DataFrame:
+    """SLOT, SHARD and the columns of ``df`` by place: _0, _1, ..."""
+    names = df.schema.names
+    rows = df.select(slot_of(key, slots).alias(SLOT), F.struct("*").alias("row"))
+    lookup = F.broadcast(table_frame(df.sparkSession, shards, slots).toDF(SLOT, SHARD))     # ``slots`` rows whatever the data
+    return rows.join(lookup, SLOT).select(SLOT, SHARD, *(F.col("row")[n].alias(f"_{k}") for k, n in enumerate(names)))
+
+
+def place(df: DataFrame, key: Column, shards: Sequence[str] = SHARDS, slots: int = SLOTS,
+          slot: str = "slot", shard: str = "shard") -> DataFrame:
+    """``df`` with two more columns, the slot and the shard (index into ``shards``); they
+    have the names given, and the columns of ``df`` keep theirs."""
+    names = df.schema.names
+    if {slot, shard} & {*names}:
+        raise ValueError(f"the table has a column {slot} or {shard}: give other names")
+    return _placed(df, key, shards, slots).select(
+        *(F.col(f"_{k}").alias(n) for k, n in enumerate(names)), F.col(SLOT).alias(slot), F.col(SHARD).alias(shard))
 
 
 def write_shards(df: DataFrame, key: Column, path: str, shards: Sequence[str] = SHARDS,
                  slots: int = SLOTS) -> None:
-    """One folder ``shard=<index>`` for each shard; the rebalance hint gathers a
+    """One folder ``__shard=<index>`` for each shard; the rebalance hint gathers a
     shard's rows and splits a large shard over several write tasks."""
-    placed = place(df, key, shards, slots).drop("slot")
-    placed.hint("rebalance", "shard").write.partitionBy("shard").mode("overwrite").parquet(path)
+    placed = _placed(df, key, shards, slots).drop(SLOT)
+    placed.hint("rebalance", SHARD).write.partitionBy(SHARD).mode("overwrite").parquet(path)
 
 
-def read_shards(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """The rows of ``write_shards`` (columns of ``schema``) and the shard of the folder each is in."""
-    return spark.read.schema(StructType([*schema.fields, StructField("shard", IntegerType())])).parquet(path)
+def read_shards(spark: SparkSession, path: str, schema: StructType, shard: str | None = "shard") -> DataFrame:
+    """The rows of ``write_shards`` (columns of ``schema``) and, under the name ``shard``, the
+    shard of the folder each is in."""
+    stored = StructType([*(StructField(f"_{k}", f.dataType) for k, f in enumerate(schema.fields)), StructField(SHARD, IntegerType())])
+    back = spark.read.schema(stored).parquet(path)
+    cols = [F.col(f"_{k}").alias(n) for k, n in enumerate(schema.names)]
+    return back.select(*cols, *([F.col(SHARD).alias(shard)] if shard else []))
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     path = scratch(spark, "shards")
     write_shards(docs, F.col("doc_id"), path)
-    back = read_shards(spark, path, docs.schema)
-    return back.select("doc_id", slot_of(F.col("doc_id")).alias("slot"), "shard")
+    back = read_shards(spark, path, docs.schema, SHARD)
+    return back.select("doc_id", slot_of(F.col("doc_id")).alias("slot"), F.col(SHARD).alias("shard"))
