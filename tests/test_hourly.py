@@ -98,3 +98,11 @@ def test_approximate_distinct_counts(spark):
     exact = wh.model(marts.mart_sales).agg(F.sum("total_orders")).first()[0]
     near = marts.mart_sales(wh, approx_distinct=True).agg(F.sum("total_orders")).first()[0]
     assert abs(near - exact) <= 0.05 * exact
+
+
+def test_registered_period_covers_all_movements(spark):
+    from tidemart.plans.registry import HOURLY_START
+    wh = warehouse(spark, SF)
+    hours = wh.model(hourly.hourly_inventory, start=HOURLY_START).agg(F.sum("hourly_outbound_qty")).first()[0]
+    moved = wh.stg("stg_wms_inventory_movements").where("movement_type = 'outbound'").agg(F.sum("quantity")).first()[0]
+    assert hours == moved > 0

@@ -43,7 +43,7 @@ def _stg(name: str) -> QueryFn:
     return lambda spark, d: _wh(spark, d).stg(name)
 
 
-HOURLY_START = "1998-01-01 00:00:00"    # start of the inventory period: after the older stock count
+HOURLY_START = "1995-01-01 00:00:00"    # start of the inventory period: after the older stock count, before all movements
 
 
 def q_dq_model_tests(spark, d):

@@ -212,14 +212,14 @@ class Warehouse:
 
     @cached_property
     def fact_sessions(self) -> DataFrame:
-        """FCT2: one row per (session, matching channel)."""
+        """FCT2: one row per (session, matching channel). What a session came to is the
+        set of the states its carts are in (a handful of values)."""
         s = self.stg("stg_web_sessions", ["id", "user_id", "utm_source", "device_type", "started_at", "ended_at",
                                           "page_views"])
-        carts = self.stg("stg_web_carts", ["id", "session_id", "status"])
-        cart_status = (carts.groupBy("session_id").agg(
-            F.max(flag(c("status") == "converted")).alias("has_order"),
-            F.max(flag(c("status") == "abandoned")).alias("was_abandoned")))
-        j = s.join(cart_status, s.id == cart_status.session_id, "left")
+        outcomes = (self.stg("stg_web_carts", ["id", "session_id", "status"]).groupBy("session_id")
+                    .agg(F.collect_set("status").alias("outcomes")))
+        j = s.join(outcomes.withColumnRenamed("session_id", "id"), "id", "left")
+        ended = lambda state: flag(F.coalesce(F.array_contains("outcomes", state), F.lit(False)))       # noqa: E731
         j = or_join(j, "utm_source", self.dim_channel, ["channel_name", "channel_type"],
                     "channel_sk")
         return j.select(
@@ -227,35 +227,40 @@ class Warehouse:
             F.to_date("started_at").alias("session_date"), c("user_id").alias("customer_sk"),
             F.coalesce(c("channel_sk"), F.lit(0)).alias("channel_sk"), "page_views",
             seconds_between("started_at", "ended_at").alias("duration_sec"), "device_type",
-            F.coalesce(c("has_order"), F.lit(0)).alias("converted"),
-            F.coalesce(c("was_abandoned"), F.lit(0)).alias("cart_abandoned"),
+            ended("converted").alias("converted"), ended("abandoned").alias("cart_abandoned"),
             flag(c("page_views") == 1).alias("is_bounce"),
             c("started_at").alias("session_start"))
 
     @cached_property
     def fact_fulfillment(self) -> DataFrame:
-        """FCT3: one row per shipment of a known OMS order."""
-        sh = self.stg("stg_oms_shipments")
-        oo = self.stg("stg_oms_orders", ["id", "web_order_id", "received_at", "dispatched_at"]).select(
-            c("id").alias("oms_order_id"), "web_order_id", "received_at", "dispatched_at")
-        picks = (self.stg("stg_wms_picking_tasks", ["id", "oms_order_id", "is_accurate", "is_substituted"]).groupBy("oms_order_id").agg(
-            (F.sum("is_accurate").cast("double") / F.count("is_accurate")).alias("pct_accurate"),
-            (F.sum("is_substituted").cast("double") / F.count("is_substituted"))
-            .alias("pct_substituted")))
-        returns = (self.final("raw_oms_returns", columns=["oms_order_id"]).select("oms_order_id").distinct()
-                   .withColumn("has_return", F.lit(1)))
-        j = sh.join(oo, "oms_order_id", "inner")
-        j = left_join_defaults(j, picks, ["oms_order_id"], self.null_mode)
-        j = left_join_defaults(j, returns, ["oms_order_id"], self.null_mode)
+        """FCT3: one row per shipment of a known OMS order. What happened to an order in
+        the warehouse and after it, its picking tasks and its returns, is stacked and
+        grouped by order once; an order without tasks counts as picked well, or with
+        type defaults as 0."""
+        happened = (self.stg("stg_wms_picking_tasks", ["id", "oms_order_id", "is_accurate", "is_substituted"])
+                    .select("oms_order_id", "is_accurate", "is_substituted", F.lit(1).alias("task"), F.lit(0).alias("back"))
+                    .unionByName(self.final("raw_oms_returns", columns=["oms_order_id"])
+                                 .select("oms_order_id", F.lit(0).alias("task"), F.lit(1).alias("back")),
+                                 allowMissingColumns=True)
+                    .groupBy("oms_order_id").agg(
+                        F.sum("task").alias("tasks"), F.max("back").alias("back"),
+                        F.avg("is_accurate").alias("accurate"), F.avg("is_substituted").alias("substituted")))
+        orders = self.stg("stg_oms_orders", ["id", "web_order_id", "received_at", "dispatched_at"])
+        j = (self.stg("stg_oms_shipments")
+             .join(orders.withColumnRenamed("id", "oms_order_id"), "oms_order_id")
+             .join(happened, "oms_order_id", "left"))
+
+        def of_tasks(rate: str, otherwise: float):
+            untouched = otherwise if self.null_mode == "ansi" else 0.0
+            return F.when(c("tasks") > 0, F.coalesce(c(rate), F.lit(otherwise))).otherwise(untouched)
         return j.select(
             c("id").alias("shipment_sk"), "oms_order_id", "web_order_id",
             date_sk("created_at").alias("date_sk"), F.to_date("created_at").alias("shipment_date"),
             "planned_delivery", "actual_delivery", "is_on_time", "is_complete",
             flag((c("is_on_time") == 1) & (c("is_complete") == 1)).alias("is_otif"),
             hours_crossed("received_at", "dispatched_at").alias("lead_time_hours"),
-            F.coalesce(c("pct_accurate"), F.lit(1.0)).alias("picking_accuracy"),
-            F.coalesce(c("pct_substituted"), F.lit(0.0)).alias("substitution_rate"),
-            F.coalesce(c("has_return"), F.lit(0)).alias("has_return"),
+            of_tasks("accurate", 1.0).alias("picking_accuracy"), of_tasks("substituted", 0.0).alias("substitution_rate"),
+            F.coalesce(c("back"), F.lit(0)).alias("has_return"),
             c("created_at").alias("shipment_ts"))
 
     @cached_property

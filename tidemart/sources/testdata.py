@@ -309,8 +309,8 @@ class TestData:
             (F.col("p_size") % 7).alias("quantity_reserved"),
             F.lit(10).alias("reorder_point"),
             upd.alias("updated_at"), upd.alias("loaded_at"))
-        # an older version of every record: a count at the end of 1997
-        count = _ts("1997-12-31 18:00:00")
+        # an older version of every record: a count before the first shipment
+        count = _ts("1994-12-31 18:00:00")
         then = p.select(
             F.col("p_partkey").alias("id"), F.col("p_partkey").alias("wms_product_id"),
             (F.col("p_size") * 5).alias("quantity_on_hand"),
