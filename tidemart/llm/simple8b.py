@@ -49,9 +49,9 @@ LISTED = 4096           # most ids that a file lists
 FILE_IDS = 1 << 21
 END_ID = 1
 READ_BYTES = 1 << 24    # of files read by a task, about
-STORE = 1 << 18         # pre-tokens held by an encoder
-LEARNT = 1 << 11        # pre-tokens that the library gets at once; it needs over a kilobyte for each
-GROUP = 1 << 21         # bytes of texts that are encoded together, about
+STORE = 1 << 19         # pre-tokens held by an encoder
+LEARNT = 1 << 13        # pre-tokens that the library gets at once; it needs over a kilobyte for each
+GROUP = 1 << 22         # bytes of texts that are encoded together, about
 # texts with other characters are the library's; U+0130 becomes two when lower-cased
 _ODD = "[^\t\n\r -~\u00a1-\u012f\u0131-\u02ff\u0388-\u0482\u048a-\u052f]"
 _CUT = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"     # the tokenizer's own pattern
