@@ -123,3 +123,37 @@ def test_models_read_the_state(spark, tmp_dir):
                 lambda w: w.final("raw_web_users", columns=["email"]).select("id", "email")):
         assert rows(get(kept)) == rows(get(Warehouse(raw)))
         assert "Exchange" not in get(kept)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_first_orders_after_each_load_also_with_late_orders(spark, tmp_dir):
+    from tidemart.operators.running import running_min_members
+    from tidemart.sources.keyed import FirstOrders
+    rnd, schema = random.Random(3), "user_id long, order_ts timestamp_ntz, order_id long"
+    at = lambda h: dt.datetime(2024, 1, 1) + dt.timedelta(hours=h)      # noqa: E731
+    # customer 0 has a third of all orders; ids do not follow the times
+    orders = [(0 if rnd.random() < 0.33 else rnd.randint(1, 40), at(rnd.randint(0, 900)), i) for i in range(600)]
+    rnd.shuffle(orders)
+    kept, so_far = FirstOrders(spark, f"{tmp_dir}/f", parts=4, buckets=2), []
+    for k in range(0, 600, 150):
+        load_ = orders[k:k + 150]
+        so_far += load_
+        kept.add(spark.createDataFrame(load_ + load_[:5], schema))
+        whole = running_min_members(spark.createDataFrame(so_far, schema), "user_id", "order_ts", "order_id")
+        assert rows(kept.flagged()) == rows(whole)
+    before = files(f"{tmp_dir}/f")
+    kept.add(spark.createDataFrame([(7, at(-5), 10_000)], schema))      # older than all, but no smaller id: first, beside the others
+    assert {os.path.dirname(f) for f in before - files(f"{tmp_dir}/f")} != {os.path.dirname(f) for f in before}
+    want = {i for i, in rows(whole)} | {10_000}
+    assert {i for i, in rows(kept.flagged())} == want
+
+
+def test_sketches_unite(spark):
+    from tidemart.plans import visitors
+    days = spark.range(60_000).select((F.col("id") % 9000).alias("customer_sk"),
+                                      F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 60).cast("int")).alias("session_date"))
+
+    class Wh:
+        fact_sessions = days
+    got = {(r.period, r.period_start): r.visitors for r in visitors.by_period(visitors.daily_sketches(Wh)).collect()}
+    for r in visitors.exact(Wh).collect():
+        assert abs(got[r.period, r.period_start] - r.exact_visitors) <= 0.03 * r.exact_visitors

@@ -15,14 +15,20 @@ from pyspark.sql import functions as F
 
 
 def running_min_members(df: DataFrame, partition: str, order_ts: str, value: str) -> DataFrame:
-    """The distinct ``value``s that equal the running minimum of ``value`` at
-    their own (partition, order_ts): ``value == min(value) OVER (PARTITION BY
-    partition ORDER BY order_ts)`` with SQL's default frame, in which rows of
-    equal timestamps are peers. ``order_ts`` should be at second resolution.
-
-    Only the minimum of each (partition, order_ts) group can qualify, so the
-    result is a one-column DataFrame of at most one value per group. Joining
-    it back on ``value`` avoids re-shuffling the input by (partition, order_ts)."""
+    """The distinct ``value``s of ``running_min_steps``, one column. Joining it back on
+    ``value`` avoids re-shuffling the input by (partition, order_ts)."""
+    return running_min_steps(df, partition, order_ts, value).select(value)
+
+
+def running_min_steps(df: DataFrame, partition: str, order_ts: str, value: str) -> DataFrame:
+    """(partition, order_ts, value) of the rows whose ``value`` equals the running
+    minimum at their own (partition, order_ts): ``value == min(value) OVER
+    (PARTITION BY partition ORDER BY order_ts)`` with SQL's default frame, in which
+    rows of equal timestamps are peers. ``order_ts`` should be at second resolution.
+
+    Only the minimum of each (partition, order_ts) group can qualify, so there is at
+    most one row per group. The steps of a union are the steps of its parts' steps:
+    a row that is no step has an earlier, smaller one before it, and keeps it."""
     per_ts = (df.groupBy(partition, F.to_date(order_ts).alias("__day"), order_ts)
                 .agg(F.min(value).alias("__m")))
     per_day = per_ts.groupBy(partition, "__day").agg(F.min("__m").alias("__dm"))
@@ -34,7 +40,7 @@ def running_min_members(df: DataFrame, partition: str, order_ts: str, value: str
     run = (per_ts.withColumn("__pm", F.min("__m").over(w_in_day))
                  .join(carry, [partition, "__day"], "left")
                  .where(F.col("__m") == F.least("__pm", "__carry")))
-    return run.select(F.col("__m").alias(value))
+    return run.select(partition, order_ts, F.col("__m").alias(value))
 
 
 def running_sum(df: DataFrame, partition: str, order_col: str, value: str,

@@ -16,6 +16,7 @@ from tidemart.functions.kpi import MONEY
 from tidemart.operators.merge import add_column, backfill_cost, get_or_create_ids, upsert
 from tidemart.operators.quality import schema_contract
 from tidemart.operators.snapshot import latest
+from tidemart.plans import visitors
 from tidemart.plans.warehouse import Warehouse
 from tidemart.session import checkpoint_dir
 from tidemart.sources.batch_io import (batch_path, read_batch, write_batch,
@@ -23,7 +24,7 @@ from tidemart.sources.batch_io import (batch_path, read_batch, write_batch,
 from tidemart.sources.catalog import BY_NAME, RAW_TABLES
 from tidemart.sources.ingest import (Watermarks, extract_incremental, extract_source, load_batches, load_raw, naive_timestamps, next_watermark,
                                      read_raw)
-from tidemart.sources.keyed import KeyedTable, LatestState
+from tidemart.sources.keyed import FirstOrders, KeyedTable, LatestState
 from tidemart.sources.testdata import TestData
 from tidemart.streaming.events import run_sessions, run_unique, stream_latest
 from tidemart.streaming.hourly import order_files, replay_files, run_hourly_stream
@@ -382,3 +383,24 @@ def raw_contracts(wh: Warehouse) -> DataFrame:
             for r in found for _, name, exp, act, status in [r]]))
         parts.append(counts.select(F.lit(t.name).alias("table_name"), rows.alias("r")).select("table_name", "r.*"))
     return reduce(DataFrame.unionByName, parts)
+
+
+def visitors_by_period(spark: SparkSession, wh: Warehouse) -> DataFrame:
+    """AGG3/AGG4: daily sketches are stored; days, weeks and months come from the stored
+    table, beside the exact counts; the estimate is within 3 % of them."""
+    path = scratch(spark, "visitors")
+    visitors.daily_sketches(wh).write.parquet(path)
+    out = visitors.by_period(spark.read.parquet(path)).join(visitors.exact(wh), ["period", "period_start"])
+    return out.select("period", "period_start", "sessions", "exact_visitors",
+                      (F.abs(c("visitors") - c("exact_visitors")) <= 0.03 * c("exact_visitors")).alias("estimate_holds"))
+
+
+def first_orders_by_load(spark: SparkSession, wh: Warehouse) -> DataFrame:
+    """WIN1 kept: all web orders in three loads, each with orders older than those before
+    it; every order with its flag."""
+    orders = wh.stg("stg_web_orders").select("user_id", c("created_at").alias("order_ts"), c("id").alias("order_id"))
+    kept = FirstOrders(spark, scratch(spark, "first-orders"))
+    for k in (1, 0, 2):
+        kept.add(orders.where(F.pmod(c("order_id"), F.lit(3)) == k))
+    return (orders.join(kept.flagged().withColumn("is_first_order", F.lit(1)), "order_id", "left")
+            .select("order_id", "user_id", F.coalesce(c("is_first_order"), F.lit(0)).alias("is_first_order")))

@@ -153,6 +153,8 @@ QUERIES: dict[str, QueryFn] = {
     "stream_latest_orders": lambda spark, d: operations.stream_latest_orders(spark, _wh(spark, d)),
     "zoned_events": lambda spark, d: operations.zoned_events(_data(spark, d)),
     "raw_contracts": _mart(operations.raw_contracts),
+    "visitors_by_period": lambda spark, d: operations.visitors_by_period(spark, _wh(spark, d)),
+    "first_orders_by_load": lambda spark, d: operations.first_orders_by_load(spark, _wh(spark, d)),
     "stream_raw_load": lambda spark, d: operations.stream_raw_load(spark, _wh(spark, d)),
 }
 

@@ -24,7 +24,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.operators.merge import last_update
-from tidemart.operators.snapshot import SEQUENCE, latest
+from tidemart.operators.running import running_min_steps
+from tidemart.operators.snapshot import SEQUENCE
 from tidemart.session import apply_sql_conf, written_once
 from tidemart.sources.batch_io import BATCH_ORDER, path_exists
 from tidemart.sources.catalog import RawTable
@@ -41,9 +42,10 @@ class KeyedTable:
     """``ddl``: the columns, keys included. Opens what is under ``path``, or starts it."""
 
     def __init__(self, spark: SparkSession, path: str, ddl: str, keys: Sequence[str], parts: int = PARTS,
-                 buckets: int = BUCKETS, name: str | None = None):
+                 buckets: int = BUCKETS, name: str | None = None, part_by: Sequence[str] | None = None):
         apply_sql_conf(spark)       # partitions are overwritten one by one
         self.spark, self.path, self.keys, self.parts = spark, path, list(keys), parts
+        self.part_by = list(part_by or keys)        # rows that are kept together
         self.name = name or f"keyed_{uuid.uuid4().hex}"
         known = path_exists(spark, path)
         on = ", ".join(self.keys)
@@ -64,7 +66,7 @@ class KeyedTable:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 
     def _with_part(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("part", F.pmod(F.xxhash64(*self.keys), F.lit(self.parts)).cast("int"))
+        return df.withColumn("part", F.pmod(F.xxhash64(*self.part_by), F.lit(self.parts)).cast("int"))
 
     def touched(self, batch: DataFrame) -> DataFrame:
         """The kept rows of the partitions that ``batch`` (with part) has rows for."""
@@ -89,6 +91,14 @@ class KeyedTable:
             raise NullKeys(f"rows of the batch have no {self.keys}")
         self.combined(batch, column).write.insertInto(self.name, overwrite=True)
 
+    def rebuild(self, batch: DataFrame, new_rows: Callable[[DataFrame], DataFrame]) -> None:
+        """Replaces the partitions that ``batch`` touches by ``new_rows`` of what they hold and
+        the batch; no partition may end up empty."""
+        names = [c for c in self._table.columns if c != "part"]
+        batch = written_once(self._with_part(batch.select(*names)), "keyed-batch")
+        rows = new_rows(self.touched(batch).select(*names).unionByName(batch.select(*names)))
+        self._with_part(rows.select(*names)).write.insertInto(self.name, overwrite=True)
+
     def merge(self, batch: DataFrame, version: Sequence[str] = ("loaded_at", SEQUENCE)) -> None:
         """Rows of ``batch`` (all columns, any number per key) whose version is at least
         that of the kept row take its place; new keys are added."""
@@ -139,6 +149,20 @@ class LatestState:
         return df if columns is None else df.select(*dict.fromkeys([*self.table.keys, *columns]))
 
 
-def rebuilt(raw: DataFrame, table: RawTable) -> DataFrame:
-    """What a state must hold, from the whole raw table."""
-    return latest(raw, table.keys)
+class FirstOrders:
+    """WIN1 kept: the orders that were their customer's first so far, by running minimum of
+    the order id. Kept are the steps of that minimum, partitioned by customer; a new
+    load is joined by the steps of the customers' partitions it touches, also when its
+    orders are older than those loaded before: they take the flag from later ones."""
+
+    def __init__(self, spark: SparkSession, path: str, **sizes: int):
+        self.kept = KeyedTable(spark, path, "user_id long, order_ts timestamp_ntz, order_id long",
+                               ["user_id", "order_ts"], part_by=["user_id"], **sizes)
+
+    def add(self, orders: DataFrame) -> None:
+        """``orders``: user_id, order_ts, order_id; those that were added before may come again."""
+        self.kept.rebuild(orders, lambda rows: running_min_steps(rows, "user_id", "order_ts", "order_id"))
+
+    def flagged(self) -> DataFrame:
+        return self.kept.read().select("order_id")
+
