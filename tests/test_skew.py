@@ -6,7 +6,7 @@ import random
 from collections import defaultdict
 from decimal import Decimal
 
-from tidemart.plans.marts import daily_revenue
+from tidemart.plans.marts import attribution
 from tidemart.plans.warehouse import Warehouse
 from tidemart.sources.catalog import TRAFFIC_SOURCES
 
@@ -95,8 +95,8 @@ def test_attribution_and_first_order_with_hot_customer(spark):
         for ch in chans:
             want[(o[5].date(), ch)][0] += rev
             want[(o[5].date(), ch)][1] += 1 if i[1] in first else 0
-    got = {(r.report_date, r.channel_name): [r.attributed_revenue_d, r.new_customers]
-           for r in daily_revenue(wh).collect()}
+    got = {(r.report_date, r.channel_name): [r.earned, r.newcomers]
+           for r in attribution(wh).collect()}
     assert set(got) == set(want)
     for k, (rev, nf) in want.items():
         assert got[k][0] == rev and got[k][1] == nf, k
