@@ -167,3 +167,27 @@ def test_values_flow_through_names_and_long_concatenations():
     text = 'password = "Zq8"\n' + "\n".join(f'password = password + "p{i}Q"' for i in range(n))
     named = {text[a:z] for k, a, z in S.scan_text(text) if k in ("literal", "flow")}
     assert all(f"p{i}Q" in named for i in range(3, n - 3))
+
+
+PLANTED = {
+    "python": 'DB_PASSWORD = "{}"', "yaml": "private_key: {}", "json": '{{"client_secret": "{}", "n": 3}}', "shell": "export AUTH_TOKEN={}",
+    "flow": 'x = "{}"\npassphrase = x', "lookup": 'passphrase = os.getenv("P", "{}")', "list": 'private_key = ["{}", "b"]',
+    "url": 'connection_string = "postgres://bob:{}@h/db"', "next line": 'encryption_key = (\n    "{}"\n)', "attribute": 'cfg.signing_key = "{}"'}
+HARMLESS = ("color_scheme", "retry_count", "user_agent", "title", "max_len", "status", "address", "class_names")
+
+
+def test_planted_assignments_are_found_and_others_left_alone():
+    import random
+    import string
+    rnd = random.Random(11)
+    for name, form in PLANTED.items():
+        found = 0
+        for _ in range(100):
+            value = "".join(rnd.choice(string.ascii_letters + string.digits) for _ in range(rnd.randint(12, 40)))
+            text = "some words before\n" + form.format(value) + "\nand after"
+            at = text.index(value)
+            found += any(a <= at and at + len(value) <= z for _, a, z in S.scan_text(text))
+        assert found >= 99, (name, found)
+    for name in HARMLESS:
+        value = "".join(rnd.choice("ghijklmnopqrstuvwxyz") for _ in range(30))
+        assert not S.scan_text(f'{name} = "{value}"'), name
