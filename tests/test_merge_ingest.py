@@ -151,3 +151,21 @@ def test_add_column_enforces_constraints(spark):
     assert sorted(r.cost for r in ok.collect()) == [0.5, 1.0]
     with pytest.raises(CheckFailed):
         add_column(df, "cost", F.col("price") * 0.5, not_null=True)
+
+
+def test_lookback_picks_up_late_rows(spark, tmp_dir):
+    """A row that arrives with a time before the mark's day is missed, or picked up by a lookback."""
+    from tidemart.sources.batch_io import read_batch
+    from tidemart.sources.catalog import RawTable
+    from tidemart.sources.ingest import Watermarks, extract_source
+    t = RawTable("raw_t", "web", "t", ("id",), "created_at", "id int, created_at timestamp_ntz")
+    at = lambda d: dt.datetime(2024, 6, d, 12)      # noqa: E731
+    first = [(1, at(1)), (2, at(10))]
+    late = [*first, (3, at(8)), (4, at(5)), (5, at(11))]
+    for days, want in ((0, {2, 5}), (3, {2, 3, 5}), (30, {1, 2, 3, 4, 5})):
+        base, marks = f"{tmp_dir}/b{days}", Watermarks(spark, f"{tmp_dir}/c{days}")
+        for ds, rows in (("2024-06-10", first), ("2024-06-11", late)):
+            source = spark.createDataFrame(rows, t.ddl)
+            extract_source(spark, "web", lambda _, s=source: s, base, marks, "2024-01-01", [t], lookback_days=days, run_date=ds)
+        assert {r.id for r in read_batch(spark, base, "web", "t", "2024-06-11").collect()} == want
+        assert marks.get("web.t") == "2024-06-11"
