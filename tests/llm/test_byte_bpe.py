@@ -78,3 +78,21 @@ def test_query_columns(spark, reference):
                      hashlib.sha256((t or "").encode()).hexdigest()))
     assert got == sorted(want, key=repr)
     assert B.round_trip(docs(spark, [])).count() == 0
+
+
+def test_merges_of_many_pieces_are_those_of_each(reference, bpe, monkeypatch):
+    rnd = random.Random(8)
+    pieces = [bytes(rnd.choice(b"abcdeinorst \n\xc3\xa9\xff") for _ in range(n)) for n in [*range(1, 80), 500] for _ in range(6)]
+    rnd.shuffle(pieces)
+    monkeypatch.setattr(B, "ROWS", 7)
+    ids, n = bpe.merge.all_of(pieces)
+    want = [bpe.merge(p) for p in pieces]       # one by one, with the heap
+    assert n.tolist() == [len(w) for w in want]
+    assert ids.tolist() == [i for w in want for i in w]
+    assert [bpe.decode(w) for w in want] == pieces
+    assert [len(x) for x in bpe.merge.all_of([])] == [0, 0]
+
+
+def test_vocabulary_of_bytes_alone_merges_nothing():
+    ids, n = B.Merger({bytes((a,)): a for a in range(256)}).all_of([b"abc", b"", b"z" * 100])
+    assert (ids.tolist(), n.tolist()) == ([97, 98, 99] + [122] * 100, [3, 0, 100])

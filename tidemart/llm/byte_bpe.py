@@ -5,8 +5,9 @@ itself. Tier one: a minimal perfect hash over the vocabulary (levels of bit
 arrays, the place of a key being the rank of its bit) resolves the pre-tokens
 that are whole vocabulary entries; the entry found is compared with the
 pre-token, since the hash maps strangers somewhere too. Tier two: the rest is
-merged from single bytes over a linked list, with a heap that yields the
-lowest rank, leftmost first. Results are kept in a store of fixed size (emptied
+merged from single bytes over a linked list, the lowest rank first, leftmost
+first: short pre-tokens many at a time by numpy, one merge of each in a round,
+and long ones with a heap that yields that rank. Results are kept in a store of fixed size (emptied
 when full), so memory does not grow with the corpus; a pre-token is a number
 that leads into the store, and texts are put together by numpy.
 
@@ -87,6 +88,9 @@ class PerfectHash:
 
 _NONE = 1 << 62         # no such pair; above every rank
 _PLACE = (1 << 32) - 1
+_NO_RANK = 1 << 30      # the same for ranks alone
+WIDTHS = (8, 16, 32, 64)    # bytes of pre-tokens that are merged together; longer ones are merged with a heap
+ROWS = 1 << 13          # pre-tokens merged together
 
 
 class Merger:
@@ -94,9 +98,85 @@ class Merger:
     first, until no pair is in the vocabulary."""
 
     def __init__(self, ranks: dict[bytes, int]):
+        import numpy as np
         self.byte = [ranks[bytes((a,))] for a in range(256)]
         self.rank = {t: r << 32 for t, r in ranks.items()}
         self.of_two = [self.rank.get(bytes((a, b)), _NONE) for a in range(256) for b in range(256)]
+        # every way to make a token of two, as left * size + right
+        self.size = max(ranks.values()) + 1
+        ways = {-1: _NO_RANK}
+        for t, r in ranks.items():
+            for k in range(1, len(t)):
+                a, b = ranks.get(t[:k]), ranks.get(t[k:])
+                if a is not None and b is not None:
+                    ways[a * self.size + b] = r
+        self.pair = np.array(sorted(ways), np.int64)
+        self.pair_rank = np.array([ways[x] for x in self.pair.tolist()], np.int32)
+        self.byte_ids = np.array(self.byte, np.int32)
+
+    def _ranks(self, left, right):
+        """Rank of each ``left`` token with the ``right`` one (_NO_RANK: not in the vocabulary)."""
+        import numpy as np
+        sought = left.astype(np.int64) * self.size + right
+        at = np.minimum(np.searchsorted(self.pair, sought), len(self.pair) - 1)
+        return np.where(self.pair[at] == sought, self.pair_rank[at], np.int32(_NO_RANK))
+
+    def all_of(self, pieces: list[bytes]):
+        """(ids of all ``pieces`` in turn, number of ids of each)."""
+        import numpy as np
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        done = []       # (places of pieces, their ids, numbers of ids)
+        for low, high in zip((0, *WIDTHS), WIDTHS, strict=False):
+            of = np.flatnonzero((size > low) & (size <= high))
+            done += [(part, *self._rounds([pieces[i] for i in part], size[part], high))
+                     for part in (of[k:k + ROWS] for k in range(0, len(of), ROWS))]
+        for i in np.flatnonzero(size > WIDTHS[-1]).tolist():
+            ids = np.array(self(pieces[i]), np.int32)
+            done.append((np.array([i]), ids, np.array([len(ids)])))
+        counts = np.zeros(len(pieces), np.int64)
+        for at, _, n in done:
+            counts[at] = n
+        begin = np.cumsum(counts) - counts
+        out = np.empty(int(counts.sum()), np.int32)
+        for at, ids, n in done:
+            out[np.arange(len(ids)) + np.repeat(begin[at] - (np.cumsum(n) - n), n)] = ids
+        return out, counts
+
+    def _rounds(self, pieces: list[bytes], size, width: int):
+        """``all_of`` for pieces of at most ``width`` bytes: a row for each piece, a column for
+        the place of a part's first byte. A round makes the best merge of every row."""
+        import numpy as np
+        rows = np.arange(len(pieces))
+        places = np.arange(width + 1, dtype=np.int16)
+        alive = places[:-1] < size[:, None]
+        token = np.zeros((len(pieces), width), np.int32)
+        token[alive] = self.byte_ids[np.frombuffer(b"".join(pieces), np.uint8)]
+        want = np.full((len(pieces), width), _NO_RANK, np.int32)
+        paired = alive[:, 1:]
+        want[:, :-1][paired] = self._ranks(token[:, :-1][paired], token[:, 1:][paired])
+        after, before = np.tile(places + 1, (len(pieces), 1)), np.tile(places - 1, (len(pieces), 1))
+        while True:
+            i = want[rows].argmin(1)            # the first of equal ones: leftmost
+            rank = want[rows, i]
+            go = rank < _NO_RANK
+            rows, i, rank = rows[go], i[go], rank[go]
+            if not len(rows):
+                break
+            j = after[rows, i]
+            stop = after[rows, j]
+            token[rows, i] = rank
+            alive[rows, j] = False
+            want[rows, i] = want[rows, j] = _NO_RANK
+            after[rows, i] = stop
+            before[rows, stop] = i
+            has = stop < size[rows]
+            r, k = rows[has], i[has]
+            want[r, k] = self._ranks(rank[has], token[r, stop[has]])
+            k = before[rows, i]
+            has = k >= 0
+            r, k = rows[has], k[has]
+            want[r, k] = self._ranks(token[r, k], rank[has])
+        return token[alive], alive.sum(1)
 
     def __call__(self, piece: bytes) -> list[int]:
         """The ids of ``piece``. A part is known by the place of its first byte; the
@@ -175,16 +255,22 @@ class ByteBPE:
     def _learn(self, pieces: set[str]) -> None:
         if len(self.number) > STORE:
             self._empty()
+        import numpy as np
         new = list(pieces.difference(self.number))
         raw = [p.encode() for p in new]
-        number, flat, start, merge = self.number, self.flat, self.start, self.merge
-        for p, b, at in zip(new, raw, self.hash.places(raw).tolist(), strict=True):
-            if at >= 0 and self.slots[at] == b:
-                flat.append(int(self.slot_ids[at]))
-            else:
-                flat.extend(merge(b))
-            number[p] = len(number)
-            start.append(len(flat))
+        place = self.hash.places(raw)
+        slots = self.slots
+        whole = np.fromiter((at >= 0 and slots[at] == b for b, at in zip(raw, place.tolist(), strict=True)), bool, len(raw))
+        counts = np.ones(len(raw), np.int64)
+        ids, counts[~whole] = self.merge.all_of([b for b, w in zip(raw, whole.tolist(), strict=True) if not w])
+        stop = np.cumsum(counts)
+        flat = np.empty(int(counts.sum()), np.int32)
+        single = np.repeat(whole, counts)
+        flat[single] = self.slot_ids[place[whole]]
+        flat[~single] = ids
+        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
+        self.start.frombytes((stop + len(self.flat)).tobytes())
+        self.flat.frombytes(flat.tobytes())
 
     def encode_many(self, texts: list[str]):
         """(ids of all texts in turn, number of ids of each text)."""
